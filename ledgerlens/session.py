@@ -26,6 +26,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
