@@ -53,10 +53,10 @@ def geohash_sql(lat: str, lon: str, precision: int = 3) -> str:
     terms = []
     for j in range(lon_bits):
         pos = total - 1 - 2 * (lon_bits - 1 - j)
-        terms.append(f"((({x}) >> {j}) & 1) << {pos}")
+        terms.append(f"(((({x}) >> {j}) & 1) << {pos})")
     for j in range(lat_bits):
         pos = total - 2 - 2 * (lat_bits - 1 - j)
-        terms.append(f"((({y}) >> {j}) & 1) << {pos}")
+        terms.append(f"(((({y}) >> {j}) & 1) << {pos})")
     code = "(" + " + ".join(terms) + ")"
     chars = [f"substr('{GEOHASH_ALPHABET}', ((({code}) >> {5 * (precision - 1 - i)}) & 31)::INTEGER + 1, 1)"
              for i in range(precision)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerlens.plans import ledger_queries, resolve_queries  # noqa: F401
+from ledgerlens.plans import dashboard_queries, ledger_queries, resolve_queries  # noqa: F401
 from ledgerlens.plans.registry import ORACLE, QUERIES
 
 
