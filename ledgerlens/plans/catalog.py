@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from ledgerlens.plans import (dashboard_queries, ledger_queries, profile_queries,  # noqa: F401
+from ledgerlens.plans import (dashboard_queries, ledger_queries, model_queries,  # noqa: F401
+                              profile_queries,
                               resolve_queries)
 from ledgerlens.plans.registry import ORACLE, QUERIES
 
