@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ledgerlens.plans import (dashboard_queries, ledger_queries, model_queries,  # noqa: F401
                               profile_queries,
-                              resolve_queries)
+                              resolve_queries, stream_queries)
 from ledgerlens.plans.registry import ORACLE, QUERIES
 
 
