@@ -255,11 +255,15 @@ def resolve_fuzzy_lsh(keys: DataFrame, dim: DataFrame, block: str, name: str,
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import HashingTF, MinHashLSH, NGram, RegexTokenizer
 
+    # short values are filtered out; the placeholder only guards against the
+    # hashing UDF being evaluated ahead of that filter
+    safe = F.when(F.length("__v0") >= n, F.col("__v0")).otherwise(F.lit("\u0000" * n))
     k = (keys.withColumn("__kid", F.concat_ws("\u0001", *keys.columns))
-             .withColumn("__v", strip_non_word(name))
-             .where(F.length("__v") >= n))
-    d = dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias("__db"),
-                   F.col("match_key").alias("__v")).where(F.length("__v") >= n)
+             .withColumn("__v0", strip_non_word(name))
+             .where(F.length("__v0") >= n).withColumn("__v", safe))
+    d = (dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias("__db"),
+                    F.col("match_key").alias("__v0")).where(F.length("__v0") >= n)
+            .withColumn("__v", safe))
     stages = [RegexTokenizer(pattern="", minTokenLength=0, inputCol="__v", outputCol="__tok"),
               NGram(n=n, inputCol="__tok", outputCol="__ng"),
               HashingTF(inputCol="__ng", outputCol="__tf", numFeatures=num_features),
@@ -285,7 +289,11 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 
     sh = docs.select(F.col(id_col).alias("__id"), word_shingles(text_col, shingle).alias("__sh")) \
              .where(F.size("__sh") > 0)
-    tf = HashingTF(inputCol="__sh", outputCol="__tf", numFeatures=num_features, binary=True)
+    # the optimizer may evaluate the hashing UDF before the size filter; a
+    # placeholder token keeps it from failing on rows the filter removes
+    sh = sh.withColumn("__shs", F.when(F.size("__sh") > 0, F.col("__sh"))
+                       .otherwise(F.array(F.lit("\u0000"))))
+    tf = HashingTF(inputCol="__shs", outputCol="__tf", numFeatures=num_features, binary=True)
     v = tf.transform(sh)
     lsh = MinHashLSH(numHashTables=num_tables, seed=seed, inputCol="__tf", outputCol="__h").fit(v)
     pairs = lsh.approxSimilarityJoin(v, v, max_dist, distCol="dist")

@@ -344,3 +344,28 @@ def doc_near_dup(spark: SparkSession, d: str) -> DataFrame:
     text (approximate; the tests compare it with the exact join)."""
     docs = table(spark, d, "documents")
     return rs.near_duplicates(docs, "doc_id", "text").withColumn("dist", F.round("dist", 6))
+
+
+_SHINGLES_SQL = """
+SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS sh
+FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: length(x) > 0) AS w
+      FROM documents)
+"""
+
+
+@register("doc_near_dup_exact", sql=f"""
+WITH sh AS ({_SHINGLES_SQL}),
+tok AS (SELECT doc_id, len(sh) AS s, unnest(sh) AS t FROM sh WHERE len(sh) > 0),
+pairs AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, any_value(a.s) AS sa, any_value(b.s) AS sb,
+                 count(*) AS inter
+          FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2)
+SELECT CAST(id_a AS BIGINT) AS id_a, CAST(id_b AS BIGINT) AS id_b,
+       round(1.0 - CAST(inter AS DOUBLE) / CAST(sa + sb - inter AS DOUBLE), 6) AS dist
+FROM pairs WHERE 1.0 - CAST(inter AS DOUBLE) / CAST(sa + sb - inter AS DOUBLE) < 0.25
+""")
+def doc_near_dup_exact(spark: SparkSession, d: str) -> DataFrame:
+    """Exact near-duplicate documents (word 3-shingle Jaccard distance < 0.25)
+    by the prefix-filtered set-similarity join."""
+    docs = table(spark, d, "documents")
+    return rs.exact_near_duplicates(docs, "doc_id", "text").withColumn("dist", F.round("dist", 6))
