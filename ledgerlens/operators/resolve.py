@@ -132,10 +132,12 @@ def resolve_fuzzy(keys: DataFrame, dim: DataFrame, block: str, name: str,
 
 
 def _left_on_keys(keys: DataFrame, mapping: DataFrame, cols) -> DataFrame:
-    cond = [keys[c].eqNullSafe(mapping[c]) for c in cols]
-    extra = [c for c in mapping.columns if c not in cols]
-    return keys.join(mapping, cond, "left").select(*[keys[c] for c in keys.columns],
-                                                   *[mapping[c] for c in extra])
+    """Left join on key columns (null-safe); the mapping may derive from
+    ``keys`` itself, so its key columns are renamed first."""
+    m = mapping.select(*[F.col(c).alias(f"__m_{c}") for c in cols],
+                       *[c for c in mapping.columns if c not in cols])
+    cond = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in cols]
+    return keys.join(m, cond, "left").drop(*[f"__m_{c}" for c in cols])
 
 
 # ----------------------------------------------------------------- crosswalk
@@ -163,8 +165,9 @@ def resolve_crosswalk(keys: DataFrame, xwalk: DataFrame, dim: DataFrame, zip_col
 def remainder(rows: DataFrame, matched: DataFrame, key_cols) -> DataFrame:
     """Rows of ``rows`` with no row in ``matched`` on ``key_cols`` (J5):
     a left anti join (NOT EXISTS)."""
-    cond = [rows[c].eqNullSafe(matched[c]) for c in key_cols]
-    return rows.join(matched, cond, "left_anti")
+    m = matched.select(*[F.col(c).alias(f"__m_{c}") for c in key_cols])
+    cond = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in key_cols]
+    return rows.join(m, cond, "left_anti")
 
 
 def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: str, name: str,
@@ -214,9 +217,11 @@ def resolve_cascade(fact: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
         attrs = pdim.select(F.col(dim_id).alias("__did"), *dim_cols)
         mapping = mapping.join(attrs, mapping[dim_id] == attrs["__did"], "left").drop("__did")
     how = "left" if carry_blank_keys else "inner"
-    cond = [fact[c].eqNullSafe(mapping[c]) for c in (block, name, zip_col)]
-    out = fact.join(mapping, cond, how).select(
-        fact["*"], *[mapping[c] for c in mapping.columns if c not in (block, name, zip_col)])
+    kc = (block, name, zip_col)
+    m = mapping.select(*[F.col(c).alias(f"__m_{c}") for c in kc],
+                       *[c for c in mapping.columns if c not in kc])
+    cond = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in kc]
+    out = fact.join(m, cond, how).drop(*[f"__m_{c}" for c in kc])
     return out.withColumn(flag, F.col(dim_id).isNotNull())
 
 
