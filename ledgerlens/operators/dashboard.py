@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.geo import geohash, in_bbox
+from ledgerlens.functions.geo import in_bbox, with_geohash
 
 
 def _c(c):
@@ -127,7 +127,7 @@ def geo_grid(df: DataFrame, lat: str, lon: str, qty: str, precision: int = 3, bb
     extent (top, left, bottom, right) filter first (P16)."""
     if bbox is not None:
         df = df.where(in_bbox(lat, lon, *bbox))
-    return df.groupBy(geohash(lat, lon, precision).alias(cell_col)).agg(
+    return with_geohash(df, lat, lon, precision, cell_col).groupBy(cell_col).agg(
         F.sum(_c(qty)).alias("sum_qty"), F.count(F.lit(1)).alias("n_rows"),
         F.avg(_c(lat)).alias("centroid_lat"), F.avg(_c(lon)).alias("centroid_lon"))
 
