@@ -59,6 +59,12 @@ def normalize_name(c: Column | str, suffixes=AREA_SUFFIXES) -> Column:
     return strip_non_word(strip_suffix(c, suffixes))
 
 
+def int_flag(c: Column | str) -> Column:
+    """0/1 integer -> boolean; anything else, null included, is false."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.coalesce(c == F.lit(1), F.lit(False))
+
+
 def code_table(spark: SparkSession, pairs=STATE_CODES,
                name_col: str = "name", code_col: str = "code") -> DataFrame:
     """The fixed lookup list as a DataFrame (57 rows; bound fixed by definition)."""

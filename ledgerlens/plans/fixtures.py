@@ -19,7 +19,8 @@ Rules (see FIXTURES.md section 3):
                  sum(p_size) * 100.
 * ``crosswalk``  one row per part key (the "ZIP"): state p_brand and county
                  "<p_name> county" when p_partkey % 10 is 3 or 4, otherwise a
-                 stale name "old <p_name> county" that resolves to nothing.
+                 stale name "old <p_name> county" that resolves to nothing;
+                 ``decommissioned`` is a 0/1 integer (1 when p_size > 45).
 * ``geo``        one point per customer: lon = key % 360 - 179.5,
                  lat = key % 170 - 84.5.
 """
@@ -166,13 +167,15 @@ def crosswalk(spark: SparkSession, d: str) -> DataFrame:
     name = F.when(good, F.concat(F.col("p_name"), F.lit(" county"))) \
             .otherwise(F.concat(F.lit("old "), F.col("p_name"), F.lit(" county")))
     return p.select(pk.cast("string").alias("zip"), F.col("p_brand").alias("xw_state"),
-                    name.alias("xw_county"))
+                    name.alias("xw_county"),
+                    F.when(F.col("p_size") > 45, 1).otherwise(0).alias("decommissioned"))
 
 
 CROSSWALK_SQL = """
 SELECT CAST(p_partkey AS VARCHAR) AS zip, p_brand AS xw_state,
        CASE WHEN p_partkey % 10 IN (3, 4) THEN p_name || ' county'
-            ELSE 'old ' || p_name || ' county' END AS xw_county
+            ELSE 'old ' || p_name || ' county' END AS xw_county,
+       CASE WHEN p_size > 45 THEN 1 ELSE 0 END AS decommissioned
 FROM part
 """
 

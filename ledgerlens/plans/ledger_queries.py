@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.calendar import value_for_year, week_index, year_index
+from ledgerlens.functions.calendar import backfill, value_for_year, week_index, year_index
 from ledgerlens.operators import aggregate as agg
 from ledgerlens.operators.history import explode_slots, history
 from ledgerlens.operators.nulls import drop_nulls
@@ -62,6 +62,26 @@ def population_for_year(spark: SparkSession, d: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_rows"))
 
 
+@register("population_backfill", sql=fx.with_ctes(f"""
+SELECT nation_key, yi AS year_index,
+       CASE WHEN yi BETWEEN 0 AND 6 THEN [w.pop_y4, w.pop_y4, w.pop_y4, w.pop_y4, w.pop_y4,
+                                           w.pop_y5, w.pop_y6][yi + 1] END AS population,
+       count(*) AS n_rows
+FROM (SELECT t.nation_key, CAST(year(t.tx_date) - year({EPOCH_SQL}) AS BIGINT) AS yi, w.*
+      FROM tx t JOIN pop_wide w ON t.nation_key = w.nation_key) w
+GROUP BY 1, 2, 3
+""", tx=fx.TX_SQL, pop_wide=fx.POP_WIDE_SQL))
+def population_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """P8 + F7: the first four yearly columns copied from the fifth (as the
+    reference copies 2010 into 2006-2009), then the row's year picked."""
+    t = fx.tx(spark, d)
+    pw = backfill(fx.pop_wide(spark, d), fx.POP_COLS[:4], fx.POP_COLS[4])
+    t = t.join(F.broadcast(pw), "nation_key").withColumn(
+        "year_index", year_index("tx_date", fx.TX_EPOCH))
+    t = t.withColumn("population", value_for_year("year_index", fx.POP_COLS))
+    return t.groupBy("nation_key", "year_index", "population").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # ------------------------------------------------------------ weekly agg
 
 WEEKLY_KEYS_SQL = f"""

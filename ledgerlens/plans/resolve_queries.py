@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.text import AREA_SUFFIXES, STATE_CODES, map_code
+from ledgerlens.functions.text import (AREA_SUFFIXES, STATE_CODES, int_flag, map_code,
+                                       normalize_name)
 from ledgerlens.operators import aggregate as agg
 from ledgerlens.operators import resolve as rs
 from ledgerlens.plans import fixtures as fx
@@ -148,6 +149,18 @@ def normalize_dim(spark: SparkSession, d: str) -> DataFrame:
     return dim.select("dim_id", "dim_state", "clean_name", "match_key")
 
 
+@register("normalize_crosswalk", sql=fx.with_ctes(f"""
+SELECT zip, xw_state, {_norm_sql('xw_county')} AS county_key,
+       coalesce(decommissioned = 1, FALSE) AS decommissioned
+FROM crosswalk
+""", crosswalk=fx.CROSSWALK_SQL))
+def normalize_crosswalk(spark: SparkSession, d: str) -> DataFrame:
+    """P6 + F1-F3 on the crosswalk: 0/1 flag to boolean, county name to key."""
+    x = fx.crosswalk(spark, d)
+    return x.select("zip", "xw_state", normalize_name("xw_county").alias("county_key"),
+                    int_flag("decommissioned").alias("decommissioned"))
+
+
 _CODES_VALUES = ", ".join(f"('{n}', '{c}')" for n, c in STATE_CODES)
 _CODES_IDX_VALUES = ", ".join(f"({i}, '{n}', '{c}')" for i, (n, c) in enumerate(STATE_CODES))
 _STATE_IN_SQL = f"""
@@ -312,6 +325,21 @@ def split_counts(spark: SparkSession, d: str) -> DataFrame:
     return agg.split_counts(back, "has_match", "quantity")
 
 
+@register("split_matched_only", sql=_sql("""
+SELECT match_stage, count(*) AS n_rows, sum(quantity) AS sum_qty FROM resolved
+WHERE has_match GROUP BY 1
+""", "resolved"))
+def split_matched_only(spark: SparkSession, d: str) -> DataFrame:
+    """P2 over the K1 split: reading only ``has_match=true`` prunes the other
+    directory entirely (partition filter, no data read)."""
+    from ledgerlens.sources.sinks import read_split, write_split
+    path = scratch_path(spark, "split")
+    write_split(resolved(spark, d), "has_match", path)
+    back = read_split(spark, path, "has_match").where(F.col("has_match"))
+    return back.groupBy("match_stage").agg(F.count(F.lit(1)).alias("n_rows"),
+                                           F.sum("quantity").alias("sum_qty"))
+
+
 @register("disjunctive_join", sql=_sql(f"""
 SELECT k.buyer_state, k.buyer_county, k.buyer_zip, min(d.dim_id) AS dim_id
 FROM keys k
