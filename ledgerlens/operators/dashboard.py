@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.geo import in_bbox, with_geohash
+from ledgerlens.session import cut_lineage
 
 
 def _c(c):
@@ -92,27 +93,35 @@ def bucket_start(ts: Column | str, days: int) -> Column:
 def date_histogram(df: DataFrame, ts: str, qty: str, by: str, interval_days: int = 30,
                    size: int = 5, sum_col: str = "sum_qty", count_col: str = "n_rows") -> DataFrame:
     """Sum per time bucket per term, for the ``size`` terms with the largest
-    total (A6, A7).  Empty buckets are omitted.  The top-term set (``size``
-    rows) is broadcast into a semi join."""
-    top = top_n(df, by, qty, size).select(by)
-    kept = df.join(F.broadcast(top), by, "left_semi")
-    return kept.groupBy(bucket_start(ts, interval_days).alias("bucket_start"), by).agg(
+    total (A6, A7).  Empty buckets are omitted.  One pass over the rows: the
+    (bucket, term) aggregate is computed once, term totals and the top-term
+    set (``size`` rows, broadcast) are derived from it."""
+    cells = df.groupBy(bucket_start(ts, interval_days).alias("bucket_start"), by).agg(
         F.sum(_c(qty)).alias(sum_col), F.count(F.lit(1)).alias(count_col))
+    # read twice (totals, then the kept cells): written once, so the optimizer
+    # cannot push the semi join below the aggregate into a second scan
+    cells = cut_lineage(cells)
+    top = top_n(cells, by, sum_col, size, sum_col="__total").select(by)
+    return cells.join(F.broadcast(top), by, "left_semi")
 
 
 def nested_top_k(df: DataFrame, qty: str, levels, sum_prefix: str = "sum_") -> DataFrame:
     """Nested terms (A8): top k1 of level 1 by sum, within each the top k2 of
     level 2 by sum, and so on.  Returns one row per kept leaf path with the
-    sum at every level.  Each level aggregates only rows under kept parents
-    (a semi join against a set bounded by k1*k2*..., so broadcast)."""
+    sum at every level.  The rows are read once: everything is derived from
+    the finest-level aggregate, and each level keeps only children of kept
+    parents (a semi join against a set bounded by k1*k2*..., so broadcast)."""
+    cols = [c for c, _ in levels]
+    # the finest aggregate feeds every level: written once to the checkpoint
+    # folder so the rows are scanned once
+    fine = cut_lineage(df.groupBy(*cols).agg(F.sum(_c(qty)).alias("__q")))
     path: list[str] = []
     kept = None  # DataFrame of kept paths with their sums
     for col, k in levels:
-        rows = df if kept is None else df.join(F.broadcast(kept.select(*path)), path, "left_semi")
-        s = rows.groupBy(*path, col).agg(F.sum(_c(qty)).alias(sum_prefix + col))
-        w = Window.partitionBy(*path).orderBy(F.col(sum_prefix + col).desc(), F.col(col).asc()) \
-            if path else Window.orderBy(F.col(sum_prefix + col).desc(), F.col(col).asc())
+        rows = fine if kept is None else fine.join(F.broadcast(kept.select(*path)), path, "left_semi")
+        s = rows.groupBy(*path, col).agg(F.sum("__q").alias(sum_prefix + col))
         if path:
+            w = Window.partitionBy(*path).orderBy(F.col(sum_prefix + col).desc(), F.col(col).asc())
             ranked = s.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k).drop("__rk")
         else:
             ranked = s.orderBy(F.col(sum_prefix + col).desc(), F.col(col).asc()).limit(k)

@@ -65,20 +65,33 @@ def _prefix_len(size_col, t: float):
     return size_col - F.ceil(F.lit(t) * size_col).cast("int") + 1
 
 
-def jaccard_join(left: DataFrame, right: DataFrame, block: str, left_id: str,
-                 right_id: str, grams: str, max_dist: float) -> DataFrame:
+def jaccard_join(left: DataFrame, right: DataFrame | None, block: str, left_id: str,
+                 right_id: str, grams: str, max_dist: float,
+                 materialize: bool = True) -> DataFrame:
     """All (left_id, right_id, dist) in the same block with Jaccard distance
-    strictly below ``max_dist``.  ``left``/``right``: (id, block, grams array).
-    Exact: prefix filtering never drops a qualifying pair."""
+    strictly below ``max_dist``.  ``left``/``right``: (id, block, grams array);
+    ``right=None`` is a self join returning each pair once (left_id < right_id).
+
+    Exact: prefix filtering never drops a qualifying pair.  The set tables
+    are read three times (token frequencies, prefixes, verification), so they
+    are first written to the shared checkpoint folder (``materialize``)."""
+    from ledgerlens.session import cut_lineage
     t = 1.0 - max_dist  # similarity must exceed t
     lt = left.select(F.col(left_id).alias("__lid"), F.col(block).alias("__b"),
                      F.col(grams).alias("__lg"))
-    rt = right.select(F.col(right_id).alias("__rid"), F.col(block).alias("__b"),
-                      F.col(grams).alias("__rg"))
+    if materialize:
+        lt = cut_lineage(lt)
+    if right is None:
+        rt = lt.select(F.col("__lid").alias("__rid"), "__b", F.col("__lg").alias("__rg"))
+    else:
+        rt = right.select(F.col(right_id).alias("__rid"), F.col(block).alias("__b"),
+                          F.col(grams).alias("__rg"))
+        if materialize:
+            rt = cut_lineage(rt)
     # global token frequency (bounded by the distinct-token domain)
-    toks = (lt.select(F.explode("__lg").alias("__tok"))
-              .unionByName(rt.select(F.explode("__rg").alias("__tok")))
-              .groupBy("__tok").agg(F.count(F.lit(1)).alias("__f")))
+    ltok = lt.select(F.explode("__lg").alias("__tok"))
+    alltok = ltok if right is None else ltok.unionByName(rt.select(F.explode("__rg").alias("__tok")))
+    toks = alltok.groupBy("__tok").agg(F.count(F.lit(1)).alias("__f"))
 
     def prefix(df, idc, gc):
         ex = df.select(idc, "__b", F.size(gc).alias("__s"), F.explode(gc).alias("__tok"))
@@ -87,11 +100,19 @@ def jaccard_join(left: DataFrame, right: DataFrame, block: str, left_id: str,
         ex = ex.withColumn("__pos", F.row_number().over(w))
         return ex.where(F.col("__pos") <= _prefix_len(F.col("__s"), t)).select(idc, "__b", "__tok")
 
-    cand = (prefix(lt, "__lid", "__lg").join(prefix(rt, "__rid", "__rg"), ["__b", "__tok"])
-            .select("__lid", "__rid").distinct())
+    lp = prefix(lt, "__lid", "__lg")
+    if right is None:
+        rp = lp.select(F.col("__lid").alias("__rid"), "__b", "__tok")
+        cand = lp.join(rp, ["__b", "__tok"]).where(F.col("__lid") < F.col("__rid"))
+    else:
+        cand = lp.join(prefix(rt, "__rid", "__rg"), ["__b", "__tok"])
+    cand = cand.select("__lid", "__rid").distinct()
     v = cand.join(lt.drop("__b"), "__lid").join(rt.drop("__b"), "__rid")
     inter = F.size(F.array_intersect("__lg", "__rg"))
     union = F.size("__lg") + F.size("__rg") - inter
+    # length filter first: |B| >= t|A| and |A| >= t|B| are necessary
+    sa, sb = F.size("__lg"), F.size("__rg")
+    v = v.where((sb >= F.lit(t) * sa) & (sa >= F.lit(t) * sb))
     v = v.withColumn("dist", F.lit(1.0) - inter.cast("double") / union.cast("double"))
     return v.where(F.col("dist") < F.lit(max_dist)).select(
         F.col("__lid").alias(left_id), F.col("__rid").alias(right_id), "dist")
@@ -111,7 +132,8 @@ def fuzzy_candidates(keys: DataFrame, dim: DataFrame, block: str, name: str,
                    char_ngrams(F.col("match_key"), n).alias("__g"))
     pairs = jaccard_join(k.where(F.size("__g") > 0), d.where(F.size("__g") > 0),
                          block, "__kid", "__did", "__g", max_dist)
-    return k.join(pairs, "__kid").select(block, name, F.col("__did").alias(dim_id), "dist")
+    return k.select("__kid", block, name).join(pairs, "__kid").select(
+        block, name, F.col("__did").alias(dim_id), "dist")
 
 
 def best_match(pairs: DataFrame, key_cols, dim_id: str = "dim_id", dist: str = "dist") -> DataFrame:
@@ -187,8 +209,11 @@ def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
     nonblank = (F.coalesce(F.col(block), F.lit("")) != "") & (F.coalesce(F.col(name), F.lit("")) != "")
     fz_in = rest1.where(nonblank)
     blank = rest1.where(~nonblank)
-    best = best_match(fuzzy_candidates(fz_in, dim, block, name, dim_id, dim_block, n, max_dist),
-                      [block, name], dim_id)
+    from ledgerlens.session import cut_lineage
+    # one row per fuzzy-matched name, read twice below: materialise it once
+    best = cut_lineage(best_match(
+        fuzzy_candidates(fz_in, dim, block, name, dim_id, dim_block, n, max_dist),
+        [block, name], dim_id))
     fz = fz_in.join(best, [block, name])
     s2 = fz.select(*cols, dim_id).withColumn("match_stage", F.lit("fuzzy"))
     rest2 = remainder(fz_in, best, [block, name])
@@ -203,14 +228,20 @@ def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
 def resolve_cascade(fact: DataFrame, dim: DataFrame, xwalk: DataFrame, block: str, name: str,
                     zip_col: str, dim_cols=(), dim_id: str = "dim_id",
                     dim_block: str = "dim_state", dim_name: str = "dim_name",
-                    carry_blank_keys: bool = True, flag: str = "has_match", **kw) -> DataFrame:
+                    carry_blank_keys: bool = True, flag: str = "has_match",
+                    materialize: bool = True, **kw) -> DataFrame:
     """Attach the resolved dimension row to every fact row.
 
     Output: all fact columns (none projected away, T3), ``dim_id``, the
     requested ``dim_cols``, ``match_stage`` (exact / fuzzy / crosswalk /
     null) and the boolean ``flag``."""
+    from ledgerlens.session import cut_lineage
     pdim = prepare_dim(dim, dim_id, dim_block, dim_name, kw.get("suffixes", AREA_SUFFIXES))
     keys = fact.select(block, name, zip_col).distinct()
+    if materialize:
+        # both are read by every stage: write them once to the shared
+        # checkpoint folder instead of re-deriving them from the fact
+        pdim, keys = cut_lineage(pdim), cut_lineage(keys)
     mapping = cascade_mapping(keys, pdim, xwalk, block, name, zip_col, dim_id, dim_block,
                               carry_blank_keys=carry_blank_keys, **kw)
     if dim_cols:
@@ -308,16 +339,15 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 
 def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
                           max_dist: float = 0.25) -> DataFrame:
-    """Exact counterpart of :func:`near_duplicates` by prefix-filtered set
-    similarity join (no block: one global block)."""
-    from ledgerlens.functions.text import word_shingles
-
-    sh = docs.select(F.col(id_col).alias("__id"), F.lit(0).alias("__b"),
-                     word_shingles(text_col, shingle).alias("__sh")).where(F.size("__sh") > 0)
-    pairs = jaccard_join(sh, sh.withColumnRenamed("__id", "__id2"), "__b", "__id", "__id2",
-                         "__sh", max_dist)
-    return pairs.where(F.col("__id") < F.col("__id2")).select(
-        F.col("__id").alias("id_a"), F.col("__id2").alias("id_b"), "dist")
+    """Exact counterpart of :func:`near_duplicates`: prefix-filtered
+    set-similarity self join over word shingles of the whole texts."""
+    from ledgerlens.functions.text import token_ngrams, words
+
+    w = docs.select(F.col(id_col).alias("__id"), words(text_col).alias("__w"))
+    sh = w.select("__id", F.lit(0).alias("__b"), token_ngrams(F.col("__w"), shingle).alias("__sh")) \
+          .where(F.size("__sh") > 0)
+    pairs = jaccard_join(sh, None, "__b", "__id", "__id2", "__sh", max_dist)
+    return pairs.select(F.col("__id").alias("id_a"), F.col("__id2").alias("id_b"), "dist")
 
 
 def prefix_length(size: int, max_dist: float) -> int:

@@ -11,6 +11,7 @@ from ledgerlens.operators.history import explode_slots, history
 from ledgerlens.operators.nulls import drop_nulls
 from ledgerlens.plans import fixtures as fx
 from ledgerlens.plans.registry import register
+from ledgerlens.session import cut_lineage
 from ledgerlens.sources.tables import table
 
 EPOCH_SQL = f"DATE '{fx.TX_EPOCH}'"
@@ -184,7 +185,8 @@ SELECT *, avg(pill_count) OVER (PARTITION BY category) AS predicted FROM weekly
 def predicted(spark: SparkSession, d: str) -> DataFrame:
     """Weekly aggregate with a group-mean predictor (the mean weekly quantity
     of the row's category): a stand-in for the forest, expressible in SQL."""
-    w = weekly(spark, d)
+    # the weekly aggregate is read three times (means, rows, stddev): once written
+    w = cut_lineage(weekly(spark, d))
     means = w.groupBy("category").agg(F.avg("pill_count").alias("predicted"))
     # one row per category: bounded by the category domain, not by the data
     return w.join(means, "category")

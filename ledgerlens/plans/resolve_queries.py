@@ -11,7 +11,7 @@ from ledgerlens.operators import aggregate as agg
 from ledgerlens.operators import resolve as rs
 from ledgerlens.plans import fixtures as fx
 from ledgerlens.plans.registry import register
-from ledgerlens.session import scratch_path
+from ledgerlens.session import cut_lineage, scratch_path
 from ledgerlens.sources.tables import table
 
 KEYS = ("buyer_state", "buyer_county", "buyer_zip")
@@ -130,13 +130,15 @@ def _sql(body: str, *needed: str) -> str:
 
 def _inputs(spark: SparkSession, d: str):
     t = fx.tx(spark, d)
-    dim = rs.prepare_dim(fx.name_dim(spark, d), "dim_id", "dim_state", "dim_name")
+    dim = cut_lineage(rs.prepare_dim(fx.name_dim(spark, d), "dim_id", "dim_state", "dim_name"))
     xw = fx.crosswalk(spark, d)
     return t, dim, xw
 
 
 def _keys(t: DataFrame) -> DataFrame:
-    return t.select(*KEYS).distinct()
+    """Distinct place keys of the ledger, written once to the checkpoint
+    folder: every stage reads them, none should re-derive them from the fact."""
+    return cut_lineage(t.select(*KEYS).distinct())
 
 
 # ------------------------------------------------------------------ queries
@@ -306,10 +308,10 @@ def reconcile_counts(spark: SparkSession, d: str) -> DataFrame:
     """Fact vs stage row counts (A22); the cascade conserves rows."""
     t = fx.tx(spark, d)
     r = resolved(spark, d)
-    st = F.col("match_stage")
-    return agg.reconcile_counts({
-        "fact": t, "exact": r.where(st == "exact"), "fuzzy": r.where(st == "fuzzy"),
-        "crosswalk": r.where(st == "crosswalk"), "unmatched": r.where(st.isNull())})
+    # one pass over the resolved table for all stage counts, one over the fact
+    by_stage = r.groupBy(F.coalesce("match_stage", F.lit("unmatched")).alias("table")).agg(
+        F.count(F.lit(1)).alias("n_rows"))
+    return agg.reconcile_counts({"fact": t}).unionByName(by_stage)
 
 
 @register("split_counts", sql=_sql("""
