@@ -170,16 +170,16 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS D
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 """)
 def csv_strict_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Orders written as TSV with null token 'null' and dates as
-    MMddyyyy, nation as plain CSV; both read back strictly with explicit
-    schemas and joined (through customer) again."""
+    """Orders written as bzip2-compressed TSV (splittable) with
+    null token 'null' and dates as MMddyyyy, nation as plain CSV; both read
+    back strictly with explicit schemas and joined (through customer) again."""
     o = table(spark, d, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
         F.col("o_orderdate").cast("date").alias("o_orderdate"),
         F.when(F.col("o_orderstatus") == "F", F.lit(None).cast("string"))
          .otherwise(F.col("o_orderpriority")).alias("o_note"))
     opath, npath = scratch_path(spark, "orders-tsv"), scratch_path(spark, "nation-csv")
-    write_csv(o, opath, sep="\t", null_token="null", date_format="MMddyyyy")
+    write_csv(o, opath, sep="\t", null_token="null", date_format="MMddyyyy", compression="bzip2")
     write_csv(table(spark, d, "nation"), npath)
     o2 = scan_csv(spark, opath, ORDERS_TEXT_SCHEMA, sep="\t", null_token="null",
                   date_format="MMddyyyy")

@@ -156,3 +156,12 @@ def test_empty_input_keeps_schema(spark):
     assert db.date_histogram(df, "ts", "q", "k").count() == 0
     assert history(df.withColumn("t", F.lit(1)), ["k"], "t", "q").count() == 0
     assert agg.weighted_entropy(df, "k", "q").collect()[0][0] is None
+
+
+def test_untyped_header_scan_is_all_strings(spark, tmp_path):
+    from ledgerlens.sources.csv import scan_csv
+    p = tmp_path / "u.csv"
+    p.write_text("a,b\n1,2.5\n2,x\n")
+    df = scan_csv(spark, str(p))
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "string"]
+    assert df.count() == 2
