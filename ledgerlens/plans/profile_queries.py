@@ -76,7 +76,7 @@ def sample_extract(spark: SparkSession, d: str) -> DataFrame:
 
 @register("hash_split", sql=f"""
 SELECT CASE WHEN {_md5_frac_sql('o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS side,
-       count(*) AS n_rows, sum(o_orderkey) AS key_sum
+       count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
 FROM orders GROUP BY 1
 """)
 def hash_split_q(spark: SparkSession, d: str) -> DataFrame:
