@@ -340,14 +340,41 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
 def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
                           max_dist: float = 0.25) -> DataFrame:
     """Exact counterpart of :func:`near_duplicates`: prefix-filtered
-    set-similarity self join over word shingles of the whole texts."""
+    set-similarity self join over word shingles of the whole texts.
+
+    Documents with identical shingle sets are collapsed first (grouped by a
+    digest of the sorted set), so candidate generation runs over distinct
+    sets only: a block of m exact copies costs one set in the join, and its
+    m(m-1)/2 result pairs are produced once, by an equi-join on the digest,
+    instead of once per shared prefix token."""
     from ledgerlens.functions.text import token_ngrams, words
+    from ledgerlens.session import cut_lineage
 
     w = docs.select(F.col(id_col).alias("__id"), words(text_col).alias("__w"))
-    sh = w.select("__id", F.lit(0).alias("__b"), token_ngrams(F.col("__w"), shingle).alias("__sh")) \
-          .where(F.size("__sh") > 0)
-    pairs = jaccard_join(sh, None, "__b", "__id", "__id2", "__sh", max_dist)
-    return pairs.select(F.col("__id").alias("id_a"), F.col("__id2").alias("id_b"), "dist")
+    sh = w.select("__id", token_ngrams(F.col("__w"), shingle).alias("__sh")) \
+          .where(F.size("__sh") > 0) \
+          .withColumn("__sig", F.sha2(F.array_join(F.array_sort("__sh"), "\u0001"), 256))
+    sh = cut_lineage(sh, "shingles")
+    # one representative (smallest id) per distinct set; the id -> digest
+    # table is small next to the shingle arrays, which are never shuffled here
+    reps = sh.groupBy("__sig").agg(F.min("__id").alias("__rep"))
+    members = cut_lineage(sh.select("__id", "__sig").join(reps, "__sig"), "members")
+    sets = sh.join(members.where(F.col("__id") == F.col("__rep")).select("__id"), "__id") \
+             .select(F.col("__id").alias("__rep"), F.lit(0).alias("__b"), "__sh")
+    rep_pairs = jaccard_join(sets, None, "__b", "__rep", "__rep2", "__sh", max_dist,
+                             materialize=False)
+    # expand representative pairs to member pairs
+    ma = members.select(F.col("__rep").alias("__rep"), F.col("__id").alias("__a"))
+    mb = members.select(F.col("__rep").alias("__rep2"), F.col("__id").alias("__bb"))
+    cross = (rep_pairs.join(ma, "__rep").join(mb, "__rep2")
+             .select(F.least("__a", "__bb").alias("id_a"), F.greatest("__a", "__bb").alias("id_b"),
+                     "dist"))
+    # identical sets: distance 0 among members of one digest
+    la = members.select("__sig", F.col("__id").alias("id_a"))
+    lb = members.select("__sig", F.col("__id").alias("id_b"))
+    same = la.join(lb, "__sig").where(F.col("id_a") < F.col("id_b")) \
+             .select("id_a", "id_b", F.lit(0.0).alias("dist"))
+    return cross.unionByName(same)
 
 
 def prefix_length(size: int, max_dist: float) -> int:
