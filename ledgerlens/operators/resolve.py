@@ -330,7 +330,9 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     sh = sh.withColumn("__shs", F.when(F.size("__sh") > 0, F.col("__sh"))
                        .otherwise(F.array(F.lit("\u0000"))))
     tf = HashingTF(inputCol="__shs", outputCol="__tf", numFeatures=num_features, binary=True)
-    v = tf.transform(sh)
+    from ledgerlens.session import cut_lineage
+    # hashed once (both join sides and the fit read it), only id + vector kept
+    v = cut_lineage(tf.transform(sh).select("__id", "__tf"), "minhash-input")
     lsh = MinHashLSH(numHashTables=num_tables, seed=seed, inputCol="__tf", outputCol="__h").fit(v)
     pairs = lsh.approxSimilarityJoin(v, v, max_dist, distCol="dist")
     return pairs.where(F.col("datasetA.__id") < F.col("datasetB.__id")).select(
