@@ -315,16 +315,28 @@ def resolve_fuzzy_lsh(keys: DataFrame, dim: DataFrame, block: str, name: str,
     return k.select(*keys.columns, "__kid").join(best, "__kid").drop("__kid")
 
 
+def shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
+    """(__id, __sh): distinct word ``shingle``-grams of each whole text, for
+    texts with at least ``shingle`` words.  Words are lower-cased whitespace
+    tokens; the n-grams come from Spark ML's NGram (one JVM pass per row).
+    The emptiness test is on the word count, so the n-gram expression is
+    never evaluated twice (once for a pushed-down filter, once for output)."""
+    from pyspark.ml.feature import NGram
+    from ledgerlens.functions.text import words
+    w = docs.select(F.col(id_col).alias("__id"), words(text_col).alias("__w")) \
+            .where(F.size("__w") >= shingle)
+    ng = NGram(n=shingle, inputCol="__w", outputCol="__ng").transform(w)
+    return ng.select("__id", F.array_distinct("__ng").alias("__sh"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
                     max_dist: float = 0.25, num_tables: int = 3, seed: int = 42,
                     num_features: int = 1 << 20) -> DataFrame:
     """Near-duplicate document pairs by MinHash LSH over word shingles of the
     whole text (J4 applied to documents): (id_a, id_b, dist), id_a < id_b."""
     from pyspark.ml.feature import HashingTF, MinHashLSH
-    from ledgerlens.functions.text import word_shingles
 
-    sh = docs.select(F.col(id_col).alias("__id"), word_shingles(text_col, shingle).alias("__sh")) \
-             .where(F.size("__sh") > 0)
+    sh = shingle_sets(docs, id_col, text_col, shingle)
     # the optimizer may evaluate the hashing UDF before the size filter; a
     # placeholder token keeps it from failing on rows the filter removes
     sh = sh.withColumn("__shs", F.when(F.size("__sh") > 0, F.col("__sh"))
@@ -349,13 +361,10 @@ def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle:
     sets only: a block of m exact copies costs one set in the join, and its
     m(m-1)/2 result pairs are produced once, by an equi-join on the digest,
     instead of once per shared prefix token."""
-    from ledgerlens.functions.text import token_ngrams, words
     from ledgerlens.session import cut_lineage
 
-    w = docs.select(F.col(id_col).alias("__id"), words(text_col).alias("__w"))
-    sh = w.select("__id", token_ngrams(F.col("__w"), shingle).alias("__sh")) \
-          .where(F.size("__sh") > 0) \
-          .withColumn("__sig", F.sha2(F.array_join(F.array_sort("__sh"), "\u0001"), 256))
+    sh = shingle_sets(docs, id_col, text_col, shingle) \
+        .withColumn("__sig", F.sha2(F.array_join(F.array_sort("__sh"), "\u0001"), 256))
     sh = cut_lineage(sh, "shingles")
     # one representative (smallest id) per distinct set; the id -> digest
     # table is small next to the shingle arrays, which are never shuffled here
