@@ -29,9 +29,6 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.text import (AREA_SUFFIXES, char_ngrams, normalize_name,
                                        strip_non_word, strip_suffix)
 
-STAGES = ("exact", "fuzzy", "crosswalk")
-
-
 def prepare_dim(dim: DataFrame, dim_id: str, dim_block: str, dim_name: str,
                 suffixes=AREA_SUFFIXES) -> DataFrame:
     """Dimension with its clean display name and match key."""

@@ -9,7 +9,6 @@ setting gets a fresh ``mktemp`` folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,12 +84,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_local_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(path.replace("file://", "")) or ".", exist_ok=True)
