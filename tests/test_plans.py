@@ -8,7 +8,7 @@ from conftest import SMALL
 
 Q = E.queries()
 # queries whose plans are built without running side jobs first
-PLAN_QUERIES = sorted(n for n in E.oracle_sql()
+PLAN_QUERIES = sorted(n for n in list(E.oracle_sql()) + ["rf_predict", "kmeans_cost", "feature_scale"]
                       if n not in {"split_counts", "export_json_roundtrip", "sample_extract",
                                    "csv_strict_roundtrip", "schema_drift_union", "json_ingest",
                                    "stream_upsert"})
