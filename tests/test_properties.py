@@ -154,3 +154,17 @@ def test_jaccard_join_exact_against_brute_force(spark):
         if A and B and 1 - len(A & B) / len(A | B) < 0.4:
             want.add((min(a, b), max(a, b)))
     assert got == want
+
+
+def test_results_independent_of_shuffle_partitions(spark):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    outs = []
+    try:
+        for n in ("3", "11"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            outs.append({name: sorted(repr(tuple(r)) for r in Q[name](spark, SMALL).collect())
+                         for name in ("resolve_cascade", "nested_terms", "history_window",
+                                      "doc_near_dup_exact")})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert outs[0] == outs[1]
