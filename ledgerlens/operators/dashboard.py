@@ -91,13 +91,21 @@ def bucket_start(ts: Column | str, days: int) -> Column:
 
 
 def date_histogram(df: DataFrame, ts: str, qty: str, by: str, interval_days: int = 30,
-                   size: int = 5, sum_col: str = "sum_qty", count_col: str = "n_rows") -> DataFrame:
-    """Sum per time bucket per term, for the ``size`` terms with the largest
-    total (A6, A7).  Empty buckets are omitted.  One pass over the rows: the
-    (bucket, term) aggregate is computed once, term totals and the top-term
-    set (``size`` rows, broadcast) are derived from it."""
+                   size: int = 5, sum_col: str = "sum_qty", count_col: str = "n_rows",
+                   rank_within: str = "total") -> DataFrame:
+    """Sum per time bucket per term (A6, A7).  Empty buckets are omitted.
+
+    ``rank_within="total"``: the ``size`` terms with the largest sum over the
+    whole range, in every bucket.  ``rank_within="bucket"``: the ``size``
+    largest terms of each bucket (terms nested under the histogram).  One
+    pass over the rows: the (bucket, term) aggregate is computed once and
+    ranked afterwards (the top-term set has ``size`` rows and is broadcast)."""
     cells = df.groupBy(bucket_start(ts, interval_days).alias("bucket_start"), by).agg(
         F.sum(_c(qty)).alias(sum_col), F.count(F.lit(1)).alias(count_col))
+    if rank_within == "bucket":
+        w = Window.partitionBy("bucket_start").orderBy(F.col(sum_col).desc(), F.col(by).asc())
+        return cells.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= size) \
+                    .drop("__rk")
     # read twice (totals, then the kept cells): written once, so the optimizer
     # cannot push the semi join below the aggregate into a second scan
     cells = cut_lineage(cells)

@@ -160,6 +160,24 @@ def date_histogram_terms(spark: SparkSession, d: str) -> DataFrame:
     return db.date_histogram(r, "tx_date", "quantity", "category", HIST_DAYS, 5)
 
 
+@register("date_histogram_bucket_terms", sql=_sql(f"""
+SELECT bucket_start, category, sum_qty, n_rows FROM (
+  SELECT *, row_number() OVER (PARTITION BY bucket_start ORDER BY sum_qty DESC, category) AS rk
+  FROM (SELECT DATE '1970-01-01' + CAST(floor(date_diff('day', DATE '1970-01-01', tx_date) / {HIST_DAYS})
+                 * {HIST_DAYS} AS INTEGER) AS bucket_start, category,
+               sum(quantity) AS sum_qty, count(*) AS n_rows
+        FROM docs
+        WHERE CAST(tx_date AS TIMESTAMP) >= TIMESTAMP '{TIME_LO}'
+          AND CAST(tx_date AS TIMESTAMP) < TIMESTAMP '{TIME_HI}'
+        GROUP BY 1, 2)) WHERE rk <= 3
+"""))
+def date_histogram_bucket_terms(spark: SparkSession, d: str) -> DataFrame:
+    """A6 with the terms nested under the histogram: the top 3 categories of
+    each 30-day bucket."""
+    r = db.time_range(docs(spark, d), "tx_date", TIME_LO, TIME_HI)
+    return db.date_histogram(r, "tx_date", "quantity", "category", HIST_DAYS, 3, rank_within="bucket")
+
+
 def _auto_days() -> int:
     from datetime import datetime
     span = (datetime.fromisoformat(TIME_HI) - datetime.fromisoformat(TIME_LO)).days
