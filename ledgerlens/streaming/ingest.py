@@ -8,10 +8,10 @@
 * :func:`upsert_stream` applies every micro-batch to a keyed target so that
   replays overwrite and never duplicate.  Each batch is reduced to its latest
   row per key with a ``max(struct(order..., row...))`` aggregate (partial
-  aggregation: a hot key costs one row per task), merged with the previous
-  version and written as a *new* version directory; the plan never
-  overwrites what it reads, and a re-run of the same epoch rewrites the same
-  version with the same content.
+  aggregation: a hot key costs one row per task) and merged only into the
+  hash buckets its keys touch; the merged buckets are written as a *new*
+  version and a manifest commits them, so the plan never overwrites what it
+  reads and a re-run of the same epoch rewrites the same version.
 """
 
 from __future__ import annotations
@@ -59,8 +59,8 @@ def latest_per_key(df: DataFrame, key: str, order) -> DataFrame:
     return df.groupBy(key).agg(F.max(packed).alias("__m")).select(key, "__m.*").select(*df.columns)
 
 
-def _version_path(target: str, epoch: int) -> str:
-    return f"{target.rstrip('/')}/{VERSION_COL}={epoch:012d}"
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
 def merge_batch(state: DataFrame | None, batch: DataFrame, key: str, order) -> DataFrame:
@@ -77,28 +77,68 @@ def merge_batch(state: DataFrame | None, batch: DataFrame, key: str, order) -> D
     return untouched.unionByName(latest_per_key(touched, key, order))
 
 
+def _manifest(spark: SparkSession, target: str, before: int | None = None):
+    """(version, {bucket: path}) of the newest committed version (< before)."""
+    root = f"{target.rstrip('/')}/manifest"
+    try:
+        m = spark.read.parquet(root)
+    except Exception:  # noqa: BLE001 -- nothing committed yet
+        return None, {}
+    if before is not None:
+        m = m.where(F.col(VERSION_COL) < F.lit(before))
+    v = m.agg(F.max(VERSION_COL)).first()[0]
+    if v is None:
+        return None, {}
+    # one row per bucket: bounded by the bucket count, not by the data
+    rows = m.where(F.col(VERSION_COL) == F.lit(v)).select("bucket", "path").collect()
+    return v, {r.bucket: r.path for r in rows}
+
+
 def read_current(spark: SparkSession, target: str) -> DataFrame:
-    """The newest complete version of an upsert target."""
-    allv = spark.read.parquet(target)
-    v = allv.agg(F.max(VERSION_COL)).first()[0]
-    return allv.where(F.col(VERSION_COL) == F.lit(v)).drop(VERSION_COL)
+    """The newest committed version of an upsert target."""
+    _, paths = _manifest(spark, target)
+    if not paths:
+        raise FileNotFoundError(f"no committed version under {target}")
+    return spark.read.parquet(*sorted(set(paths.values())))
 
 
 def upsert_stream(sdf: DataFrame, target: str, key: str, order, checkpoint: str,
-                  available_now: bool = True) -> None:
-    """Run the stream to completion (``availableNow``) applying each
-    micro-batch as an idempotent keyed upsert into versioned Parquet."""
+                  available_now: bool = True, buckets: int = 64) -> None:
+    """Run the stream (``availableNow``) applying each micro-batch as an
+    idempotent keyed upsert into bucketed, versioned Parquet.
+
+    State rows live in ``buckets`` hash buckets of the key.  A micro-batch
+    rewrites only the buckets its keys fall into: it reads those buckets'
+    current files, merges, writes them under a new version directory, then
+    commits a manifest (bucket -> files) in which untouched buckets keep
+    pointing at their older files.  No plan overwrites what it reads; a
+    re-run of the same epoch rewrites the same version with the same
+    content; the driver only handles bucket ids and manifest rows (at most
+    ``buckets`` of each)."""
     spark = sdf.sparkSession
+    root = target.rstrip("/")
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        state = None
-        if epoch > 0:
-            try:
-                state = spark.read.parquet(_version_path(target, epoch - 1))
-            except Exception:  # noqa: BLE001 -- no earlier version yet
-                state = None
-        merged = merge_batch(state, batch, key, order)
-        merged.write.mode("overwrite").parquet(_version_path(target, epoch))
+        latest = latest_per_key(batch, key, order).withColumn("__bucket", _bucket(key, buckets))
+        latest = latest.persist()
+        try:
+            touched = sorted(r[0] for r in latest.select("__bucket").distinct().collect())
+            if not touched:
+                return
+            _, prev = _manifest(spark, root, before=epoch)
+            old = [prev[b] for b in touched if b in prev]
+            state = spark.read.parquet(*old) if old else None
+            merged = merge_batch(state, latest.drop("__bucket"), key, order)
+            out = f"{root}/data/{VERSION_COL}={epoch:012d}"
+            # rebalance by bucket: few files per bucket, skewed buckets split
+            (merged.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket")
+                   .write.mode("overwrite").partitionBy("bucket").parquet(out))
+            new = dict(prev)
+            new.update({b: f"{out}/bucket={b}" for b in touched})
+            man = spark.createDataFrame(sorted(new.items()), "bucket int, path string")
+            man.write.mode("overwrite").parquet(f"{root}/manifest/{VERSION_COL}={epoch:012d}")
+        finally:
+            latest.unpersist()
 
     w = sdf.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
