@@ -165,3 +165,14 @@ def test_untyped_header_scan_is_all_strings(spark, tmp_path):
     df = scan_csv(spark, str(p))
     assert [f.dataType.simpleString() for f in df.schema.fields] == ["string", "string"]
     assert df.count() == 2
+
+
+def test_read_drifted_both_ways(spark, tmp_path):
+    from ledgerlens.sources.tables import read_drifted
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame([(1, "x")], "k long, v string").write.parquet(a)
+    spark.createDataFrame([(2,)], "k long").write.parquet(b)
+    for merge in (False, True):
+        rows = sorted(tuple(r) for r in read_drifted(spark, [a, b], merge_schema=merge)
+                      .select("k", "v").collect())
+        assert rows == [(1, "x"), (2, None)]
