@@ -176,3 +176,13 @@ def test_read_drifted_both_ways(spark, tmp_path):
         rows = sorted(tuple(r) for r in read_drifted(spark, [a, b], merge_schema=merge)
                       .select("k", "v").collect())
         assert rows == [(1, "x"), (2, None)]
+
+
+def test_history_range_frame_uses_true_lags(spark):
+    # weeks 0, 1, 5, 20: a range frame of 13 weeks sees only values within 13 weeks
+    df = spark.createDataFrame([(0, w, float(w)) for w in (0, 1, 5, 20)], "g long, t long, v double")
+    h = {r.t: r.history for r in history(df, ["g"], "t", "v", n=13, frame="range", pad="left").collect()}
+    assert h[5] == [0.0] * 11 + [0.0, 1.0]
+    assert h[20] == [0.0] * 13          # week 5 is 15 weeks back: outside the frame
+    hr = {r.t: r.history for r in history(df, ["g"], "t", "v", n=13).collect()}
+    assert hr[20] == [0.0, 1.0, 5.0] + [0.0] * 10   # row frame: the 3 previous rows
