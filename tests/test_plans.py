@@ -26,11 +26,15 @@ def test_no_python_udf_no_cartesian(spark, name):
 
 
 def test_scan_prunes_columns(spark):
-    df = Q["kpi_total"](spark, SMALL)
-    p = plan_text(df)
+    from ledgerlens.plans import fixtures as fx
+    p = plan_text(fx.tx_plan(spark, SMALL).select("quantity"))
     # lineitem is read for quantity and the join keys only
     line = [ln for ln in p.splitlines() if "lineitem" in ln and "ReadSchema" in ln]
-    assert line and "l_comment" not in line[0] and "l_tax" not in line[0]
+    assert line and "l_tax" not in line[0] and "l_shipdate" not in line[0]
+    # the written ledger is read for the needed columns only
+    p = plan_text(Q["kpi_total"](spark, SMALL))
+    line = [ln for ln in p.splitlines() if "ledger-" in ln and "ReadSchema" in ln]
+    assert line and "buyer_county" not in line[0] and "quantity" in line[0]
 
 
 def test_time_filter_pushed_to_scan(spark):
@@ -44,5 +48,5 @@ def test_time_filter_pushed_to_scan(spark):
 
 def test_bounded_dimensions_broadcast(spark):
     from ledgerlens.plans import fixtures as fx
-    p = plan_text(fx.tx(spark, SMALL))
+    p = plan_text(fx.tx_plan(spark, SMALL))
     assert "BroadcastHashJoin" in p or "BroadcastExchange" in p
