@@ -64,10 +64,12 @@ def main(argv):
     print("Counts are nodes of the final adaptive plan of each registered query "
           "(the query's own plan; jobs it ran before, such as written intermediates, "
           "are not included).  `pruned` = scans reading fewer columns than the file has / all scans.\n")
-    print("Reading notes: at this scale every dimension and even `orders` fit under AQE's "
-          "runtime broadcast threshold, so joins show as broadcast hash joins; at 100 TB the "
-          "ledger joins (lineitem-orders, -customer, -part) plan as sort-merge joins and only "
-          "the bounded tables (nation, region, code list, top-n sets, centroids) stay broadcast.  "
+    print("Reading notes: queries scan the flat ledger table written once per data directory "
+          "(its own derivation, lineitem-orders-customer-part, is a separate job).  At this scale "
+          "the remaining join partners (population, coordinates, resolution mapping, dimension) "
+          "fit under AQE's runtime broadcast threshold, so joins show as broadcast hash joins; at "
+          "100 TB the ones whose size grows with the data plan as sort-merge joins and only the "
+          "bounded tables (nation, region, code list, top-n sets, centroids) stay broadcast.  "
           "`single` exchanges are global one-row aggregates (KPIs, stddev, RMSE, profiles) after "
           "map-side partial aggregation.  `window` nodes run on aggregates or on per-set token "
           "lists, never on raw ledger rows.  No query has a nested-loop join, a cartesian "
