@@ -93,9 +93,15 @@ def jaccard_join(left: DataFrame, right: DataFrame | None, block: str, left_id:
     def prefix(df, idc, gc):
         ex = df.select(idc, "__b", F.size(gc).alias("__s"), F.explode(gc).alias("__tok"))
         ex = ex.join(toks, "__tok")
+        # tokens seen once overall sort first and can never be shared: they
+        # only use up prefix slots.  Count them per set (a partial aggregate)
+        # and rank only the shared tokens, for the slots that remain.
+        uniq = ex.groupBy(idc).agg(F.sum((F.col("__f") == 1).cast("int")).alias("__u"))
+        shared = ex.where(F.col("__f") > 1).join(uniq, idc)
         w = Window.partitionBy(idc).orderBy("__f", "__tok")
-        ex = ex.withColumn("__pos", F.row_number().over(w))
-        return ex.where(F.col("__pos") <= _prefix_len(F.col("__s"), t)).select(idc, "__b", "__tok")
+        shared = shared.withColumn("__pos", F.row_number().over(w))
+        slots = _prefix_len(F.col("__s"), t) - F.col("__u")
+        return shared.where(F.col("__pos") <= slots).select(idc, "__b", "__tok")
 
     lp = prefix(lt, "__lid", "__lg")
     if right is None:
