@@ -33,9 +33,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 6)
+        return round(v, int(os.environ.get("ORACLE_DIGITS", "12")))
     if hasattr(v, "isoformat"):
-        return v.isoformat()[:19]
+        return v.isoformat()
     if isinstance(v, (list, tuple)):
         return tuple(_norm(x) for x in v)
     return v
