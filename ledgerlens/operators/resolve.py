@@ -47,9 +47,11 @@ def fact_key(name_col: str):
 def resolve_exact(keys: DataFrame, dim: DataFrame, block: str, name: str,
                   dim_id: str = "dim_id", dim_block: str = "dim_state") -> DataFrame:
     """Left join of distinct keys to the prepared dimension on block and
-    normalised name (J1, P5).  Returns ``keys`` + ``dim_id`` (null = no match)."""
-    d = dim.select(F.col(dim_id).alias("__dim_id"), F.col(dim_block).alias("__dblock"),
-                   F.col("match_key").alias("__dkey"))
+    normalised name (J1, P5).  Returns ``keys`` + ``dim_id`` (null = no match).
+    Dimension rows whose names normalise to the same key are reduced to the
+    smallest id first, so a key never fans out into several rows."""
+    d = dim.groupBy(F.col(dim_block).alias("__dblock"), F.col("match_key").alias("__dkey")) \
+           .agg(F.min(dim_id).alias("__dim_id"))
     k = keys.withColumn("__fkey", fact_key(name))
     j = k.join(d, (k[block] == d["__dblock"]) & (k["__fkey"] == d["__dkey"]), "left")
     return j.select(*keys.columns, F.col("__dim_id").alias(dim_id))
@@ -173,13 +175,15 @@ def resolve_crosswalk(keys: DataFrame, xwalk: DataFrame, dim: DataFrame, zip_col
                       dim_id: str = "dim_id", dim_block: str = "dim_state",
                       suffixes=AREA_SUFFIXES) -> DataFrame:
     """Two-hop left join: key's zip -> crosswalk (state, county) -> dimension
-    (J2).  The crosswalk is unique per zip; its county name gets the same
-    normalisation as the dimension."""
+    (J2).  Its county name gets the same normalisation as the dimension;
+    at most one dimension row is attached per zip."""
     x = xwalk.select(F.col(xw_key).alias("__xk"), F.col(xw_block).alias("__xb"),
                      normalize_name(xw_name, suffixes).alias("__xkey"))
     d = dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias("__db"),
                    F.col("match_key").alias("__dkey"))
     xd = x.join(d, (x["__xb"] == d["__db"]) & (x["__xkey"] == d["__dkey"]))
+    # one dimension row per zip (smallest id): no fan-out of the keys
+    xd = xd.groupBy("__xk").agg(F.min("__did").alias("__did"))
     j = keys.join(xd, keys[zip_col] == xd["__xk"], "left")
     return j.select(*keys.columns, F.col("__did").alias(dim_id))
 

@@ -46,7 +46,8 @@ KEYS_SQL = "SELECT DISTINCT buyer_state, buyer_county, buyer_zip FROM tx"
 
 EXACT_SQL = f"""
 SELECT k.buyer_state, k.buyer_county, k.buyer_zip, d.dim_id
-FROM keys k LEFT JOIN dimp d
+FROM keys k LEFT JOIN (SELECT dim_state, match_key, min(dim_id) AS dim_id FROM dimp
+                       GROUP BY 1, 2) d
   ON k.buyer_state = d.dim_state AND {_fact_key_sql('k.buyer_county')} = d.match_key
 """
 
@@ -80,8 +81,9 @@ SELECT buyer_state, buyer_county, dim_id, dist FROM (
 """
 
 XWD_SQL = f"""
-SELECT x.zip, d.dim_id FROM crosswalk x JOIN dimp d
+SELECT x.zip, min(d.dim_id) AS dim_id FROM crosswalk x JOIN dimp d
   ON x.xw_state = d.dim_state AND {_norm_sql('x.xw_county')} = d.match_key
+GROUP BY x.zip
 """
 
 MAPPING_SQL = """

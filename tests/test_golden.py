@@ -186,3 +186,17 @@ def test_history_range_frame_uses_true_lags(spark):
     assert h[20] == [0.0] * 13          # week 5 is 15 weeks back: outside the frame
     hr = {r.t: r.history for r in history(df, ["g"], "t", "v", n=13).collect()}
     assert hr[20] == [0.0, 1.0, 5.0] + [0.0] * 10   # row frame: the 3 previous rows
+
+
+def test_colliding_dimension_names_do_not_fan_out(spark):
+    dim = spark.createDataFrame([(7, "S", "De Witt County"), (3, "S", "DEWITT"), (9, "S", "Other")],
+                                "dim_id long, dim_state string, dim_name string")
+    xw = spark.createDataFrame([("z1", "S", "de-witt"), ("z2", "S", "nowhere")],
+                               "zip string, xw_state string, xw_county string")
+    fact = spark.createDataFrame([("S", "DE WITT", "z0"), ("S", "", "z1"), ("S", "", "z1"),
+                                  ("S", "zz", "z2")], "st string, cty string, zp string")
+    r = rs.resolve_cascade(fact, dim, xw, "st", "cty", "zp", materialize=False)
+    rows = sorted((x.cty, x.zp, x.dim_id, x.match_stage) for x in r.collect())
+    assert len(rows) == 4
+    assert rows == [("", "z1", 3, "crosswalk"), ("", "z1", 3, "crosswalk"),
+                    ("DE WITT", "z0", 3, "exact"), ("zz", "z2", None, None)]
