@@ -59,7 +59,8 @@ def json_ingest(spark: SparkSession, d: str) -> DataFrame:
     """ST1 + ST2: file stream from the beginning, parse, drop raw text, id to
     string, nested location; appended exactly once (availableNow)."""
     src = write_event_json(spark, d)
-    s = ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon")
+    s = ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon",
+                        max_files_per_trigger=1)
     out, ck = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-ckpt")
     ig.append_stream(s, out, ck)
     return _flat(spark.read.parquet(out))
@@ -75,7 +76,8 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     event id); replaying the files under a fresh checkpoint gives the same
     table (checked in the tests)."""
     src = write_event_json(spark, d)
-    s = ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon")
+    s = ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon",
+                        max_files_per_trigger=1)
     target, ck = scratch_path(spark, "upsert"), scratch_path(spark, "upsert-ckpt")
     ig.upsert_stream(s, target, "doc_id", ["ts", "value", "event_id"], ck)
     return _flat(ig.read_current(spark, target))

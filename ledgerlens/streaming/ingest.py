@@ -28,8 +28,10 @@ VERSION_COL = "version"
 
 def ingest_json(spark: SparkSession, src: str, schema: StructType | str, id_col: str | None = None,
                 lat: str | None = None, lon: str | None = None, location: str = "location",
-                max_files_per_trigger: int | None = 1) -> DataFrame:
-    """Streaming DataFrame of parsed records from line-JSON files in ``src``."""
+                max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Streaming DataFrame of parsed records from line-JSON files in ``src``.
+    ``max_files_per_trigger`` bounds a micro-batch (results do not depend on
+    it: the upsert orders rows by their data, not by file)."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
