@@ -141,10 +141,17 @@ def fuzzy_candidates(keys: DataFrame, dim: DataFrame, block: str, name: str,
         block, name, F.col("__did").alias(dim_id), "dist")
 
 
-def best_match(pairs: DataFrame, key_cols, dim_id: str = "dim_id", dist: str = "dist") -> DataFrame:
+def best_match(pairs: DataFrame, key_cols, dim_id: str = "dim_id", dist: str = "dist",
+               method: str = "aggregate") -> DataFrame:
     """One match per key: smallest distance, ties to the smaller dimension id
-    (J7, W1).  A ``min(struct)`` aggregate, so map-side partial aggregation
-    keeps a hot key cheap; no per-key sort."""
+    (J7, W1).  ``aggregate`` (default) is a ``min(struct)`` aggregate, so
+    map-side partial aggregation keeps a hot key cheap and there is no
+    per-key sort; ``window`` is the reference's form, ``row_number`` over
+    (key) ordered by (distance, id), keeping 1.  Both give the same rows."""
+    if method == "window":
+        w = Window.partitionBy(*key_cols).orderBy(F.col(dist).asc(), F.col(dim_id).asc())
+        return (pairs.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
+                     .select(*key_cols, dim_id, dist))
     m = pairs.groupBy(*key_cols).agg(F.min(F.struct(F.col(dist), F.col(dim_id))).alias("__m"))
     return m.select(*key_cols, F.col("__m." + dim_id).alias(dim_id), F.col("__m." + dist).alias(dist))
 

@@ -168,3 +168,11 @@ def test_results_independent_of_shuffle_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert outs[0] == outs[1]
+
+
+def test_best_match_window_equals_aggregate(spark):
+    pairs = Q["fuzzy_pairs"](spark, MEDIUM)
+    keys = ["buyer_state", "buyer_county"]
+    a = sorted(tuple(r) for r in rs.best_match(pairs, keys).collect())
+    w = sorted(tuple(r) for r in rs.best_match(pairs, keys, method="window").collect())
+    assert a == w and len(a) > 0
