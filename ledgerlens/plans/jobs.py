@@ -3,6 +3,8 @@
 Each job reads Parquet (or delimited text) from paths, runs one plan and
 writes Parquet/JSON, like the reference's command-line programs, but with
 column names and thresholds as parameters (``Cols``) instead of constants.
+User-supplied tables (population, coordinates) carry no size guarantee, so
+their joins are left to the optimizer and AQE's runtime broadcast check.
 
     python -m ledgerlens.plans.jobs resolve  fact=... dim=... xwalk=... out=...
     python -m ledgerlens.plans.jobs agg      resolved=... pop=... out=...
@@ -73,7 +75,7 @@ def weekly_from(resolved: DataFrame, pop: DataFrame, c: Cols = Cols()) -> DataFr
     """Matched rows only (the flag partition prunes the rest), population
     of the row's year, weekly aggregate and per-capita rate."""
     m = resolved.where(F.col(c.flag))
-    j = m.join(F.broadcast(pop), c.pop_key) if pop is not None else m
+    j = m.join(pop, c.pop_key) if pop is not None else m
     yi = year_index(c.date, c.epoch)
     keys = {c.pop_key: c.pop_key, c.item: c.item, "week_index": week_index(c.date, c.epoch),
             "year_index": yi, "population": value_for_year(yi, c.pop_cols),
@@ -143,7 +145,7 @@ def cluster(spark: SparkSession, resolved: str, pop: str, out: str, ks=(20, 40),
     """Clustering prep (project, calendar, population, fill nulls), one
     encoded matrix, KMeans sweep -> metrics table (k, cost, weighted entropy)."""
     r = read_split(spark, resolved, c.flag).where(F.col(c.flag))
-    r = r.join(F.broadcast(spark.read.parquet(pop)), c.pop_key)
+    r = r.join(spark.read.parquet(pop), c.pop_key)
     yi = year_index(c.date, c.epoch)
     prep = r.select(*cats, week_index(c.date, c.epoch).alias("week_index"),
                     value_for_year(yi, c.pop_cols).alias("population"), c.strength, c.qty)
@@ -164,7 +166,7 @@ def export(spark: SparkSession, resolved: str, pop: str, coords: str, out: str,
     if isinstance(id_cols, str):
         id_cols = id_cols.split(",")
     r = r.withColumn(c.doc_id, F.md5(key_text(list(id_cols))))
-    r = r.join(F.broadcast(spark.read.parquet(pop)), c.pop_key)
+    r = r.join(spark.read.parquet(pop), c.pop_key)
     r = r.withColumn("population", value_for_year(year_index(c.date, c.epoch), c.pop_cols)) \
          .drop(*c.pop_cols)
     e = db.export_documents(r, spark.read.parquet(coords), coord_key)
