@@ -343,58 +343,34 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3)
     return ng.select("__id", F.array_distinct("__ng").alias("__sh"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
-                    max_dist: float = 0.25, num_tables: int = 3, seed: int = 42,
-                    num_features: int = 1 << 20) -> DataFrame:
-    """Near-duplicate document pairs by MinHash LSH over word shingles of the
-    whole text (J4 applied to documents): (id_a, id_b, dist), id_a < id_b."""
-    from pyspark.ml.feature import HashingTF, MinHashLSH
-
-    sh = shingle_sets(docs, id_col, text_col, shingle)
-    # the optimizer may evaluate the hashing UDF before the size filter; a
-    # placeholder token keeps it from failing on rows the filter removes
-    sh = sh.withColumn("__shs", F.when(F.size("__sh") > 0, F.col("__sh"))
-                       .otherwise(F.array(F.lit("\u0000"))))
-    tf = HashingTF(inputCol="__shs", outputCol="__tf", numFeatures=num_features, binary=True)
-    from ledgerlens.session import cut_lineage
-    # hashed once (both join sides and the fit read it), only id + vector kept
-    v = cut_lineage(tf.transform(sh).select("__id", "__tf"), "minhash-input")
-    lsh = MinHashLSH(numHashTables=num_tables, seed=seed, inputCol="__tf", outputCol="__h").fit(v)
-    pairs = lsh.approxSimilarityJoin(v, v, max_dist, distCol="dist")
-    return pairs.where(F.col("datasetA.__id") < F.col("datasetB.__id")).select(
-        F.col("datasetA.__id").alias("id_a"), F.col("datasetB.__id").alias("id_b"), "dist")
-
-
-def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
-                          max_dist: float = 0.25) -> DataFrame:
-    """Exact counterpart of :func:`near_duplicates`: prefix-filtered
-    set-similarity self join over word shingles of the whole texts.
+def _collapse_identical(docs: DataFrame, id_col: str, text_col: str, shingle: int):
+    """Shingle sets grouped by a digest of the sorted set.
 
-    Documents with identical shingle sets are collapsed first (grouped by a
-    digest of the sorted set), so candidate generation runs over distinct
-    sets only: a block of m exact copies costs one set in the join, and its
-    m(m-1)/2 result pairs are produced once, by an equi-join on the digest,
-    instead of once per shared prefix token."""
+    Returns (sets, members): ``sets`` has one row per distinct set
+    (``__rep`` = smallest id, ``__sh``); ``members`` maps every id to its
+    digest and representative.  The similarity joins then run over distinct
+    sets only, so m exact copies cost one set, not m."""
     from ledgerlens.session import cut_lineage
-
     sh = shingle_sets(docs, id_col, text_col, shingle) \
         .withColumn("__sig", F.sha2(F.array_join(F.array_sort("__sh"), "\u0001"), 256))
     sh = cut_lineage(sh, "shingles")
-    # one representative (smallest id) per distinct set; the id -> digest
-    # table is small next to the shingle arrays, which are never shuffled here
+    # the id -> digest table is small next to the shingle arrays, which are
+    # never shuffled here
     reps = sh.groupBy("__sig").agg(F.min("__id").alias("__rep"))
     members = cut_lineage(sh.select("__id", "__sig").join(reps, "__sig"), "members")
     sets = sh.join(members.where(F.col("__id") == F.col("__rep")).select("__id"), "__id") \
-             .select(F.col("__id").alias("__rep"), F.lit(0).alias("__b"), "__sh")
-    rep_pairs = jaccard_join(sets, None, "__b", "__rep", "__rep2", "__sh", max_dist,
-                             materialize=False)
-    # expand representative pairs to member pairs
+             .select(F.col("__id").alias("__rep"), "__sh")
+    return sets, members
+
+
+def _expand(rep_pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Representative pairs (__rep, __rep2, dist) -> member pairs, plus the
+    distance-0 pairs among members of one digest (an equi-join on it)."""
     ma = members.select(F.col("__rep").alias("__rep"), F.col("__id").alias("__a"))
     mb = members.select(F.col("__rep").alias("__rep2"), F.col("__id").alias("__bb"))
     cross = (rep_pairs.join(ma, "__rep").join(mb, "__rep2")
              .select(F.least("__a", "__bb").alias("id_a"), F.greatest("__a", "__bb").alias("id_b"),
                      "dist"))
-    # identical sets: distance 0 among members of one digest
     la = members.select("__sig", F.col("__id").alias("id_a"))
     lb = members.select("__sig", F.col("__id").alias("id_b"))
     same = la.join(lb, "__sig").where(F.col("id_a") < F.col("id_b")) \
@@ -402,6 +378,45 @@ def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle:
     return cross.unionByName(same)
 
 
+def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
+                    max_dist: float = 0.25, num_tables: int = 3, seed: int = 42,
+                    num_features: int = 1 << 20) -> DataFrame:
+    """Near-duplicate document pairs by MinHash LSH over word shingles of the
+    whole text (J4 applied to documents): (id_a, id_b, dist), id_a < id_b.
+    Identical sets are collapsed first (see :func:`_collapse_identical`)."""
+    from pyspark.ml.feature import HashingTF, MinHashLSH
+    from ledgerlens.session import cut_lineage
+
+    sets, members = _collapse_identical(docs, id_col, text_col, shingle)
+    # the optimizer may evaluate the hashing UDF before a filter; a
+    # placeholder token keeps it from failing on an empty set
+    sets = sets.withColumn("__shs", F.when(F.size("__sh") > 0, F.col("__sh"))
+                           .otherwise(F.array(F.lit("\u0000"))))
+    tf = HashingTF(inputCol="__shs", outputCol="__tf", numFeatures=num_features, binary=True)
+    # hashed once (both join sides and the fit read it), only id + vector kept
+    v = cut_lineage(tf.transform(sets).select("__rep", "__tf"), "minhash-input")
+    lsh = MinHashLSH(numHashTables=num_tables, seed=seed, inputCol="__tf", outputCol="__h").fit(v)
+    pairs = lsh.approxSimilarityJoin(v, v, max_dist, distCol="dist")
+    rep_pairs = pairs.where(F.col("datasetA.__rep") < F.col("datasetB.__rep")).select(
+        F.col("datasetA.__rep").alias("__rep"), F.col("datasetB.__rep").alias("__rep2"), "dist")
+    return _expand(rep_pairs, members)
+
+
+def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
+                          max_dist: float = 0.25) -> DataFrame:
+    """Exact counterpart of :func:`near_duplicates`: prefix-filtered
+    set-similarity self join over word shingles of the whole texts.
+
+    Documents with identical shingle sets are collapsed first, so candidate
+    generation runs over distinct sets only: a block of m exact copies costs
+    one set in the join, and its m(m-1)/2 result pairs are produced once, by
+    an equi-join on the digest, instead of once per shared prefix token."""
+    sets, members = _collapse_identical(docs, id_col, text_col, shingle)
+    rep_pairs = jaccard_join(sets.withColumn("__b", F.lit(0)), None, "__b", "__rep", "__rep2",
+                             "__sh", max_dist, materialize=False)
+    return _expand(rep_pairs, members)
+
+
 def prefix_length(size: int, max_dist: float) -> int:
     """Python form of the prefix length rule (for tests)."""
     t = 1.0 - max_dist
