@@ -92,14 +92,17 @@ def jaccard_join(left: DataFrame, right: DataFrame | None, block: str, left_id:
     alltok = ltok if right is None else ltok.unionByName(rt.select(F.explode("__rg").alias("__tok")))
     toks = alltok.groupBy("__tok").agg(F.count(F.lit(1)).alias("__f"))
 
+    # tokens seen once overall sort first and can never be shared: they only
+    # use up prefix slots.  Only shared tokens are joined back (an inner join
+    # drops the unique ones), and a set's unique count is its size minus the
+    # shared tokens it kept.
+    shared_f = toks.where(F.col("__f") > 1)
+
     def prefix(df, idc, gc):
         ex = df.select(idc, "__b", F.size(gc).alias("__s"), F.explode(gc).alias("__tok"))
-        ex = ex.join(toks, "__tok")
-        # tokens seen once overall sort first and can never be shared: they
-        # only use up prefix slots.  Count them per set (a partial aggregate)
-        # and rank only the shared tokens, for the slots that remain.
-        uniq = ex.groupBy(idc).agg(F.sum((F.col("__f") == 1).cast("int")).alias("__u"))
-        shared = ex.where(F.col("__f") > 1).join(uniq, idc)
+        shared = ex.join(shared_f, "__tok")
+        shared = shared.withColumn(
+            "__u", F.col("__s") - F.count(F.lit(1)).over(Window.partitionBy(idc)))
         w = Window.partitionBy(idc).orderBy("__f", "__tok")
         shared = shared.withColumn("__pos", F.row_number().over(w))
         slots = _prefix_len(F.col("__s"), t) - F.col("__u")
