@@ -213,12 +213,14 @@ def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
                     zip_col: str, dim_id: str = "dim_id", dim_block: str = "dim_state",
                     n: int = 3, max_dist: float = 0.25, carry_blank_keys: bool = True,
                     xw_key: str = "zip", xw_block: str = "xw_state", xw_name: str = "xw_county",
-                    suffixes=AREA_SUFFIXES) -> DataFrame:
+                    suffixes=AREA_SUFFIXES, fuzzy: str = "exact") -> DataFrame:
     """Distinct keys -> (dim_id, match_stage): exact, then fuzzy on what is
     left, then crosswalk on what is still left (J9).  Stages are disjoint by
     construction, so they are combined with ``unionByName`` (no distinct).
     ``carry_blank_keys=False`` drops blank-key rows after the exact stage as
-    the reference does (T2); they then appear in no stage at all."""
+    the reference does (T2); they then appear in no stage at all.
+    ``fuzzy="lsh"`` runs the fuzzy stage by MinHash LSH (the reference's
+    approximate route) instead of the exact trigram join."""
     cols = keys.columns
     ex = resolve_exact(keys, dim, block, name, dim_id, dim_block)
     s1 = ex.where(F.col(dim_id).isNotNull()).withColumn("match_stage", F.lit("exact"))
@@ -228,9 +230,14 @@ def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
     blank = rest1.where(~nonblank)
     from ledgerlens.session import cut_lineage
     # one row per fuzzy-matched name, read twice below: materialise it once
-    best = cut_lineage(best_match(
-        fuzzy_candidates(fz_in, dim, block, name, dim_id, dim_block, n, max_dist),
-        [block, name], dim_id))
+    if fuzzy == "lsh":
+        names = fz_in.select(block, name).distinct()
+        best = cut_lineage(resolve_fuzzy_lsh(names, dim, block, name, dim_id, dim_block, n,
+                                             max_dist))
+    else:
+        best = cut_lineage(best_match(
+            fuzzy_candidates(fz_in, dim, block, name, dim_id, dim_block, n, max_dist),
+            [block, name], dim_id))
     fz = fz_in.join(best, [block, name])
     s2 = fz.select(*cols, dim_id).withColumn("match_stage", F.lit("fuzzy"))
     rest2 = remainder(fz_in, best, [block, name])

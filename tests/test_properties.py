@@ -176,3 +176,17 @@ def test_best_match_window_equals_aggregate(spark):
     a = sorted(tuple(r) for r in rs.best_match(pairs, keys).collect())
     w = sorted(tuple(r) for r in rs.best_match(pairs, keys, method="window").collect())
     assert a == w and len(a) > 0
+
+
+def test_cascade_with_lsh_fuzzy_stage(spark):
+    from ledgerlens.plans import fixtures as fx
+    t = fx.tx(spark, MEDIUM)
+    dim, xw = fx.name_dim(spark, MEDIUM), fx.crosswalk(spark, MEDIUM)
+    args = (t, dim, xw, "buyer_state", "buyer_county", "buyer_zip")
+    exact = rs.resolve_cascade(*args)
+    lsh = rs.resolve_cascade(*args, fuzzy="lsh")
+    assert lsh.count() == exact.count()
+    fz = lambda r: {(x.buyer_zip, x.dim_id) for x in r.where(F.col("match_stage") == "fuzzy")
+                    .select("buyer_zip", "dim_id").distinct().collect()}
+    a, b = fz(lsh), fz(exact)
+    assert a <= b and len(a) >= 0.9 * len(b)
