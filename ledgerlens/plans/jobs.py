@@ -61,13 +61,15 @@ class Cols:
 
 
 def resolve(spark: SparkSession, fact: str, dim: str, xwalk: str, out: str,
-            c: Cols = Cols(), carry_blank_keys: bool = True) -> str:
-    """The three-stage cascade, written once split by the match flag."""
+            c: Cols = Cols(), carry_blank_keys: bool = True, fuzzy: str = "exact") -> str:
+    """The three-stage cascade, written once split by the match flag
+    (``fuzzy="lsh"`` for the MinHash fuzzy stage)."""
     r = rs.resolve_cascade(spark.read.parquet(fact), spark.read.parquet(dim),
                            spark.read.parquet(xwalk), c.state, c.county, c.zip,
                            dim_id=c.dim_id, dim_block=c.dim_state, dim_name=c.dim_name,
                            carry_blank_keys=carry_blank_keys, flag=c.flag,
-                           xw_key=c.xw_key, xw_block=c.xw_state, xw_name=c.xw_name)
+                           xw_key=c.xw_key, xw_block=c.xw_state, xw_name=c.xw_name,
+                           fuzzy=fuzzy)
     return write_split(r, c.flag, out)
 
 
