@@ -134,8 +134,11 @@ def fuzzy_candidates(keys: DataFrame, dim: DataFrame, block: str, name: str,
     (block, name).  Names shorter than ``n`` have no grams and are never
     matched (T6)."""
     names = keys.select(block, name).distinct()
+    # the stripped, lower-cased name is its own column so the n-gram lambda
+    # reads it instead of re-running the regex for every gram
     k = (names.withColumn("__kid", F.concat_ws("\u0001", block, name))
-              .withColumn("__g", char_ngrams(strip_non_word(name), n)))
+              .withColumn("__v", F.lower(strip_non_word(name)))
+              .withColumn("__g", char_ngrams(F.col("__v"), n)).drop("__v"))
     d = dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias(block),
                    char_ngrams(F.col("match_key"), n).alias("__g"))
     pairs = jaccard_join(k.where(F.size("__g") > 0), d.where(F.size("__g") > 0),
