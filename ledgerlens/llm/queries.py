@@ -6,14 +6,21 @@ result in the columns of its contract."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing
+from ledgerlens.llm import mixing, packing, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file, installed alike on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 def query(fn):
     QUERIES[fn.__name__] = fn
     return fn
@@ -23,3 +30,15 @@ def query(fn):
 def op1_entropy_mix(spark: SparkSession, d: str) -> DataFrame:
     out = mixing.mix(table(spark, d, "documents"))
     return out.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+@query
+def op4_shard_best_fit(spark: SparkSession, d: str) -> DataFrame:
+    out = sharding.shard(table(spark, d, "documents"), 40)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op7_pack_best_fit(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "documents"), tokenizer_path("word_bpe_49k.json"))
