@@ -9,6 +9,7 @@ setting gets a fresh ``mktemp`` folder.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -48,9 +49,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
     checkpoint_dir(spark)
+    importable_in_workers(spark)
     return spark
 
 
+def importable_in_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did
+    (clusters without a shared installation take it from ``--py-files``)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
