@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, packing, sharding
+from ledgerlens.llm import mixing, packing, ppm, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
@@ -42,3 +42,13 @@ def op4_shard_best_fit(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op7_pack_best_fit(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def remainder(key: str, by: int):
+    """crc32 of the key as text, modulo ``by``."""
+    return F.crc32(F.encode(F.col(key).cast("string"), "UTF-8")) % by
+
+
+@query
+def op2_ppm_score(spark: SparkSession, d: str) -> DataFrame:
+    return ppm.score(table(spark, d, "documents"), remainder("doc_id", 5) == 1)
