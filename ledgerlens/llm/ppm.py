@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import stored
 
 ORDER = 5
-TRIE_SHARE = 5e-6
+TRIE_SHARE = 2e-6
 HEAD_SHARE = 1e-6
 MOST_WORDS = 300_000
 SPACES = (b" ", b"\t", b"\n", b"\v", b"\f", b"\r")
@@ -149,10 +149,6 @@ class Trie:
             _, escape, left = self.node[context]
         return got + n - total
 
-    def word(self, word: bytes) -> float:
-        s = SEPARATOR + word
-        return sum(self.symbol(s[max(0, i - ORDER):i], s[i:i + 1]) for i in range(1, len(s)))
-
 
 def train_trie(words: DataFrame) -> Trie:
     """Count all grams of the word table, keep those of enough mass, build the trie."""
@@ -172,12 +168,21 @@ class _Known(dict):
     """Code length of a word and its separator, computed when first met."""
 
     def __init__(self, trie: Trie):
-        self.trie = trie
+        self.trie, self.grams = trie, {}
 
     def __missing__(self, word: bytes) -> float:
         if len(self) > MOST_WORDS:
             self.clear()
-        self[word] = found = self.trie.word(word) + self.trie.symbol((SEPARATOR + word)[-ORDER:], SEPARATOR)
+        if len(self.grams) > MOST_WORDS:
+            self.grams.clear()
+        s, grams, found = SEPARATOR + word + SEPARATOR, self.grams, 0.0
+        for i in range(1, len(s)):
+            gram = s[max(0, i - ORDER):i + 1]
+            n = grams.get(gram)
+            if n is None:
+                n = grams[gram] = self.trie.symbol(gram[:-1], gram[-1:])
+            found += n
+        self[word] = found
         return found
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import mixing, packing, ppm, sharding
+from ledgerlens.llm import langid, mixing, packing, ppm, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
@@ -52,3 +52,8 @@ def remainder(key: str, by: int):
 @query
 def op2_ppm_score(spark: SparkSession, d: str) -> DataFrame:
     return ppm.score(table(spark, d, "documents"), remainder("doc_id", 5) == 1)
+
+
+@query
+def op6_langid(spark: SparkSession, d: str) -> DataFrame:
+    return langid.identify(table(spark, d, "documents"), remainder("doc_id", 3) == 1, tokenizer_path("piece_bpe_32k.model"))
