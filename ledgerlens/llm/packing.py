@@ -2,7 +2,7 @@
 
 Tokenising runs in Arrow batches.  Words separated by ASCII white space are
 independent for the tokenizer, so each worker keeps the ids of words it has
-seen (up to a bound, then it starts anew).
+seen, up to a bound.
 
 Packing is bulk-synchronous.  Pieces are range-sorted: a piece is known by its
 length and its rank among the pieces of that length, numbered without bringing
@@ -22,6 +22,7 @@ pieces and a rest.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,31 +33,65 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import numbered, stored
 
-MOST_WORDS = 300_000
-_WORDS: dict[str, dict[bytes, bytes]] = {}
-_TOKENIZERS: dict = {}
+MOST_WORDS, LASTING = 400_000, 200_000
+#: a run of letters that lower-casing and composition leave a run of letters, then ASCII punctuation without apostrophe:
+#: two units for the tokenizer, whatever stands around them
+PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-įı-ſ]+)([!-&(-/:-@\\[-`{-~]*)\\Z")
+
+
+def byte_letters() -> list[str]:
+    """The character by which byte-level vocabularies write each byte: itself if it is visible, else the next free one above 255."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return [chr(b) if b in visible else chr(next(hidden)) for b in range(256)]
+
+
+class WordIds(dict):
+    """Little-endian ids of words (bytes without ASCII white space), found when
+    first met.  The first ``LASTING`` words stay; when there are ``MOST_WORDS``
+    the others go."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tokenizer, self.letters = Tokenizer.from_file(path), byte_letters()
+        self.lasting: dict[bytes, bytes] = {}
+        self.units: dict[str, bytes] = {}
+
+    def unit(self, unit: str) -> bytes:
+        if (ids := self.units.get(unit)) is None:
+            if len(self.units) >= MOST_WORDS:
+                self.units.clear()
+            written = "".join([self.letters[b] for b in unit.encode()])
+            ids = self.units[unit] = np.array([t.id for t in self.tokenizer.model.tokenize(written)], "<u4").tobytes()
+        return ids
+
+    def __missing__(self, word: bytes) -> bytes:
+        if len(self) >= MOST_WORDS:
+            self.clear()
+            self.update(self.lasting)
+        text = word.decode()
+        if plain := PLAIN.match(text):
+            ids = self.unit(plain[1].lower()) + (self.unit(plain[2]) if plain[2] else b"")
+        else:
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self[word] = ids
+        if len(self.lasting) < LASTING:
+            self.lasting[word] = ids
+        return ids
+
+
+_WORDS: dict[str, WordIds] = {}
 
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-        if path not in _TOKENIZERS:
-            _TOKENIZERS[path] = Tokenizer.from_file(path)
-        tokenizer, known = _TOKENIZERS[path], _WORDS.setdefault(path, {})
+        known = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).cast(pa.binary())
             at, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(texts):
-                words = (text.as_py() or b"").split()
-                new = list({w for w in words if w not in known})
-                if new:
-                    if len(known) + len(new) > MOST_WORDS:
-                        known.clear()
-                        new = list(set(words))
-                    found = tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-                    known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
-                whole = b"".join([known[w] for w in words]) + end
+                whole = b"".join(map(known.__getitem__, (text.as_py() or b"").split())) + end
                 for k, first in enumerate(range(0, len(whole), 4 * capacity)):
                     part = whole[first:first + 4 * capacity]
                     at.append(i)
