@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import langid, mixing, packing, ppm, sharding
+from ledgerlens.llm import langid, mixing, outliers, packing, ppm, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
@@ -57,3 +57,8 @@ def op2_ppm_score(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op6_langid(spark: SparkSession, d: str) -> DataFrame:
     return langid.identify(table(spark, d, "documents"), remainder("doc_id", 3) == 1, tokenizer_path("piece_bpe_32k.model"))
+
+
+@query
+def op3_mcd_rules(spark: SparkSession, d: str) -> DataFrame:
+    return outliers.rules(table(spark, d, "documents"))
