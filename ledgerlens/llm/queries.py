@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import langid, mixing, outliers, packing, ppm, sharding
+from ledgerlens.llm import langid, mixing, ngram_join, outliers, packing, ppm, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
@@ -62,3 +62,8 @@ def op6_langid(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op3_mcd_rules(spark: SparkSession, d: str) -> DataFrame:
     return outliers.rules(table(spark, d, "documents"))
+
+
+@query
+def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.join(table(spark, d, "documents"))
