@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import langid, mixing, ngram_join, outliers, packing, ppm, sharding
+from ledgerlens.llm import embed_dedup, html, langid, mixing, ngram_join, outliers, packing, ppm, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
@@ -67,3 +67,13 @@ def op3_mcd_rules(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.join(table(spark, d, "documents"))
+
+
+@query
+def op5_html_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return html.extract(table(spark, d, "pages"))
+
+
+@query
+def op10_pivot_near_dup(spark: SparkSession, d: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, d, "embeddings"))
