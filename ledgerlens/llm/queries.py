@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import embed_dedup, html, langid, mixing, ngram_join, outliers, packing, ppm, sharding
+from ledgerlens.llm import embed_dedup, html, langid, licenses, mixing, ngram_join, outliers, packing, ppm, sharding
 from ledgerlens.sources.tables import table
 
 QUERIES: dict = {}
@@ -77,3 +77,8 @@ def op5_html_main_text(spark: SparkSession, d: str) -> DataFrame:
 @query
 def op10_pivot_near_dup(spark: SparkSession, d: str) -> DataFrame:
     return embed_dedup.near_duplicates(table(spark, d, "embeddings"))
+
+
+@query
+def op8_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan(table(spark, d, "documents"))
