@@ -11,8 +11,9 @@ from ledgerlens.session import scratch_path
 from ledgerlens.sources.tables import table
 from ledgerlens.streaming import ingest as ig
 
-ID_SPACE = 9000  # document ids repeat: event_id mod 9000
-N_FILES = 3
+#: document ids repeat: event_id mod nine tenths of the events, so the ids grow with the table
+ID_SPACE_SQL = "(SELECT greatest(1, 9 * count(*) // 10) FROM events)"
+ROWS_PER_FILE = 1_000_000
 
 EVENT_DOC_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("doc_id", T.LongType()),
@@ -23,17 +24,24 @@ EVENT_DOC_SCHEMA = T.StructType([
 ])
 
 
-def write_event_json(spark: SparkSession, d: str) -> str:
+def write_event_json(spark: SparkSession, d: str, break_every: int | None = None) -> str:
     """Export events as gzip line-JSON files, ordered in time across files, so
-    each file is one micro-batch and later files overwrite earlier ids."""
+    each file is one micro-batch and later files overwrite earlier ids.  Every
+    ``break_every``-th event's line is cut short."""
     e = table(spark, d, "events")
-    docs = e.select("event_id", (F.col("event_id") % ID_SPACE).alias("doc_id"), "ts", "user_id",
+    n = e.count()
+    docs = e.select("event_id", (F.col("event_id") % max(1, 9 * n // 10)).alias("doc_id"), "ts", "user_id",
                     "event_type", "value", "props",
                     ((F.col("user_id") % 360) - 179.5).cast("double").alias("lon"),
                     ((F.col("user_id") % 170) - 84.5).cast("double").alias("lat"))
     path = scratch_path(spark, "event-json")
-    (docs.repartitionByRange(N_FILES, "event_id").write.mode("overwrite")
-         .option("compression", "gzip").options(**ig.JSON_OPTIONS).json(path))
+    docs = docs.repartitionByRange(max(3, -(-n // ROWS_PER_FILE)), "event_id")
+    if break_every:
+        line = F.to_json(F.struct(*docs.columns), ig.JSON_OPTIONS)
+        cut = F.when(F.col("event_id") % break_every == 0, F.substring(line, 1, 30)).otherwise(line)
+        docs.select(cut.alias("value")).write.option("compression", "gzip").text(path)
+    else:
+        docs.write.option("compression", "gzip").options(**ig.JSON_OPTIONS).json(path)
     return path
 
 
@@ -46,7 +54,7 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 _BASE_SQL = f"""
-SELECT event_id, CAST(event_id % {ID_SPACE} AS VARCHAR) AS doc_id, ts, user_id, event_type, value,
+SELECT event_id, CAST(event_id % {ID_SPACE_SQL} AS VARCHAR) AS doc_id, ts, user_id, event_type, value,
        CAST(json_extract(props, '$.k') AS BIGINT) AS props_k,
        CAST(user_id % 170 - 84.5 AS DOUBLE) AS location_lat,
        CAST(user_id % 360 - 179.5 AS DOUBLE) AS location_lon
@@ -81,3 +89,42 @@ def stream_upsert(spark: SparkSession, d: str) -> DataFrame:
     target, ck = scratch_path(spark, "upsert"), scratch_path(spark, "upsert-ckpt")
     ig.upsert_stream(s, target, "doc_id", ["ts", "value", "event_id"], ck)
     return _flat(ig.read_current(spark, target))
+
+
+@register("json_broken_lines", sql="""
+SELECT CAST(count(*) FILTER (WHERE event_id % 97 <> 0) AS BIGINT) AS n_records,
+       CAST(count(*) FILTER (WHERE event_id % 97 = 0) AS BIGINT) AS n_broken,
+       CAST(sum(event_id) FILTER (WHERE event_id % 97 <> 0) AS BIGINT) AS event_sum
+FROM events
+""")
+def json_broken_lines(spark: SparkSession, d: str) -> DataFrame:
+    """lines that are no record go to a table of their own and never
+    become null rows."""
+    src = write_event_json(spark, d, break_every=97)
+    good, bad = scratch_path(spark, "good-lines"), scratch_path(spark, "broken-lines")
+    ig.append_stream(ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id"), good, scratch_path(spark, "good-ckpt"))
+    ig.append_stream(ig.broken_lines(spark, src, EVENT_DOC_SCHEMA), bad, scratch_path(spark, "broken-ckpt"))
+    ok = spark.read.parquet(good).select(F.col("event_id"), F.lit(None).cast("string").alias("line"))
+    both = ok.unionByName(spark.read.parquet(bad).select(F.lit(None).cast("long").alias("event_id"), "line"))
+    return both.agg(F.count(F.when(F.col("line").isNull(), 1)).alias("n_records"), F.count("line").alias("n_broken"),
+                    F.sum("event_id").alias("event_sum"))
+
+
+@register("stream_second_load", sql=f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ts DESC, value DESC, event_id DESC) AS rn
+  FROM ({_BASE_SQL})) WHERE rn = 1
+""")
+def stream_second_load(spark: SparkSession, d: str) -> DataFrame:
+    """K6 over two loads: two halves of the events, by hash, lie in two
+    folders, loaded one after the other with a checkpoint each; then the first
+    is loaded again.  Nothing of either is lost."""
+    src = spark.read.text(write_event_json(spark, d))
+    folders = [scratch_path(spark, f"event-half{i}") for i in (0, 1)]
+    for i, folder in enumerate(folders):
+        src.where(F.pmod(F.xxhash64("value"), F.lit(2)) == i).write.option("compression", "gzip").text(folder)
+    target = scratch_path(spark, "upsert-two")
+    for folder in (*folders, folders[0]):
+        s = ig.ingest_json(spark, folder, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon")
+        ig.upsert_stream(s, target, "doc_id", ["ts", "value", "event_id"], scratch_path(spark, "upsert-two-ckpt"))
+    return _flat(ig.read_current(spark, target))

@@ -11,34 +11,60 @@
   aggregation: a hot key costs one row per task) and merged only into the
   hash buckets its keys touch; the merged buckets are written as a *new*
   version and a manifest commits them, so the plan never overwrites what it
-  reads and a re-run of the same epoch rewrites the same version.
+  reads.  Every version has a number of its own after the newest committed
+  one and records the batch it holds (stream id and epoch): a replayed batch
+  is recognised, and a second load, with a checkpoint of its own, builds on
+  the first.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTIONS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_NTZ_FORMAT}
 VERSION_COL = "version"
+CORRUPT = "__corrupt"
 
 
 def ingest_json(spark: SparkSession, src: str, schema: StructType | str, id_col: str | None = None,
                 lat: str | None = None, lon: str | None = None, location: str = "location",
                 max_files_per_trigger: int | None = 1000) -> DataFrame:
-    """Streaming DataFrame of parsed records from line-JSON files in ``src``.
+    """Streaming DataFrame of parsed records from line-JSON files in ``src``;
+    lines that are no record of the schema are left to :func:`broken_lines`.
     ``max_files_per_trigger`` bounds a micro-batch (results do not depend on
     it: the upsert orders rows by their data, not by file)."""
+    parsed = _parsed(_lines(spark, src, max_files_per_trigger), schema)
+    out = parsed.where(F.col(f"__r.{CORRUPT}").isNull()).select("__r.*").drop(CORRUPT)
+    return transform_records(out, id_col, lat, lon, location)
+
+
+def broken_lines(spark: SparkSession, src: str, schema: StructType,
+                 max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Streaming DataFrame (line) of the lines that ``ingest_json`` leaves out."""
+    parsed = _parsed(_lines(spark, src, max_files_per_trigger), schema)
+    return parsed.select(F.col(f"__r.{CORRUPT}").alias("line")).where(F.col("line").isNotNull())
+
+
+def _lines(spark: SparkSession, src: str, max_files_per_trigger: int | None) -> DataFrame:
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.load(src)
-    parsed = raw.select(F.from_json("value", schema, JSON_OPTIONS).alias("__r"))
-    out = parsed.select("__r.*")
-    return transform_records(out, id_col, lat, lon, location)
+    return r.load(src).where(F.length(F.trim("value")) > 0)
+
+
+def _parsed(lines: DataFrame, schema: StructType | str) -> DataFrame:
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    wide = StructType([*schema.fields, StructField(CORRUPT, StringType())])
+    return lines.select(F.from_json("value", wide, JSON_OPTIONS | {"columnNameOfCorruptRecord": CORRUPT}).alias("__r"))
 
 
 def transform_records(df: DataFrame, id_col: str | None, lat: str | None, lon: str | None,
@@ -79,16 +105,21 @@ def merge_batch(state: DataFrame | None, batch: DataFrame, key: str, order) -> D
     return untouched.unionByName(latest_per_key(touched, key, order))
 
 
-def _manifest(spark: SparkSession, target: str, before: int | None = None):
-    """(version, {bucket: path}) of the newest committed version (< before)."""
-    root = f"{target.rstrip('/')}/manifest"
+def _commits(spark: SparkSession, target: str) -> DataFrame | None:
+    """(version, batch, bucket, path) of all committed versions, None before
+    the first; any failure but a missing folder is raised."""
     try:
-        m = spark.read.parquet(root)
-    except Exception:  # noqa: BLE001 -- nothing committed yet
-        return None, {}
-    if before is not None:
-        m = m.where(F.col(VERSION_COL) < F.lit(before))
-    v = m.agg(F.max(VERSION_COL)).first()[0]
+        return spark.read.schema("batch string, bucket int, path string, version long").parquet(f"{target.rstrip('/')}/manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _manifest(spark: SparkSession, target: str):
+    """(version, {bucket: path}) of the newest committed version."""
+    m = _commits(spark, target)
+    v = None if m is None else m.agg(F.max(VERSION_COL)).first()[0]
     if v is None:
         return None, {}
     # one row per bucket: bounded by the bucket count, not by the data
@@ -96,6 +127,11 @@ def _manifest(spark: SparkSession, target: str, before: int | None = None):
     return v, {r.bucket: r.path for r in rows}
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that the stream keeps in its checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def read_current(spark: SparkSession, target: str) -> DataFrame:
     """The newest committed version of an upsert target."""
     _, paths = _manifest(spark, target)
@@ -111,34 +147,40 @@ def upsert_stream(sdf: DataFrame, target: str, key: str, order, checkpoint: str,
 
     State rows live in ``buckets`` hash buckets of the key.  A micro-batch
     rewrites only the buckets its keys fall into: it reads those buckets'
-    current files, merges, writes them under a new version directory, then
-    commits a manifest (bucket -> files) in which untouched buckets keep
-    pointing at their older files.  No plan overwrites what it reads; a
-    re-run of the same epoch rewrites the same version with the same
-    content; the driver only handles bucket ids and manifest rows (at most
-    ``buckets`` of each)."""
+    current files, merges, writes them to a folder of its own, then commits a
+    manifest (bucket -> files) in which untouched buckets keep pointing at
+    their older files.  No plan overwrites what it reads; a batch whose
+    (stream id, epoch) is committed already is passed over, and any other
+    builds on the newest version, whatever checkpoint it comes from; the driver
+    only handles bucket ids and manifest rows (at most ``buckets`` of each).
+    One stream at a time may write to a target."""
     spark = sdf.sparkSession
     root = target.rstrip("/")
 
     def apply(batch: DataFrame, epoch: int) -> None:
+        name = f"{_stream_id(spark, checkpoint)}:{epoch}"
+        done = _commits(spark, root)
+        if done is not None and done.where(F.col("batch") == name).limit(1).count():
+            return
         latest = latest_per_key(batch, key, order).withColumn("__bucket", _bucket(key, buckets))
         latest = latest.persist()
         try:
             touched = sorted(r[0] for r in latest.select("__bucket").distinct().collect())
             if not touched:
                 return
-            _, prev = _manifest(spark, root, before=epoch)
+            newest, prev = _manifest(spark, root)
+            version = 0 if newest is None else newest + 1
             old = [prev[b] for b in touched if b in prev]
             state = spark.read.parquet(*old) if old else None
             merged = merge_batch(state, latest.drop("__bucket"), key, order)
-            out = f"{root}/data/{VERSION_COL}={epoch:012d}"
+            out = f"{root}/data/{VERSION_COL}={version:012d}-{uuid.uuid4().hex[:8]}"
             # rebalance by bucket: few files per bucket, skewed buckets split
             (merged.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket")
-                   .write.mode("overwrite").partitionBy("bucket").parquet(out))
+                   .write.partitionBy("bucket").parquet(out))
             new = dict(prev)
             new.update({b: f"{out}/bucket={b}" for b in touched})
-            man = spark.createDataFrame(sorted(new.items()), "bucket int, path string")
-            man.write.mode("overwrite").parquet(f"{root}/manifest/{VERSION_COL}={epoch:012d}")
+            man = spark.createDataFrame([(name, b, path) for b, path in sorted(new.items())], "batch string, bucket int, path string")
+            man.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/{VERSION_COL}={version:012d}")
         finally:
             latest.unpersist()
 
