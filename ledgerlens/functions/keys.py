@@ -33,8 +33,16 @@ def hash_split(df: DataFrame, key_cols, frac: float = 0.7):
     return df.where(u < F.lit(frac)), df.where(u >= F.lit(frac))
 
 
-def add_surrogate_key(df: DataFrame, out: str = "row_id",
-                      chunk: int = 1 << 20) -> DataFrame:
+def row_text(cols) -> Column:
+    """Injective text form of a row: every value with its length in front,
+    null as a mark of its own, so no two different rows have one text."""
+    def part(c):
+        t = _c(c).cast("string")
+        return F.when(t.isNull(), F.lit("N")).otherwise(F.concat(F.length(t).cast("string"), F.lit(":"), t))
+    return F.concat(*[part(c) for c in cols])
+
+
+def add_surrogate_key(df: DataFrame, out: str = "row_id", chunk: int = 1 << 20) -> DataFrame:
     """Reproducible surrogate key: md5 of the row's values plus the ordinal of
     the row among rows equal on every column (P12).
 
@@ -42,20 +50,16 @@ def add_surrogate_key(df: DataFrame, out: str = "row_id",
     assignment among them yields the same set of (row, key) pairs, in any
     engine and under any partitioning.  The ordinal comes from counting equal
     rows (partial aggregation: a hot value costs one row per map task) and
-    regenerating them.  Groups larger than ``chunk`` rows -- and only those --
-    are re-spread by chunk number, so one value holding a third of the table
-    is expanded by many tasks, not one.
+    regenerating them.  Every group is cut into chunk numbers, which are dealt
+    out before the ordinals of a chunk are made, so a value holding a third of
+    the table is expanded by many tasks, ``chunk`` rows at a time.
     """
     cols = list(df.columns)
     counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
-    small = counted.where(F.col("__n") <= chunk).withColumn("__chunk", F.lit(0).cast("bigint"))
-    hot = (counted.where(F.col("__n") > chunk)
-           .withColumn("__chunk", F.explode(F.sequence(
-               F.lit(0).cast("bigint"), ((F.col("__n") - 1) / chunk).cast("bigint"))))
-           .repartition(*[F.col(c) for c in cols], F.col("__chunk")))
-    rows = small.unionByName(hot).withColumn(
-        "__ord", F.explode(F.sequence(
-            F.col("__chunk") * chunk + 1,
-            F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk))))
-    text = F.concat_ws("|", key_text(cols), F.col("__ord").cast("string"))
+    last = F.floor((F.col("__n") - 1) / chunk).cast("bigint")
+    chunks = counted.withColumn("__chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    chunks = chunks.repartition(*[F.col(c) for c in cols], F.col("__chunk"))
+    rows = chunks.withColumn("__ord", F.explode(F.sequence(
+        F.col("__chunk") * chunk + 1, F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk))))
+    text = F.concat(row_text(cols), F.lit("#"), F.col("__ord").cast("string"))
     return rows.withColumn(out, F.md5(text)).drop("__n", "__chunk", "__ord")

@@ -163,11 +163,11 @@ def export(spark: SparkSession, resolved: str, pop: str, coords: str, out: str,
            coord_key: str = "cust_key", id_cols=("order_key", "line_no", "part_key", "supp_key")) -> str:
     """Matched rows + population + coordinates, gzip line JSON, with a
     document id that is the md5 of the row's identifying columns."""
-    from ledgerlens.functions.keys import key_text
+    from ledgerlens.functions.keys import row_text
     r = read_split(spark, resolved, c.flag).where(F.col(c.flag))
     if isinstance(id_cols, str):
         id_cols = id_cols.split(",")
-    r = r.withColumn(c.doc_id, F.md5(key_text(list(id_cols))))
+    r = r.withColumn(c.doc_id, F.md5(row_text(list(id_cols))))
     r = r.join(spark.read.parquet(pop), c.pop_key)
     r = r.withColumn("population", value_for_year(year_index(c.date, c.epoch), c.pop_cols)) \
          .drop(*c.pop_cols)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.calendar import week_index
-from ledgerlens.functions.keys import add_surrogate_key, hash_sample, hash_split
+from ledgerlens.functions.keys import add_surrogate_key, hash_fraction, hash_sample
 from ledgerlens.operators import profile as pf
 from ledgerlens.operators.nulls import drop_nulls, fill_nulls
 from ledgerlens.plans import fixtures as fx
@@ -82,28 +82,31 @@ FROM orders GROUP BY 1
 def hash_split_q(spark: SparkSession, d: str) -> DataFrame:
     """70/30 split by key hash -- the same under any partitioning."""
     o = table(spark, d, "orders")
-    train, test = hash_split(o, ["o_orderkey"], 0.7)
-    a = train.agg(F.lit("train").alias("side"), F.count(F.lit(1)).alias("n_rows"),
-                  F.sum("o_orderkey").alias("key_sum"))
-    b = test.agg(F.lit("test").alias("side"), F.count(F.lit(1)).alias("n_rows"),
-                 F.sum("o_orderkey").alias("key_sum"))
-    return a.unionByName(b)
+    side = F.when(hash_fraction(["o_orderkey"]) < 0.7, "train").otherwise("test")
+    return o.groupBy(side.alias("side")).agg(F.count(F.lit(1)).alias("n_rows"),
+                                             F.sum("o_orderkey").alias("key_sum"))
 
 
 # ------------------------------------------------------------ surrogate key
 
-SK_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-           "l_linestatus", "l_shipdate")
+SK_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+           "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _part_sql(c: str) -> str:
+    t = f"CAST({c} AS VARCHAR)"
+    return f"CASE WHEN {c} IS NULL THEN 'N' ELSE CAST(length({t}) AS VARCHAR) || ':' || {t} END"
 
 
 @register("surrogate_key", sql=f"""
 SELECT {', '.join(SK_COLS)},
-       md5(concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in SK_COLS)},
-                     CAST(row_number() OVER (PARTITION BY {', '.join(SK_COLS)}) AS VARCHAR))) AS row_id
+       md5({' || '.join(_part_sql(c) for c in SK_COLS)} || '#' ||
+           CAST(row_number() OVER (PARTITION BY {', '.join(SK_COLS)}) AS VARCHAR)) AS row_id
 FROM lineitem
 """)
 def surrogate_key(spark: SparkSession, d: str) -> DataFrame:
-    """Reproducible row id = md5(values | ordinal among equal rows)."""
+    """Reproducible row id of the whole row = md5 of its values and the
+    ordinal among equal rows."""
     li = table(spark, d, "lineitem").select(*SK_COLS)
     return add_surrogate_key(li, out="row_id")
 
