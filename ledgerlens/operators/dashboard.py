@@ -51,17 +51,14 @@ def top_terms_by_count(df: DataFrame, key: str, n: int = 5, count_col: str = "n_
     return g.orderBy(F.col(count_col).desc(), F.col(key).asc()).limit(n)
 
 
-def selector_filter(df: DataFrame, key: str, values, max_inline: int = 1000) -> DataFrame:
-    """Keep rows whose key is among ``values`` (P14).  A short literal list is
-    an ``isin`` (pushed to the scan); a DataFrame of keys is a semi join."""
+def selector_filter(df: DataFrame, key: str, values) -> DataFrame:
+    """Keep rows whose key is among ``values`` (P14).  The caller chooses the
+    plan: literals are an ``isin`` (pushed to the scan), a DataFrame of keys
+    is a semi join."""
     if isinstance(values, DataFrame):
         keys = values.select(F.col(values.columns[0]).alias("__sel")).distinct()
         return df.join(keys, _c(key) == F.col("__sel"), "left_semi")
-    values = list(values)
-    if len(values) > max_inline:
-        spark = df.sparkSession
-        return selector_filter(df, key, spark.createDataFrame([(v,) for v in values], ["__v"]))
-    return df.where(_c(key).isin(values))
+    return df.where(_c(key).isin(list(values)))
 
 
 def time_range(df: DataFrame, ts: str, lo: str, hi: str) -> DataFrame:

@@ -66,9 +66,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
     Reads ``spark.checkpoint.dir`` from the session; sets a fresh local one
-    only when the setting is absent (local tests)."""
+    only when the setting is absent in a local session (tests).  On a cluster
+    executors would not see a folder of the driver's machine, so there the
+    setting is required."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
