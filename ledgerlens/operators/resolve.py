@@ -21,7 +21,6 @@ and no block is ever expanded into all of its pairs.
 
 from __future__ import annotations
 
-import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -343,17 +342,19 @@ def resolve_fuzzy_lsh(keys: DataFrame, dim: DataFrame, block: str, name: str,
 
 
 def shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
-    """(__id, __sh): distinct word ``shingle``-grams of each whole text, for
-    texts with at least ``shingle`` words.  Words are lower-cased whitespace
-    tokens; the n-grams come from Spark ML's NGram (one JVM pass per row).
-    The emptiness test is on the word count, so the n-gram expression is
-    never evaluated twice (once for a pushed-down filter, once for output)."""
+    """(__id, __sh): distinct word ``shingle``-grams of each whole text with a
+    word; a text of fewer words has one gram, all its words.  Words are
+    lower-cased whitespace tokens; the n-grams come from Spark ML's NGram (one
+    JVM pass per row).  The emptiness test is on the word count, so the n-gram
+    expression is never evaluated twice (once for a pushed-down filter, once
+    for output)."""
     from pyspark.ml.feature import NGram
     from ledgerlens.functions.text import words
     w = docs.select(F.col(id_col).alias("__id"), words(text_col).alias("__w")) \
-            .where(F.size("__w") >= shingle)
+            .where(F.size("__w") > 0)
     ng = NGram(n=shingle, inputCol="__w", outputCol="__ng").transform(w)
-    return ng.select("__id", F.array_distinct("__ng").alias("__sh"))
+    short = F.array(F.array_join("__w", " "))
+    return ng.select("__id", F.when(F.size("__w") < shingle, short).otherwise(F.array_distinct("__ng")).alias("__sh"))
 
 
 def _collapse_identical(docs: DataFrame, id_col: str, text_col: str, shingle: int):
@@ -376,27 +377,20 @@ def _collapse_identical(docs: DataFrame, id_col: str, text_col: str, shingle: in
     return sets, members
 
 
-def _expand(rep_pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Representative pairs (__rep, __rep2, dist) -> member pairs, plus the
-    distance-0 pairs among members of one digest (an equi-join on it)."""
-    ma = members.select(F.col("__rep").alias("__rep"), F.col("__id").alias("__a"))
-    mb = members.select(F.col("__rep").alias("__rep2"), F.col("__id").alias("__bb"))
-    cross = (rep_pairs.join(ma, "__rep").join(mb, "__rep2")
-             .select(F.least("__a", "__bb").alias("id_a"), F.greatest("__a", "__bb").alias("id_b"),
-                     "dist"))
-    la = members.select("__sig", F.col("__id").alias("id_a"))
-    lb = members.select("__sig", F.col("__id").alias("id_b"))
-    same = la.join(lb, "__sig").where(F.col("id_a") < F.col("id_b")) \
-             .select("id_a", "id_b", F.lit(0.0).alias("dist"))
-    return cross.unionByName(same)
+def _with_members(rep_pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs between representatives, and each copy with its representative
+    (distance 0): linear in the copies, from which all pairs follow."""
+    copies = members.where(F.col("__id") != F.col("__rep")).select(
+        F.col("__rep").alias("id_a"), F.col("__id").alias("id_b"), F.lit(0.0).alias("dist"))
+    return rep_pairs.select(F.col("__rep").alias("id_a"), F.col("__rep2").alias("id_b"), "dist").unionByName(copies)
 
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
                     max_dist: float = 0.25, num_tables: int = 3, seed: int = 42,
                     num_features: int = 1 << 20) -> DataFrame:
     """Near-duplicate document pairs by MinHash LSH over word shingles of the
-    whole text (J4 applied to documents): (id_a, id_b, dist), id_a < id_b.
-    Identical sets are collapsed first (see :func:`_collapse_identical`)."""
+    whole text (J4 applied to documents): (id_a, id_b, dist), id_a < id_b,
+    between the smallest ids of equal sets, and from those to their copies."""
     from pyspark.ml.feature import HashingTF, MinHashLSH
     from ledgerlens.session import cut_lineage
 
@@ -412,7 +406,7 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     pairs = lsh.approxSimilarityJoin(v, v, max_dist, distCol="dist")
     rep_pairs = pairs.where(F.col("datasetA.__rep") < F.col("datasetB.__rep")).select(
         F.col("datasetA.__rep").alias("__rep"), F.col("datasetB.__rep").alias("__rep2"), "dist")
-    return _expand(rep_pairs, members)
+    return _with_members(rep_pairs, members)
 
 
 def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
@@ -422,15 +416,8 @@ def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle:
 
     Documents with identical shingle sets are collapsed first, so candidate
     generation runs over distinct sets only: a block of m exact copies costs
-    one set in the join, and its m(m-1)/2 result pairs are produced once, by
-    an equi-join on the digest, instead of once per shared prefix token."""
+    one set in the join and m - 1 rows (representative, copy, 0)."""
     sets, members = _collapse_identical(docs, id_col, text_col, shingle)
     rep_pairs = jaccard_join(sets.withColumn("__b", F.lit(0)), None, "__b", "__rep", "__rep2",
                              "__sh", max_dist, materialize=False)
-    return _expand(rep_pairs, members)
-
-
-def prefix_length(size: int, max_dist: float) -> int:
-    """Python form of the prefix length rule (for tests)."""
-    t = 1.0 - max_dist
-    return size - math.ceil(t * size) + 1
+    return _with_members(rep_pairs, members)

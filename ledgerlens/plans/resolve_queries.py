@@ -379,8 +379,9 @@ def doc_near_dup(spark: SparkSession, d: str) -> DataFrame:
 
 
 _SHINGLES_SQL = """
-SELECT doc_id, list_distinct(list_transform(range(1, len(w) - 1),
-         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS sh
+SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh
 FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: length(x) > 0) AS w
       FROM documents)
 """
@@ -388,13 +389,15 @@ FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda
 
 @register("doc_near_dup_exact", sql=f"""
 WITH sh AS ({_SHINGLES_SQL}),
-tok AS (SELECT doc_id, len(sh) AS s, unnest(sh) AS t FROM sh WHERE len(sh) > 0),
+member AS (SELECT doc_id, sh, min(doc_id) OVER (PARTITION BY list_sort(sh)) AS rep FROM sh WHERE len(sh) > 0),
+tok AS (SELECT doc_id, len(sh) AS s, unnest(sh) AS t FROM member WHERE doc_id = rep),
 pairs AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, any_value(a.s) AS sa, any_value(b.s) AS sb,
                  count(*) AS inter
           FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2)
 SELECT CAST(id_a AS BIGINT) AS id_a, CAST(id_b AS BIGINT) AS id_b,
        round(1.0 - CAST(inter AS DOUBLE) / CAST(sa + sb - inter AS DOUBLE), 6) AS dist
 FROM pairs WHERE 1.0 - CAST(inter AS DOUBLE) / CAST(sa + sb - inter AS DOUBLE) < 0.25
+UNION ALL SELECT CAST(rep AS BIGINT), CAST(doc_id AS BIGINT), 0.0 FROM member WHERE doc_id <> rep
 """)
 def doc_near_dup_exact(spark: SparkSession, d: str) -> DataFrame:
     """Exact near-duplicate documents (word 3-shingle Jaccard distance < 0.25)

@@ -65,10 +65,6 @@ def test_distance_exactly_at_bound_is_not_matched(spark):
     assert r.dim_id is None
 
 
-def test_prefix_length_rule():
-    assert rs.prefix_length(4, 0.25) == 2
-    assert rs.prefix_length(1, 0.25) == 1
-    assert rs.prefix_length(100, 0.25) == 26
 
 
 def test_week_and_year_index(spark):
@@ -182,7 +178,10 @@ def test_history_range_frame_uses_true_lags(spark):
     # weeks 0, 1, 5, 20: a range frame of 13 weeks sees only values within 13 weeks
     df = spark.createDataFrame([(0, w, float(w)) for w in (0, 1, 5, 20)], "g long, t long, v double")
     h = {r.t: r.history for r in history(df, ["g"], "t", "v", n=13, frame="range", pad="left").collect()}
-    assert h[5] == [0.0] * 11 + [0.0, 1.0]
+    assert h[5] == [0.0] * 8 + [0.0, 1.0, 0.0, 0.0, 0.0]   # weeks 0 and 1 are lags 5 and 4
+    many = spark.createDataFrame([(0, 1, 1.0)] * 20 + [(0, 3, 5.0)], "g long, t long, v double")
+    h2 = {r.t: r.history for r in history(many, ["g"], "t", "v", n=3, frame="range").collect()}
+    assert h2 == {1: [0.0, 0.0, 0.0], 3: [0.0, 20.0, 0.0]}   # every value of a week counts
     assert h[20] == [0.0] * 13          # week 5 is 15 weeks back: outside the frame
     hr = {r.t: r.history for r in history(df, ["g"], "t", "v", n=13).collect()}
     assert hr[20] == [0.0, 1.0, 5.0] + [0.0] * 10   # row frame: the 3 previous rows

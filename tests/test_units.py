@@ -46,11 +46,11 @@ def test_ordered_values_and_describe(spark):
     assert (d.n, d.mean, d.min, d.max) == (2, 2.0, 1.0, 3.0)
 
 
-def test_selector_filter_long_list_is_a_semi_join(spark):
+def test_selector_filter_of_keys_is_a_semi_join(spark):
     df = spark.range(0, 50).withColumn("k", F.col("id").cast("string"))
     values = [str(i) for i in range(0, 50, 2)]
     short = db.selector_filter(df, "k", values)
-    long = db.selector_filter(df, "k", values, max_inline=3)
+    long = db.selector_filter(df, "k", spark.createDataFrame([(v,) for v in values], "v string"))
     assert short.count() == long.count() == 25
     plan = long._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
