@@ -272,7 +272,7 @@ def block_links(sets: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
         return stored(placed.groupBy("block", "part").applyInArrow(_join_part, links), "join-links")
     by_hash = Window.partitionBy("block").orderBy(F.xxhash64("entity"))
     centre = sets.where("parts > 1").select("block", "entity").withColumn("k", F.row_number().over(by_hash)).where(f"k <= {CENTRES}").select("block", "entity")
-    everywhere = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).cast("long")
+    everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))
     centres = sets.join(centre, ["block", "entity"], "left_semi").withColumn("part", everywhere)
     first = stored(placed.unionByName(centres).groupBy("block", "part").applyInArrow(_join_part, links), "join-links")
     found = components(first).select(F.col("node").alias("entity"), F.col("component").alias("found"))
