@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import components, stored
 
 WORDS, PERCENT = 5, 75
-TASK_TOKENS = 4_000_000
+TASK_TOKENS = 2_000_000
 PART_TOKENS = 2_000_000
 CENTRES = 16
 BITS, FAN = 1024, 8
