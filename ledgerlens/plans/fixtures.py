@@ -27,9 +27,6 @@ Rules (see FIXTURES.md section 3):
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,34 +37,32 @@ POP_YEARS = 7
 POP_COLS = [f"pop_y{i}" for i in range(POP_YEARS)]
 
 
-LEDGER_LAYOUT = "tx/1"  # change whenever the tx rule below changes
 LEDGER_INPUTS = ("lineitem", "orders", "customer", "nation", "region", "part")
+_LEDGERS: dict[tuple[str, str], str] = {}
 
 
-def _ledger_path(spark: SparkSession, d: str) -> str:
-    from ledgerlens.session import checkpoint_dir
-    sig = [LEDGER_LAYOUT, os.path.abspath(d) if "://" not in d else d]
-    for name in LEDGER_INPUTS:
-        f = f"{d.rstrip('/')}/{name}.parquet"
-        if "://" not in f and os.path.exists(f):
-            st = os.stat(f)
-            sig.append(f"{name}:{st.st_size}:{int(st.st_mtime)}")
-    tag = hashlib.md5("|".join(sig).encode()).hexdigest()[:16]
-    return f"{checkpoint_dir(spark).rstrip('/')}/ledger-{tag}"
+def data_signature(spark: SparkSession, d: str, names=LEDGER_INPUTS) -> str:
+    """Digest of the tables' files (path, length, time of change) as Spark
+    lists them, so it holds for any file system; contents are not read."""
+    paths = [f"{d.rstrip('/')}/{name}.parquet" for name in names]
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(paths)
+                  .select("path", "length", "modificationTime"))
+    # one number per file of six tables' listings
+    return str(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first())
 
 
 def tx(spark: SparkSession, d: str) -> DataFrame:
-    """The ledger: derived from the six tables once per data directory and
-    written as one flat Parquet table under the shared checkpoint folder (a
-    real ledger is one such table); later queries scan it directly."""
-    from pyspark.errors import AnalysisException
-    path = _ledger_path(spark, d)
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        pass
-    tx_plan(spark, d).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """The ledger: derived from the six tables once per session and state of
+    the data and written as one flat Parquet table of its own under the shared
+    checkpoint folder (a real ledger is one such table); later queries of the
+    session scan it directly, and changed input gives a new one."""
+    from ledgerlens.session import scratch_path
+    key = (spark.sparkContext.applicationId, data_signature(spark, d))
+    if key not in _LEDGERS:
+        path = scratch_path(spark, "ledger")
+        tx_plan(spark, d).write.parquet(path)
+        _LEDGERS[key] = path
+    return spark.read.parquet(_LEDGERS[key])
 
 
 def tx_plan(spark: SparkSession, d: str) -> DataFrame:
