@@ -91,7 +91,7 @@ def map_code(df: DataFrame, col: str, lookup: DataFrame | None = None,
         names = names.unionByName(codes).dropDuplicates(["__lk_key"])
     key = F.upper(F.col(col))
     out_df = (df.withColumn("__lk_in", key)
-                .join(F.broadcast(names), F.col("__lk_in") == F.col("__lk_key"), "left")
+                .join(names, F.col("__lk_in") == F.col("__lk_key"), "left")
                 .withColumn(out, F.col("__lk_code"))
                 .drop("__lk_in", "__lk_key", "__lk_code"))
     return out_df
@@ -109,27 +109,7 @@ def char_ngrams(c: Column | str, n: int = 3) -> Column:
     return F.when(L >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
 
 
-def token_ngrams(tokens: Column, n: int = 3, sep: str = " ") -> Column:
-    """Distinct n-grams of an array of tokens, joined by ``sep``.
-
-    Built from positional ``zip_with`` over shifted slices, so each row costs
-    O(tokens * n); an index-based ``transform`` that re-reads the token array
-    inside its lambda would cost O(tokens^2) on long texts."""
-    k = F.size(tokens)
-    acc = tokens
-    for j in range(1, n):
-        shifted = F.slice(tokens, j + 1, F.greatest(k, F.lit(1)))
-        acc = F.zip_with(acc, shifted, lambda a, b: F.concat_ws(sep, a, b))
-    grams = F.slice(acc, 1, F.greatest(k - (n - 1), F.lit(1)))
-    return F.when(k >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
-
-
 def words(c: Column | str) -> Column:
     """Lower-cased whitespace tokens of a whole text (empty tokens dropped)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.filter(F.split(F.lower(c), r"\s+"), lambda w: F.length(w) > 0)
-
-
-def word_shingles(c: Column | str, n: int = 3) -> Column:
-    """Distinct lower-cased word n-grams of a whole text."""
-    return token_ngrams(words(c), n)

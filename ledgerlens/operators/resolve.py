@@ -25,6 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.keys import row_text
 from ledgerlens.functions.text import (AREA_SUFFIXES, char_ngrams, normalize_name,
                                        strip_non_word, strip_suffix)
 
@@ -288,16 +289,17 @@ def disjunctive_match(keys: DataFrame, xwalk: DataFrame, dim: DataFrame, block:
                       xw_name: str = "xw_county", suffixes=AREA_SUFFIXES) -> DataFrame:
     """State equal and (name equal or crosswalk name equal).
 
-    Kept an equi-join on the block with a residual OR, then reduced to one
-    match per key (smallest dimension id)."""
+    Each side of the OR is an equi-join on (block, name) with a dimension of
+    one row per name, so no key meets all names of its block; the smaller id
+    of the two is the key's match."""
     x = xwalk.select(F.col(xw_key).alias("__xk"), normalize_name(xw_name, suffixes).alias("__xkey"))
     k = (keys.join(x, keys[zip_col] == x["__xk"], "left")
              .withColumn("__fkey", fact_key(name)))
-    d = dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias("__db"),
-                   F.col("match_key").alias("__dkey"))
-    cond = (k[block] == d["__db"]) & ((k["__fkey"] == d["__dkey"]) | (k["__xkey"] == d["__dkey"]))
-    j = k.join(d, cond, "left")
-    return j.groupBy(*keys.columns).agg(F.min("__did").alias(dim_id))
+    d = dim.groupBy(F.col(dim_block).alias("__db"), F.col("match_key").alias("__dkey")).agg(F.min(dim_id).alias("__did"))
+    for key, found in (("__fkey", "__by_name"), ("__xkey", "__by_zip")):
+        own = d.select(F.col("__db").alias(f"{found}_b"), F.col("__dkey").alias(f"{found}_k"), F.col("__did").alias(found))
+        k = k.join(own, (F.col(block) == F.col(f"{found}_b")) & (F.col(key) == F.col(f"{found}_k")), "left")
+    return k.groupBy(*keys.columns).agg(F.min(F.least("__by_name", "__by_zip")).alias(dim_id))
 
 
 # ----------------------------------------------------------------- LSH
@@ -320,7 +322,7 @@ def resolve_fuzzy_lsh(keys: DataFrame, dim: DataFrame, block: str, name: str,
     # short values are filtered out; the placeholder only guards against the
     # hashing UDF being evaluated ahead of that filter
     safe = F.when(F.length("__v0") >= n, F.col("__v0")).otherwise(F.lit("\u0000" * n))
-    k = (keys.withColumn("__kid", F.concat_ws("\u0001", *keys.columns))
+    k = (keys.withColumn("__kid", row_text(keys.columns))
              .withColumn("__v0", strip_non_word(name))
              .where(F.length("__v0") >= n).withColumn("__v", safe))
     d = (dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias("__db"),

@@ -19,6 +19,7 @@ their joins are left to the optimizer and AQE's runtime broadcast check.
 
 from __future__ import annotations
 
+import inspect
 import sys
 from dataclasses import dataclass, field
 
@@ -188,13 +189,35 @@ JOBS = {"resolve": resolve, "agg": aggregate, "window": window, "train": train,
         "predict": predict, "report": report, "cluster": cluster, "export": export, "load": load}
 
 
+def parse_options(job, words) -> dict:
+    """``key=value`` words as the job's parameters declare them: by the type of
+    the default, comma lists for sequences; an unknown name is an error."""
+    known = inspect.signature(job).parameters
+    out = {}
+    for word in words:
+        name, eq, text = word.partition("=")
+        if not eq or name not in known or name in ("spark", "c"):
+            raise SystemExit(f"unknown option {word!r} of {job.__name__}")
+        default = known[name].default
+        if isinstance(default, bool):
+            if text.lower() not in ("true", "false"):
+                raise SystemExit(f"{name} takes true or false")
+            out[name] = text.lower() == "true"
+        elif isinstance(default, (int, float)):
+            out[name] = type(default)(text)
+        elif isinstance(default, (tuple, list)):
+            kind = type(default[0]) if default else str
+            out[name] = tuple(kind(x) for x in text.split(",") if x)
+        else:
+            out[name] = text
+    return out
+
+
 def main(argv) -> None:
     from ledgerlens.session import get_session
     if len(argv) < 2 or argv[1] not in JOBS:
         raise SystemExit(f"usage: jobs <{'|'.join(JOBS)}> key=value ...")
-    kwargs = dict(a.split("=", 1) for a in argv[2:])
-    if "ks" in kwargs:
-        kwargs["ks"] = tuple(int(k) for k in kwargs["ks"].split(","))
+    kwargs = parse_options(JOBS[argv[1]], argv[2:])
     spark = get_session()
     JOBS[argv[1]](spark, **kwargs)
 

@@ -261,8 +261,10 @@ def anti_remainder(spark: SparkSession, d: str) -> DataFrame:
     ex = rs.resolve_exact(_keys(t), dim, "buyer_state", "buyer_county")
     fz_in = ex.where(F.col("dim_id").isNull()).drop("dim_id").where(
         (F.coalesce("buyer_state", F.lit("")) != "") & (F.coalesce("buyer_county", F.lit("")) != ""))
-    best = rs.best_match(rs.fuzzy_candidates(fz_in, dim, "buyer_state", "buyer_county"),
-                         ["buyer_state", "buyer_county"])
+    fz_in = cut_lineage(fz_in, "fuzzy-input")
+    # read by the match and by the anti-join: computed once
+    best = cut_lineage(rs.best_match(rs.fuzzy_candidates(fz_in, dim, "buyer_state", "buyer_county"),
+                                     ["buyer_state", "buyer_county"]), "fuzzy-best")
     matched = fz_in.join(best, ["buyer_state", "buyer_county"]).select(
         *KEYS, "dim_id", F.lit(True).alias("has_match"))
     rest = rs.remainder(fz_in, best, ["buyer_state", "buyer_county"]).select(
@@ -271,9 +273,8 @@ def anti_remainder(spark: SparkSession, d: str) -> DataFrame:
 
 
 def resolved(spark: SparkSession, d: str, carry_blank_keys: bool = True) -> DataFrame:
-    t, _, xw = _inputs(spark, d)
-    return rs.resolve_cascade(t, fx.name_dim(spark, d), xw, "buyer_state", "buyer_county",
-                              "buyer_zip", carry_blank_keys=carry_blank_keys)
+    return rs.resolve_cascade(fx.tx(spark, d), fx.name_dim(spark, d), fx.crosswalk(spark, d), "buyer_state",
+                              "buyer_county", "buyer_zip", carry_blank_keys=carry_blank_keys)
 
 
 @register("resolve_cascade", sql=_sql("""

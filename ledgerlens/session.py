@@ -46,7 +46,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     for k, v in conf.items():
-        if k.startswith("spark.sql."):
+        if k.startswith("spark.sql.") and spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     checkpoint_dir(spark)
     importable_in_workers(spark)

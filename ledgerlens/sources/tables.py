@@ -26,8 +26,3 @@ def read_drifted(spark: SparkSession, paths, merge_schema: bool = False) -> Data
         return spark.read.option("mergeSchema", "true").parquet(*paths)
     frames = [spark.read.parquet(p) for p in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-
-
-def union_drifted(frames) -> DataFrame:
-    """Union DataFrames by column name, filling missing columns with null."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), list(frames))
