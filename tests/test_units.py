@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from ledgerlens.functions.geo import in_bbox
 from ledgerlens.functions.text import int_flag, map_code
 from ledgerlens.operators import dashboard as db
@@ -72,3 +73,39 @@ def test_jobs_cli_rejects_unknown_job():
     from ledgerlens.plans import jobs
     with pytest.raises(SystemExit):
         jobs.main(["jobs", "nope"])
+
+
+def test_job_options_take_their_declared_types():
+    from ledgerlens.plans import jobs
+    got = jobs.parse_options(jobs.resolve, ["fact=/f", "carry_blank_keys=False"])
+    assert got == {"fact": "/f", "carry_blank_keys": False}
+    assert jobs.parse_options(jobs.window, ["n=7"]) == {"n": 7}
+    assert jobs.parse_options(jobs.train, ["trees=5,6"]) == {"trees": (5, 6)}
+    assert jobs.parse_options(jobs.cluster, ["ks=2,3"])["ks"] == (2, 3)
+    for bad in (["nosuch=1"], ["carry_blank_keys=maybe"], ["fact"]):
+        with pytest.raises(SystemExit):
+            jobs.parse_options(jobs.resolve, bad)
+
+
+def test_ledger_follows_its_input(spark, tmp_path):
+    import shutil
+
+    from ledgerlens.plans import fixtures as fx
+    d = str(tmp_path / "sf")
+    shutil.copytree(SMALL, d)
+    first = fx.tx(spark, d).count()
+    assert fx.data_signature(spark, d) == fx.data_signature(spark, d)
+    li = spark.read.parquet(f"{SMALL}/lineitem.parquet")
+    shutil.rmtree(f"{d}/lineitem.parquet", ignore_errors=True)
+    (tmp_path / "sf" / "lineitem.parquet").unlink(missing_ok=True)
+    li.where("l_orderkey % 2 = 0").write.parquet(f"{d}/lineitem.parquet")
+    assert 0 < fx.tx(spark, d).count() < first
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from ledgerlens.session import checkpoint_dir
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d: d), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        checkpoint_dir(fake)
