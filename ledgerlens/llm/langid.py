@@ -38,6 +38,8 @@ ROUNDS = 3
 LEAST = 1e-9
 LONGEST = 32
 MOST_WORDS = 300_000
+#: rows whose words are held as objects at one time
+ROWS_AT_ONCE = 256
 #: words that count as evidence in the score, however long the text
 EVIDENCE = 20
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
@@ -137,8 +139,9 @@ def pieces_of(path: str) -> Pieces:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts: Counter = Counter()
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            counts.update((label, w) for w in split_words(text))
+        for label, text in zip(batch.column(0), batch.column(1), strict=True):
+            own = label.as_py()
+            counts.update((own, w) for w in split_words(text.as_py()))
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in counts], pa.string()), pa.array([k[1] for k in counts], pa.string()),
                                           pa.array(counts.values(), pa.int64())], names=["label", "word", "n"])
 
@@ -192,16 +195,16 @@ def train(labelled: DataFrame, path: str, rows_per_language: int = ROWS_PER_LANG
 _MODELS: dict = {}
 
 
-def _predict(path: str, shared, name: str, languages: list[str]):
+def _predict(path: str, shared, name: str, languages: list[str], text_field: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if name not in _MODELS:
             _MODELS.clear()
             _MODELS[name] = {}, []
         known, likely = _MODELS[name]
         pieces, chance = pieces_of(path), shared.value
-        for batch in batches:
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             found, scores = [], []
-            texts = [split_words(t.as_py()) for t in batch.column(1)]
+            texts = [split_words(t.as_py()) for t in (batch.column(0).field(text_field) if text_field else batch.column(1))]
             new = list({w for words in texts for w in words if w not in known})
             if len(known) + len(new) > MOST_WORDS:
                 known.clear()
@@ -230,13 +233,16 @@ def _predict(path: str, shared, name: str, languages: list[str]):
 
 
 def predictor(spark, path: str, languages: list[str], chance):
-    """Function from (row, text) DataFrames to (row, lang_pred, score); ``row`` may be a struct of any columns."""
-    def apply(rows: DataFrame) -> DataFrame:
+    """Function from (row, text) DataFrames to (row, lang_pred, score); ``row``
+    may be a struct of any columns, and with ``text_field`` one of these is
+    the text, which then travels once."""
+    def apply(rows: DataFrame, text_field: str | None = None) -> DataFrame:
         if not languages:
             return rows.select("row", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
         kind = rows.schema["row"].dataType.simpleString()
         shared = spark.sparkContext.broadcast(chance)
-        return rows.select("row", "text").mapInArrow(_predict(path, shared, uuid.uuid4().hex, languages), f"row {kind}, lang_pred string, score double")
+        rows = rows.select("row") if text_field else rows.select("row", "text")
+        return rows.mapInArrow(_predict(path, shared, uuid.uuid4().hex, languages, text_field), f"row {kind}, lang_pred string, score double")
     return apply
 
 
