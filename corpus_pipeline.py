@@ -31,7 +31,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language, or of doubtful language, go."""
     importable_in_workers(spark)
     apply = langid.fit(docs, remainder("doc_id", 3) == 1, tokenizer_path("piece_bpe_32k.model"))
-    found = apply(docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text")))
+    found = apply(docs.select(F.struct(*docs.columns).alias("row")), text_field="text")
     return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
 
 
