@@ -167,5 +167,5 @@ def mixed(docs: DataFrame, text: str = "text", source: str = "source", key: str
     size = word_count(F.col(f"row.{text}"))
     j = inner.join(plan, F.col(f"row.{source}").cast("string").eqNullSafe(F.col("__source"))).withColumn("size", size)
     _, copies = copies_of(F.col("size"), F.col(f"row.{key}"), max_copies)
-    return (j.withColumn("copies", copies).where("copies > 0")
-             .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))
+    # no filter on the copies: pushed below, it would count the words again for each use of the size
+    return j.withColumn("copies", copies).select("row", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).select("row.*")
