@@ -26,6 +26,35 @@ def query(fn):
     return fn
 
 
+ORACLE["op9_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                   '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) END AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.t = b.t AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, CAST(least(s.doc_id, coalesce(c.b, s.doc_id)) AS BIGINT) AS component_id
+FROM s LEFT JOIN (SELECT a, min(b) AS b FROM r GROUP BY a) c ON c.a = s.doc_id
+"""
+
+ORACLE["op10_pivot_near_dup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_count(embedding) = len(embedding)
+    AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+r(a, b) AS (SELECT a, b FROM p UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a, min(b) AS b FROM r GROUP BY a), n AS (SELECT a, count(*) AS n FROM p GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, CAST(least(e.vec_id, coalesce(c.b, e.vec_id)) AS BIGINT) AS component_id,
+       e.vec_id <= coalesce(c.b, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN c ON c.a = e.vec_id LEFT JOIN n ON n.a = e.vec_id
+"""
+
+
 @query
 def op1_entropy_mix(spark: SparkSession, d: str) -> DataFrame:
     out = mixing.mix(table(spark, d, "documents"))
