@@ -151,7 +151,7 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", key: str = "v
     sample = entries.orderBy(F.xxhash64("name"), "name").limit(wanted).select("vector").collect()
     points = {size: _unit([bytes(r[0]) for r in sample if len(r[0]) == size], kind) for size in {len(r[0]) for r in sample}}
     # lengths that the sample missed get points of their own
-    for size in [r[0] for r in entries.select(F.length("vector").alias("s")).distinct().limit(wanted).collect() if r[0] not in points]:
+    for size in [r[0] for r in entries.select(F.length("vector").alias("s")).distinct().collect() if r[0] not in points]:
         points[size] = _unit([bytes(r[0]) for r in entries.where(F.length("vector") == size).orderBy(F.xxhash64("name"), "name").limit(wanted).select("vector").collect()], kind)
     pivots = spark.sparkContext.broadcast({size: _separated(x) for size, x in points.items()})
     postings = stored(entries.select("name", "times", "vector").mapInArrow(_post(pivots, kind), "list long, name long, times long, vector binary, lists binary"), "pivot-postings")

@@ -67,9 +67,13 @@ def known_texts() -> list[tuple[str, str]]:
     return [(k, t) for k, texts in KNOWN.items() for t in texts] + [(k, f.format(n)) for k, names in NAMES.items() for n in names for f in FORMS]
 
 
+def lowered(text: Column) -> Column:
+    """Lower case, line ends unified."""
+    return F.lower(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
+
+
 def canonical_lines(text: Column) -> Column:
-    """Canonical form of a text with its line ends kept (null: null); patterns run only where their words occur."""
-    text = F.lower(F.regexp_replace(text, "\r\n?", "\n"))
+    """Canonical form of a lowered text with its line ends kept; the copyright pattern runs only where its words occur."""
     marked = text.contains("copyright") | text.contains("(c)") | text.contains("©") | text.contains("all rights reserved")
     text = F.when(marked, F.regexp_replace(text, COPYRIGHT, " ")).otherwise(text)
     for found, instead in SPELLINGS:
@@ -77,24 +81,26 @@ def canonical_lines(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(text, VERSION, "v"), r"[^\p{L}\p{N}\n]+", " ")
 
 
-def canonical(text: Column) -> Column:
-    """Canonical form of a text (null: null)."""
-    return F.trim(F.regexp_replace(canonical_lines(text), r"\s+", " "))
+def one_line(lines: Column) -> Column:
+    """Canonical form from the form with line ends."""
+    return F.trim(F.regexp_replace(lines, r"\s+", " "))
 
 
 def digests(spark: SparkSession, texts: DataFrame | None = None) -> DataFrame:
     """(digest, license) of known texts, built in or given as (license, text); a digest has one row."""
     if texts is None:
         texts = spark.createDataFrame(known_texts(), "license string, text string").coalesce(1)
-    form = canonical(F.col("text"))
+    form = one_line(canonical_lines(lowered(F.col("text"))))
     return texts.where(F.length(form) > 0).groupBy(F.sha2(F.encode(form, "UTF-8"), 256).alias("digest")).agg(F.min("license").alias("license"))
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Per row: key, license (of the whole text, else null), licenses (sorted, of its lines, paragraphs or whole), n_matches."""
     known = digests(docs.sparkSession, known)
-    rows = docs.select(F.col(key).alias("key"), canonical_lines(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("body"))
-    rows = rows.withColumn("whole", F.trim(F.regexp_replace("body", r"\s+", " ")))
+    # a column for each step, so that no step is computed again for each use of its result
+    rows = docs.select(F.col(key).alias("key"), lowered(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("low"))
+    rows = rows.select("key", canonical_lines(F.col("low")).alias("body"))
+    rows = rows.withColumn("whole", one_line(F.col("body")))
     paragraphs = F.transform(F.split("body", r"\n *\n"), lambda x: F.trim(F.replace(x, F.lit("\n"), F.lit(" "))))
     paragraphs = F.transform(paragraphs, lambda x: F.regexp_replace(x, " +", " "))
     units = F.array_distinct(F.concat(F.array("whole"), paragraphs, F.transform(F.split("body", "\n"), lambda x: F.trim(x))))
