@@ -43,6 +43,8 @@ FLOORS = (0.3, 0.05, 0.4, 0.8, 0.8)
 REWEIGHT, CUTOFF = 12.8325, 40.0
 #: makes the covariance of the central three quarters, and of 97.5 %, consistent for normal vectors
 CENTRAL_FACTOR, REWEIGHT_FACTOR = 1.4125, 1.0529
+#: groups (counted) whose estimates are broadcast; beyond that rows meet them by (group, slice)
+MOST_BROADCAST, SLICES = 100_000, 64
 #: histogram cells of a doubling of the distance
 CELLS = 64
 
@@ -114,7 +116,16 @@ def _products() -> list[Column]:
     return [F.count(F.lit(1)).alias("n"), *[F.sum(z).alias(f"s{i}") for i, z in enumerate(Z)], *[F.sum(F.col(Z[i]) * F.col(Z[j])).alias(f"p{i}{j}") for i, j in PAIRS]]
 
 
-def _central(rows: DataFrame, d2: Column) -> DataFrame:
+def _met(rows: DataFrame, groups: DataFrame, on: list[str], few: bool) -> DataFrame:
+    """Rows with what belongs to their group, without bringing a group into one task."""
+    if few:
+        return rows.join(F.broadcast(groups), on)
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64(*Z), F.lit(SLICES)))
+    groups = groups.withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SLICES - 1).cast("long"))))
+    return rows.join(groups, [*on, "slice"]).drop("slice")
+
+
+def _central(rows: DataFrame, d2: Column, few: bool) -> DataFrame:
     """Rows of each (g, start) within the distance that covers three quarters."""
     rows = rows.withColumn("cell", F.floor(CELLS * F.log2(1 + d2)).cast("int"))
     cells = rows.groupBy("g", "start", "cell").agg(F.count(F.lit(1)).alias("k"))
@@ -122,7 +133,7 @@ def _central(rows: DataFrame, d2: Column) -> DataFrame:
     upto = F.sum("k").over(by.orderBy("cell").rowsBetween(Window.unboundedPreceding, 0))
     cells = cells.withColumns({"upto": upto, "all": F.sum("k").over(by)}).where(F.col("upto") >= F.ceil(COVER * F.col("all")))
     last = stored(cells.groupBy("g", "start").agg(F.min("cell").alias("last")), "mcd-last")
-    return rows.join(last, ["g", "start"]).where("cell <= last")
+    return _met(rows, last, ["g", "start"], few).where("cell <= last")
 
 
 def estimate(rows: DataFrame) -> DataFrame:
@@ -130,18 +141,19 @@ def estimate(rows: DataFrame) -> DataFrame:
     rows = stored(rows.select("g", *Z), "mcd-rows")
     centre = rows.groupBy("g").agg(*[F.median(F.round(z, 2)).alias(f"m{i}") for i, z in enumerate(Z)])
     centre = stored(centre, "mcd-centre")
-    spread = rows.join(centre, "g").groupBy("g").agg(*[F.median(F.round(F.abs(F.col(z) - F.col(f"m{i}")), 2)).alias(f"d{i}") for i, z in enumerate(Z)])
+    few = centre.count() <= MOST_BROADCAST
+    spread = _met(rows, centre, ["g"], few).groupBy("g").agg(*[F.median(F.round(F.abs(F.col(z) - F.col(f"m{i}")), 2)).alias(f"d{i}") for i, z in enumerate(Z)])
     start = stored(centre.join(spread, "g").select("g", *[f"m{i}" for i in range(DIM)], *[F.greatest(1.4826 * F.col(f"d{i}"), F.lit(FLOORS[i])).alias(f"d{i}") for i in range(DIM)]), "mcd-start")
     off = [F.pow((F.col(z) - F.col(f"m{i}")) / F.col(f"d{i}"), F.lit(2)) for i, z in enumerate(Z)]
-    both = rows.join(start, "g").withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
-    first = _central(both, F.when(F.col("start") == 0, sum(off[1:], off[0])).otherwise(F.greatest(*off)))
+    both = _met(rows, start, ["g"], few).withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+    first = _central(both, F.when(F.col("start") == 0, sum(off[1:], off[0])).otherwise(F.greatest(*off)), few)
     fit = stored(_whitening(first.groupBy("g", "start").agg(*_products()), ["g", "start"], CENTRAL_FACTOR), "mcd-fit")
     for _ in range(STEPS):
-        near = _central(rows.join(fit, "g").select("g", "start", *Z, distance().alias("d2")), F.col("d2"))
+        near = _central(_met(rows, fit, ["g"], few).select("g", "start", *Z, distance().alias("d2")), F.col("d2"), few)
         fit = stored(_whitening(near.groupBy("g", "start").agg(*_products()), ["g", "start"], CENTRAL_FACTOR), "mcd-fit")
     least = fit.groupBy("g").agg(F.min(F.struct("logdet", "start")).alias("x")).select("g", F.col("x.start").alias("start"))
     fit = stored(fit.join(least, ["g", "start"]).drop("start"), "mcd-best")
-    near = rows.join(fit, "g").where(distance() <= REWEIGHT)
+    near = _met(rows, fit, ["g"], few).where(distance() <= REWEIGHT)
     return _whitening(near.groupBy("g").agg(*_products()), ["g"], REWEIGHT_FACTOR).drop("logdet")
 
 
@@ -156,9 +168,10 @@ def judge(measured: DataFrame, groups: DataFrame) -> DataFrame:
     marks = ["m%d" % i for i in range(DIM)] + ["w%d%d" % p for p in PAIRS]
     keys = _groups()
     found = measured.withColumns({f"__g{k}": g for k, g in enumerate(keys)})
+    few = groups.count() <= MOST_BROADCAST
     for k in range(len(keys)):
         own = groups.where(F.col("g").startswith(str(k))).select(F.col("g").alias(f"__g{k}"), F.struct(*marks).alias(f"__e{k}"))
-        found = found.join(own, f"__g{k}", "left")
+        found = found.join(F.broadcast(own) if few else own, f"__g{k}", "left")
     est = F.coalesce(*[F.col(f"__e{k}") for k in range(len(keys))])
     found = found.withColumn("__e", est).withColumns({m: F.col(f"__e.{m}") for m in marks}).withColumn("d2", distance())
     return found.withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(True))).drop(

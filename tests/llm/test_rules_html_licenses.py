@@ -38,7 +38,9 @@ def test_rules_on_labelled_documents(spark):
     assert np.mean(good) >= 0.98 and np.mean(bad) <= 0.1
 
 
-def test_estimates_ignore_a_cluster_of_outliers(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_estimates_ignore_a_cluster_of_outliers(spark, monkeypatch, most):
+    monkeypatch.setattr(outliers, "MOST_BROADCAST", most)
     draw = np.random.default_rng(0)
     clean = draw.normal([5, 1.6, 0.5, 0.5, 0.5], [1, 0.3, 1.0, 2.0, 2.0], (3000, 5))
     far = draw.normal([5, 1.6, 9, 9, 9], 0.05, (600, 5))
