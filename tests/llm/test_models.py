@@ -73,6 +73,52 @@ def test_trie_follows_the_definition(spark, monkeypatch):
         assert sum(10 ** trie.symbol(context, s) for s in every) == pytest.approx(1, abs=1e-6)
 
 
+def brute_scores(texts, learned):
+    """log10 of the probabilities of whole texts straight from the definition, with every gram that occurs twice."""
+    plain = [b"".join(ppm.SEPARATOR if bytes([x]) in ppm.SPACES else bytes([x]) for x in t.lower()) + ppm.END for t in texts]
+    counts, spaces = Counter(), Counter()
+
+    def places(t):
+        for i in range(len(t)):
+            start = b" " + t[:i]
+            yield start[start.rindex(b" "):][-ppm.ORDER:], t[i]
+    for t, raw, use in zip(plain, texts, learned, strict=True):
+        if use:
+            spaces.update(x for x in raw if bytes([x]) in ppm.SPACES)
+            counts.update((context[len(context) - k:], s) for context, s in places(t) for k in range(len(context) + 1))
+    total, distinct, kept = Counter(), Counter(), {}
+    for (c, s), n in counts.items():
+        total[c] += n
+        distinct[c] += 1
+        kept.setdefault(c, {}).update({s: n} if n >= 2 else {})
+
+    def code(context, s):
+        while context and total[context] < 2:
+            context = context[1:]
+        mass, found = total[context] + distinct[context], 0.0
+        while s not in kept[context]:
+            found += math.log10((total[context] - sum(kept[context].values()) + distinct[context]) / mass)
+            if not context:
+                return found - math.log10(ppm.SYMBOLS - len(kept[context]))
+            longer, context = context, context[1:]
+            mass = total[context] + distinct[context] - sum(kept[context][x] for x in kept[longer])
+        return found + math.log10(kept[context][s] / mass)
+    of = sum(spaces.values()) + len(ppm.SPACES)
+    return [sum(code(*x) for x in places(t)) + sum(math.log10((spaces[x] + 1) / of) for x in raw if bytes([x]) in ppm.SPACES) for t, raw in zip(plain, texts, strict=True)]
+
+
+@pytest.mark.parametrize("share, chunk", [(2e-6, 1_000_000), (0.01, 7), (1.1, 50)])
+def test_every_gram_counts_whatever_its_share(spark, monkeypatch, share, chunk):
+    """Rare grams are in the model however large the corpus, and scores do not depend on which grams are broadcast."""
+    monkeypatch.setattr(ppm, "TRIE_SHARE", share)
+    monkeypatch.setattr(ppm, "CHUNK_BYTES", chunk, raising=False)
+    texts = ["the cat sat on the mat"] * 60 + ["a rare\tzyzzyva here", "a rare zyzzyva there ", "Rare zyzzyvas\n\nthe cat", "", "qué x\0y", "the  unseen zyz mat", " "]
+    made = sorted(ppm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), remainder("doc_id", 5) == 1).collect())
+    learned = [zlib.crc32(str(i).encode()) % 5 != 1 for i in range(len(texts))]
+    assert [not r["held_out"] for r in made] == learned and not all(learned[60:])
+    assert [r["score"] for r in made] == pytest.approx(brute_scores([t.encode() for t in texts], learned), abs=1e-6)
+
+
 def test_model_prefers_its_corpus(spark):
     docs = table(spark, MEDIUM, "documents").where("lang = 'en'")
     made = ppm.score(docs, remainder("doc_id", 5) == 1).where("held_out").collect()
