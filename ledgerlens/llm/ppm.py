@@ -6,8 +6,8 @@ escape (one count for each distinct successor, besides the counts of pruned ones
 leads to the next shorter context, in which the symbols of the longer one are
 excluded, and at last to a uniform choice among symbols never seen.
 
-A context starts no earlier than the white space before the word, and white
-space counts as one separator symbol whose kind is coded apart.
+Contexts run over white space back to a separator before the text; white space
+counts as one separator symbol whose kind is coded apart.
 
 Nothing in the model is bounded but by the corpus: a context or successor is
 kept from ``LEAST_COUNT`` occurrences on, and the rest of the mass becomes
@@ -42,8 +42,8 @@ from ledgerlens.llm.common import stored
 ORDER = 5
 #: contexts and successors are kept from this count on, at any corpus size
 LEAST_COUNT = 2
-#: share of the training symbols from which a gram, and of the training tokens from which a word, is broadcast
-TRIE_SHARE = 2e-6
+#: share of the training symbols from which a gram (16 bytes), and of the training tokens from which a word, is broadcast
+TRIE_SHARE = 4e-7
 HEAD_SHARE = 1e-6
 MOST_WORDS = 300_000
 MOST_GRAMS = 2_000_000
@@ -158,7 +158,7 @@ class Trie:
 
 
 def train_trie(words: DataFrame) -> Trie:
-    """The model of a small word table in memory; the tests hold it and the table of codes against the definition."""
+    """The model of single words (contexts start before the word) in memory, for small word tables; the tests hold its rule of prediction against the definition."""
     own = words.where("kind = 0").select("word", "n", "n_last")
     grams = own.mapInArrow(_count_grams, "context binary, symbol int, n long")
     grams = stored(grams.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "ppm-word-grams")
@@ -194,15 +194,13 @@ def _windows(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for low in range(0, len(plain), CHUNK_BYTES):
         before = min(ORDER, low)
         a = plain[low - before:low + CHUNK_BYTES].astype(np.int64)
-        at = np.arange(len(a))
-        start = np.maximum.accumulate(np.where(a == SEPARATOR[0], at, -ORDER))
-        length = np.minimum(at - np.r_[-ORDER, start[:-1]], ORDER)
+        place = np.arange(low - before, low - before + len(a))
+        owner = np.searchsorted(starts, place, "right") - 1
+        length = np.minimum(place - starts[owner], ORDER)
         gram = a | length << 8 * (ORDER + 1)
         for k in range(1, ORDER + 1):
             gram[k:] |= np.where(length[k:] >= k, a[:-k] << 8 * k, 0)
-        place = np.arange(low, low - before + len(a))
-        owner = np.searchsorted(starts, place, "right") - 1
-        coded = place != starts[owner]
+        owner, coded = owner[before:], length[before:] > 0
         yield gram[before:][coded], owner[coded]
 
 

@@ -5,6 +5,7 @@ from collections import Counter
 import public_tokenizers
 import pytest
 from llm_fixtures import MEDIUM, docs, empty  # noqa: F401
+from pyspark.sql import functions as F
 
 from ledgerlens.llm import langid, ppm
 from ledgerlens.llm.queries import remainder
@@ -80,8 +81,7 @@ def brute_scores(texts, learned):
 
     def places(t):
         for i in range(len(t)):
-            start = b" " + t[:i]
-            yield start[start.rindex(b" "):][-ppm.ORDER:], t[i]
+            yield (b" " + t[:i])[-ppm.ORDER:], t[i]
     for t, raw, use in zip(plain, texts, learned, strict=True):
         if use:
             spaces.update(x for x in raw if bytes([x]) in ppm.SPACES)
@@ -119,6 +119,14 @@ def test_every_gram_counts_whatever_its_share(spark, monkeypatch, share, chunk):
     assert [r["score"] for r in made] == pytest.approx(brute_scores([t.encode() for t in texts], learned), abs=1e-6)
 
 
+def test_shuffled_words_score_worse(spark):
+    texts = ["the cat sat on the mat and the dog lay by the door"] * 40
+    *first, last = texts[0].split()
+    texts += [texts[0], " ".join([*reversed(first), last])]
+    made = sorted(ppm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), F.col("doc_id") >= 40).collect())
+    assert made[40]["score"] == pytest.approx(made[0]["score"]) and made[41]["score"] < made[40]["score"] - 1
+
+
 def test_model_prefers_its_corpus(spark):
     docs = table(spark, MEDIUM, "documents").where("lang = 'en'")
     made = ppm.score(docs, remainder("doc_id", 5) == 1).where("held_out").collect()
