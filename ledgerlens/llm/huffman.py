@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm import packing
 from ledgerlens.llm.common import stored
-from ledgerlens.llm.words import coded
+from ledgerlens.llm.words import distinct, ended
 from ledgerlens.session import scratch_path
 
 LIMIT = 20
@@ -77,22 +77,111 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[
             yield batch.column(0).slice(first, len(held)), held
 
 
-def chunk_ids(texts: list[bytes], known: dict[bytes, bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+#: classes of bytes: space, ASCII letters, ASCII punctuation but the apostrophe, all others
+CLASS = np.full(256, 3, np.uint8)
+CLASS[32] = 0
+CLASS[[*range(65, 91), *range(97, 123)]] = 1
+CLASS[[b for b in range(33, 127) if not chr(b).isalnum() and b != 39]] = 2
+#: bytes of a unit that its hash tells apart by place
+PLACES = 64
+MOST_UNITS = 1_500_000
+
+
+def units(raw: np.ndarray) -> np.ndarray:
+    """Tokens of ``ended`` bytes cut where the tokenizer cuts them whatever
+    stands around: a run of letters (lower-cased) from the punctuation after it.
+    Tokens that hold anything else stay whole, as they are."""
+    kind = CLASS[raw]
+    start = np.r_[0, np.flatnonzero(raw == 32)[:-1] + 1]
+    back = np.zeros(len(raw), bool)
+    back[1:] = (kind[1:] == 1) & (kind[:-1] == 2)
+    plain = (np.maximum.reduceat(kind, start) <= 2) & ~np.logical_or.reduceat(back, start)
+    plain = np.repeat(plain, np.diff(np.r_[start, len(raw)]))
+    lower = raw + 32 * (plain & (raw >= 65) & (raw <= 90)).astype(np.uint8)
+    cut = plain[1:] & (kind[1:] == 2) & (kind[:-1] == 1)
+    return np.insert(lower, np.flatnonzero(cut) + 1, 32)
+
+
+class UnitIds:
+    """Ids of units, found when first met and kept by 64-bit hash in sorted
+    arrays: far smaller and faster than a dict of Python objects.  The hash adds
+    a random number per (place, byte), so two of a million known units agree
+    with probability below 1e-7; longer units than it tells apart are never kept."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.tokenizer, self.letters = Tokenizer.from_file(path), packing.byte_letters()
+        self.random = np.random.default_rng(12).integers(0, 1 << 63, (PLACES, 256), np.uint64) * np.uint64(2) + np.uint64(1)
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.first, self.n, self.flat = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def unit(self, text: str) -> list[int]:
+        return [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in text.encode()]))]
+
+    def token(self, token: bytes) -> list[int]:
+        if token.isalpha():  # ASCII letters, lower-cased: their bytes are written as themselves
+            return [t.id for t in self.tokenizer.model.tokenize(token.decode())]
+        text = token.decode()
+        if plain := packing.PLAIN.match(text):
+            return self.unit(plain[1].lower()) + (self.unit(plain[2]) if plain[2] else [])
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def find(self, tokens: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where in ``flat`` the ids of each token (with its space) begin, and how many there are."""
+        _, offsets, data = tokens.buffers()
+        offsets = np.frombuffer(offsets, np.int64)[tokens.offset:tokens.offset + len(tokens) + 1]
+        raw, size = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]], np.diff(offsets)
+        start = offsets[:-1] - offsets[0]
+        place = np.arange(len(raw)) - np.repeat(start, size)
+        hashes = np.add.reduceat(self.random[place & (PLACES - 1), raw], start)
+        if len(self.hashes) + len(tokens) > MOST_UNITS:
+            self.forget()
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(tokens), bool)
+        if len(self.hashes):
+            at = np.minimum(at, len(self.hashes) - 1)
+            known = (self.hashes[at] == hashes) & (size <= PLACES)
+        first, n = np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
+        first[known], n[known] = self.first[at[known]], self.n[at[known]]
+        new = np.flatnonzero(~known)
+        found = [self.token(t[:-1]) for t in tokens.take(pa.array(new)).to_pylist()]
+        n[new] = [len(x) for x in found]
+        first[new] = len(self.flat) + np.cumsum(n[new]) - n[new]
+        self.flat = np.concatenate([self.flat, np.fromiter((i for x in found for i in x), np.uint32, int(n[new].sum()))])
+        kept = new[size[new] <= PLACES]
+        hashes, firsts, ns = (np.concatenate(x) for x in ((self.hashes, hashes[kept]), (self.first, first[kept]), (self.n, n[kept])))
+        order = np.argsort(hashes, kind="stable")
+        self.hashes, self.first, self.n = hashes[order], firsts[order], ns[order]
+        return first, n
+
+
+def chunk_ids(texts: list[bytes], known: UnitIds, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after another, and where each text's end."""
     # no word holds a line feed any more: it stands for the end of a text
-    at, words = coded(b" \n ".join([t.translate(BLANK) for t in texts]) + b" \n ")
-    end = words.index(b"\n")
-    ids = [np.array([end_id], "<u4").tobytes() if i == end else known[w] for i, w in enumerate(words)]
-    n = np.array([len(x) // 4 for x in ids], np.int64)
-    flat, first = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(n) - n
+    at, tokens = distinct(units(ended(b" \n ".join([t.translate(BLANK) for t in texts]) + b" \n ")))
+    first, n = known.find(tokens)
+    flat, end = known.flat, tokens.index(b"\n ").as_py()
+    flat, first[end], n[end] = np.r_[flat, np.uint32(end_id)], len(flat), 1
     many = n[at]
     ends = np.cumsum(many)
     return flat[np.arange(ends[-1]) + np.repeat(first[at] - (ends - many), many)], ends[at == end]
 
 
+_UNITS: dict[str, UnitIds] = {}
+
+
+def unit_ids(path: str) -> UnitIds:
+    """The tokenizer's units, kept by a worker over its tasks."""
+    if path not in _UNITS:
+        _UNITS[path] = UnitIds(path)
+    return _UNITS[path]
+
+
 def _tokenise(path: str, end_id: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = packing._WORDS.get(path) or packing._WORDS.setdefault(path, packing.WordIds(path))
+        known = unit_ids(path)
         for keys, texts in _chunks(batches):
             ids, ends = chunk_ids(texts, known, end_id)
             row, n, crc, at, parts, first = [], [], [], [], [], 0

@@ -11,18 +11,25 @@ import pyarrow as pa
 SPACE = 32
 
 
-def coded(block: bytes) -> tuple[np.ndarray, list[bytes]]:
-    """Tokens of ``block``, which spaces divide: the number of each in order
-    of appearance, and the distinct ones by number."""
+def ended(block: bytes) -> np.ndarray:
+    """The tokens of ``block``, which spaces divide, each with one space after it."""
     raw = np.frombuffer(block + b" ", np.uint8)
     space = raw == SPACE
-    # one space after each token stays and belongs to it, so that tokens lie end to end as Arrow wants them
     keep = ~space
     keep[1:] |= ~space[:-1]
-    raw = raw[keep]
+    return raw[keep]
+
+
+def distinct(raw: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Number of each token of ``ended`` bytes, and the distinct ones, with their spaces."""
     offsets = np.r_[0, np.flatnonzero(raw == SPACE) + 1].astype(np.int64)
-    if len(offsets) == 1:
-        return np.empty(0, np.int32), []
     tokens = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
     found = tokens.dictionary_encode()
-    return found.indices.to_numpy(), [x[:-1] for x in found.dictionary.to_pylist()]
+    return found.indices.to_numpy(), found.dictionary
+
+
+def coded(block: bytes) -> tuple[np.ndarray, list[bytes]]:
+    """Tokens of ``block``, which spaces divide: the number of each in order
+    of appearance, and the distinct ones by number."""
+    at, tokens = distinct(ended(block))
+    return at, [x[:-1] for x in tokens.to_pylist()]
