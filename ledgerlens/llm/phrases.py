@@ -1,9 +1,11 @@
 """Phrase collocations by SETM: set-oriented mining over occurrence relations.
 
 The relation R(k) has a row (position, group) for every occurrence of a phrase
-of k words.  Texts are laid one after another into blocks, with a hole between
-their pieces, so one number is piece and position in it, and a block's rows are
-sorted by it.  Blocks are persisted as packed arrays, one table a length.
+of k words.  Texts are laid one after another into blocks, pieces apart, and a
+block's rows are sorted by position.  Blocks are persisted as one packed
+sequence of group numbers, one table a length: neighbours in the sequence are
+neighbours in the text, a 0 stands wherever they are not, so positions need no
+column.
 
 1. R(1) holds all words.  Each block counts its distinct ones; a grouped sum
    over blocks gives the frequent groups.
@@ -22,7 +24,8 @@ most ``BROADCAST_ROWS``.
 Defined cases: a null language is ``und``, a null text empty; phrases never
 cross pieces or texts; overlaps count; repeated rows count each time; of cuts
 with equal scores the first counts; ranks are total, as a language's phrases
-differ; an empty table gives an empty result; other columns are ignored.
+differ; an empty table gives an empty result; very long texts are blocks of
+their own; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -38,37 +41,57 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import stored
 from ledgerlens.llm.words import coded
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BROADCAST_ROWS = 400_000
 SLICE_ROWS = 1_000_000
+FLAT_ROWS = 100_000
 #: ends of pieces become line feeds, the two spaces become one
 PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n\n ")
 
-FIRST = "pos binary, local binary, langs array<string>, totals array<long>, owner array<int>, words array<binary>, counts array<long>"
-NEXT = "block long, pos binary, local binary, a array<long>, b array<long>, counts array<long>"
+FIRST = "sequence binary, langs array<string>, totals array<long>, owner array<int>, words array<binary>, counts array<long>"
+NEXT = "block long, sequence binary, a binary, b binary, counts binary, ids binary"
+
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers by byte planes, compressed: small ones cost little."""
+    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    return len(numbers).to_bytes(8, "little") + (pa.compress(planes, "zstd", asbytes=True) if planes else b"")
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:8], "little")
+    if not n:
+        return np.empty(0, np.uint32)
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * n, "zstd"), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
+
+
+def laid(sequence: np.ndarray) -> np.ndarray:
+    """A sequence with one 0 between stretches, and none at its ends."""
+    keep = sequence > 0
+    keep[1:] |= sequence[:-1] > 0
+    return sequence[keep]
 
 
 def lay(texts: dict[str, list[bytes]]) -> pa.RecordBatch:
     """R(1) of one block of lower-cased, translated texts by language."""
-    pos, local, totals, owner, words, counts, before, known = [], [], [], [], [], [], 0, 0
+    sequence, totals, owner, words, counts, known = [], [], [], [], [], 0
     for k, own in enumerate(texts.values()):
         at, tokens = coded(b"\n".join([*own, b""]).replace(b"\n", b" \n "))
         hole = tokens.index(b"\n")
-        here = np.flatnonzero(at != hole)
-        number = at[here] - (at[here] > hole)
-        pos.append((here + before).astype("<u4"))
-        local.append((number + known).astype("<u4"))
-        before += len(at)
+        word = at != hole
+        number = at - (at > hole)
+        sequence += [np.where(word, number + known + 1, 0), np.zeros(1, np.int64)]
         tokens.pop(hole)
-        totals.append(len(here))
+        totals.append(int(word.sum()))
         owner += [k] * len(tokens)
         words += tokens
-        counts.append(np.bincount(number, minlength=len(tokens)))
+        counts.append(np.bincount(number[word], minlength=len(tokens)))
         known += len(tokens)
     return pa.RecordBatch.from_arrays(
-        [pa.array([np.concatenate(pos).tobytes()], pa.binary()), pa.array([np.concatenate(local).tobytes()], pa.binary()), pa.array([list(texts)], pa.list_(pa.string())),
-         pa.array([totals], pa.list_(pa.int64())), pa.array([owner], pa.list_(pa.int32())), pa.array([words], pa.list_(pa.binary())),
-         pa.array([np.concatenate(counts)], pa.list_(pa.int64()))], names=["pos", "local", "langs", "totals", "owner", "words", "counts"])
+        [pa.array([packed(laid(np.concatenate(sequence)))], pa.binary()), pa.array([list(texts)], pa.list_(pa.string())), pa.array([totals], pa.list_(pa.int64())),
+         pa.array([owner], pa.list_(pa.int32())), pa.array([words], pa.list_(pa.binary())), pa.array([np.concatenate(counts)], pa.list_(pa.int64()))],
+        names=["sequence", "langs", "totals", "owner", "words", "counts"])
 
 
 def _lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,17 +111,33 @@ def _lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _meet(relation: pa.Table, frequent: pa.Table) -> pa.Table:
     """One block of R(k) and its frequent groups (local, id): the block of R(k + 1)."""
-    pos, local = (np.frombuffer(relation[c][0].as_buffer(), "<u4") for c in ("pos", "local"))
-    group = np.full(int(local.max(initial=0)) + 1, -1, np.int64)
-    group[frequent["local"].to_numpy()] = frequent["id"].to_numpy()
-    keep = group[local] >= 0
-    pos, local = pos[keep], local[keep].astype(np.int64)
-    # both sides are sorted by position: a row's partner can only be the next one
-    left = np.flatnonzero(pos[1:] == pos[:-1] + 1)
-    pairs, new, counts = np.unique(local[left] << 32 | local[left + 1], return_inverse=True, return_counts=True)
-    return pa.table([pa.array([relation["block"][0].as_py()], pa.int64()), pa.array([pos[left].tobytes()], pa.binary()), pa.array([new.astype("<u4").tobytes()], pa.binary()),
-                     *(pa.array([x], pa.list_(pa.int64())) for x in (group[pairs >> 32], group[pairs & 0xffffffff], counts))],
-                    names=["block", "pos", "local", "a", "b", "counts"])
+    rows = []
+    if len(relation) and len(frequent):
+        sequence = unpacked(relation["sequence"][0].as_py())
+        local, ids = frequent["local"].to_numpy(), frequent["id"].to_numpy()
+        new = np.zeros(max(int(sequence.max(initial=0)), int(local.max()) + 1) + 1, np.int64)
+        new[local + 1] = np.arange(1, len(local) + 1)
+        sequence = new[sequence]
+        # both sides are sorted by position: a row's only partner is the next one, if no 0 comes between
+        left, right = sequence[:-1], sequence[1:]
+        both = (left > 0) & (right > 0)
+        pairs, number, counts = np.unique((left[both] - 1) << 32 | (right[both] - 1), return_inverse=True, return_counts=True)
+        longer = np.zeros(len(left), np.int64)
+        longer[both] = number + 1
+        rows = [[x] for x in (relation["block"][0].as_py(), packed(laid(longer)), packed(pairs >> 32), packed(pairs & 0xffffffff), packed(counts), ids.astype("<i8").tobytes())]
+    return pa.table([pa.array(x, t) for x, t in zip(rows or [[]] * 6, (pa.int64(), *[pa.binary()] * 5), strict=True)], names=["block", "sequence", "a", "b", "counts", "ids"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct groups of blocks: block, local, the pair (a, b) and how often."""
+    for batch in batches:
+        for block, a, b, counts, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            a, b, counts, ids = unpacked(a), unpacked(b), unpacked(counts), np.frombuffer(ids, "<i8")
+            for k in range(0, len(a), FLAT_ROWS):
+                own = slice(k, k + FLAT_ROWS)
+                n = len(a[own])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block), pa.int64()), pa.array(np.arange(k, k + n), pa.int32()), pa.array(ids[a[own]]), pa.array(ids[b[own]]),
+                                                  pa.array(counts[own].astype(np.int64))], names=["block", "local", "a", "b", "c"])
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -115,16 +154,9 @@ def frequent(groups: DataFrame, by: list[str], least: int, name: str) -> DataFra
 def extend(relation: DataFrame, groups: DataFrame, by: list[str], found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
     """Stored R(k + 1) of R(k) and its groups, and its groups (block, local, a, b, c)."""
     semi = groups.join(_small(found.select("id", *by)), by).select(F.col("block").alias("held"), F.col("local").cast("long").alias("local"), "id")
-    both = relation.select("block", "pos", "local").groupBy("block").cogroup(semi.groupBy("held"))
-    made = stored(both.applyInArrow(_meet_if_any, NEXT), name)
-    zipped = made.select("block", F.posexplode(F.arrays_zip("a", "b", "counts")).alias("local", "g"))
-    return made, zipped.select("block", "local", "g.a", "g.b", F.col("g.counts").alias("c"))
-
-
-def _meet_if_any(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    if len(relation) and len(frequent):
-        return _meet(relation, frequent)
-    return pa.table([pa.array([], t) for t in (pa.int64(), pa.binary(), pa.binary(), *[pa.list_(pa.int64())] * 3)], names=["block", "pos", "local", "a", "b", "counts"])
+    both = relation.select("block", "sequence").groupBy("block").cogroup(semi.groupBy("held"))
+    made = stored(both.applyInArrow(_meet, NEXT), name)
+    return made, made.select("block", "a", "b", "counts", "ids").mapInArrow(_groups, "block long, local int, a long, b long, c long")
 
 
 def named(found: DataFrame, shorter: DataFrame, name: str) -> DataFrame:
