@@ -4,9 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next one's docs.  All but the last return the
 columns of documents.
 
-Defined cases: null and empty texts go in the first stage (no language); rows
-with a null id are kept by the near-duplicate stage, as nothing can name them;
-further columns travel along; an empty table passes through empty.
+Defined cases: null and empty texts go in the first stage (no language); ids
+may be null or repeated, with the same text or another; further columns travel
+along; an empty table passes through empty.
 """
 
 from __future__ import annotations
@@ -48,14 +48,20 @@ def _small(ids: DataFrame) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates one row stays: that of the smallest id
+    (null last), then of the smallest hash of all its columns.  Rows are told
+    apart by numbers of their own, so rows that share an id but not a text are
+    decided one by one."""
     importable_in_workers(spark)
-    found = stored(ngram_join.join(docs).where("doc_id is not null"), "pipeline-groups")
-    gone = found.where("doc_id <> component_id").select("doc_id")
-    twice = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")
-    kept = docs.join(_small(stored(gone.unionByName(twice).distinct(), "pipeline-gone")), "doc_id", "left_anti")
-    once = docs.join(_small(stored(twice.join(gone, "doc_id", "left_anti"), "pipeline-twice")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(once).select(*docs.columns)
+    rows = stored(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row")), "pipeline-rows")
+    found = stored(ngram_join.join(rows.select("row", F.col("doc.text").alias("text")), key="row"), "pipeline-groups")
+    order = rows.select("row", F.col("doc.doc_id").isNull().alias("none"), F.col("doc.doc_id").alias("id"), F.xxhash64(*(F.col("doc")[c] for c in docs.columns)).alias("hash"))
+    alone = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    grouped = found.join(_small(stored(alone.select("component_id"), "pipeline-shared")), "component_id", "left_semi")
+    grouped = stored(order.join(_small(stored(grouped.select("row", "component_id"), "pipeline-grouped")), "row"), "pipeline-ordered")
+    first = grouped.groupBy("component_id").agg(F.min(F.struct("none", "id", "hash", "row")).alias("first")).select(F.col("first.row").alias("row"))
+    gone = grouped.select("row").join(_small(stored(first, "pipeline-first")), "row", "left_anti")
+    return rows.join(_small(stored(gone, "pipeline-gone")), "row", "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

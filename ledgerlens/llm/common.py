@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +31,30 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def text_chunks(column: pa.Array, size: int = 4 << 20) -> Iterator[tuple[int, list[bytes | None]]]:
+    """Texts of a column in runs of about ``size`` bytes, each with the place
+    of its first: what a task makes of texts need not hold a whole batch."""
+    first, held, n = 0, [], 0
+    for text in column.cast(pa.binary()):
+        held.append(text.as_py())
+        n += len(held[-1] or b"")
+        if n >= size:
+            yield first, held
+            first, held, n = first + len(held), [], 0
+    if held:
+        yield first, held
+
+
+def give_back() -> None:
+    """Return freed memory of a Python worker to its machine: Spark uses the
+    worker again for later stages, beside their own needs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def unit_hash(*cols) -> Column:
     """Uniform integer in [0, 2**40) from a hash of the columns."""
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 40))

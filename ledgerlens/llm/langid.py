@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import stored, unit_hash
+from ledgerlens.llm.common import give_back, stored, unit_hash
 
 ROWS_PER_LANGUAGE = 1500
 MOST_LANGUAGES = 1000
@@ -202,6 +202,12 @@ def _predict(path: str, shared, name: str, languages: list[str], text_field: str
             _MODELS[name] = {}, []
         known, likely = _MODELS[name]
         pieces, chance = pieces_of(path), shared.value
+        yield from predicted(batches, known, likely, pieces, chance)
+        known.clear()
+        likely.clear()
+        give_back()
+
+    def predicted(batches, known, likely, pieces, chance) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             found, scores = [], []
             texts = [split_words(t.as_py()) for t in (batch.column(0).field(text_field) if text_field else batch.column(1))]

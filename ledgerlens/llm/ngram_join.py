@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import components, stored
+from ledgerlens.llm.common import components, give_back, stored, text_chunks
 
 WORDS, PERCENT = 5, 75
 TASK_TOKENS = 2_000_000
@@ -84,10 +84,16 @@ def entity(tokens: np.ndarray) -> int:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingles(t.as_py()) for t in batch.column(1).cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([entity(s) if len(s) else None for s in sets], pa.int64())],
-                                         names=["key", "n", "entity"])
+    try:
+        for batch in batches:
+            n, names = [], []
+            for _, texts in text_chunks(batch.column(1)):
+                for s in map(shingles, texts):
+                    n.append(len(s))
+                    names.append(entity(s) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64())], names=["key", "n", "entity"])
+    finally:
+        give_back()
 
 
 def _binary(parts) -> pa.Array:
@@ -95,28 +101,36 @@ def _binary(parts) -> pa.Array:
 
 
 def _deal(partitions: int):
-    """Pack the shingles of a batch by token partition: (entity, size, how many) for each text, and 32 bits of each shingle."""
+    """Pack the shingles of some texts by token partition: (entity, size, how many) for each text, and 32 bits of each shingle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [s for t in batch.column(0).cast(pa.binary()) if len(s := shingles(t.as_py()))]
-            if not sets:
-                continue
-            names, sizes = np.array([entity(s) for s in sets], np.int64), np.array([len(s) for s in sets], np.int32)
-            tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-            part = (tokens >> np.uint64(32)) % np.uint64(partitions)
-            order = np.argsort(part, kind="stable")
-            low, owner, part = (tokens[order] & np.uint64(0xffffffff)).astype(np.uint32), owner[order], part[order]
-            cuts = np.searchsorted(part, np.arange(partitions + 1))
-            out = []
-            for p in range(partitions):
-                if cuts[p] < cuts[p + 1]:
-                    who, many = np.unique(owner[cuts[p]:cuts[p + 1]], return_counts=True)
-                    out.append((p, names[who], sizes[who], many.astype(np.int32), low[cuts[p]:cuts[p + 1]]))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), *(_binary(x[i] for x in out) for i in range(1, 5))],
-                                             names=["part", "entities", "sizes", "many", "low"])
+        try:
+            for batch in batches:
+                for _, texts in text_chunks(batch.column(0)):
+                    sets = [s for s in map(shingles, texts) if len(s)]
+                    if sets:
+                        yield _dealt(sets, partitions)
+        finally:
+            _HASHES.clear()
+            give_back()
     return run
 
 
+def _dealt(sets: list[np.ndarray], partitions: int) -> pa.RecordBatch:
+    names, sizes = np.array([entity(s) for s in sets], np.int64), np.array([len(s) for s in sets], np.int32)
+    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
+    part = ((tokens >> np.uint64(32)) % np.uint64(partitions)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    low, owner, part = (tokens[order] & np.uint64(0xffffffff)).astype(np.uint32), owner[order], part[order]
+    cuts = np.searchsorted(part, np.arange(partitions + 1))
+    out = []
+    for p in range(partitions):
+        if cuts[p] < cuts[p + 1]:
+            who, many = np.unique(owner[cuts[p]:cuts[p + 1]], return_counts=True)
+            out.append((p, names[who], sizes[who], many.astype(np.int32), low[cuts[p]:cuts[p + 1]]))
+    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), *(_binary(x[i] for x in out) for i in range(1, 5))],
+                                      names=["part", "entities", "sizes", "many", "low"])
+
+
 def _joined(column, kind) -> np.ndarray:
     return np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in column] or [np.empty(0, kind)])
 
@@ -255,10 +269,15 @@ def _join_part(table: pa.Table) -> pa.Table:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingles(t.as_py()) for t in batch.column(1).cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([entity(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), _binary(sets)],
-                                         names=["block", "entity", "n", "tokens"])
+    try:
+        for batch in batches:
+            for first, texts in text_chunks(batch.column(1)):
+                sets = [shingles(t) for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(sets)), pa.array([entity(s) for s in sets], pa.int64()),
+                                                  pa.array([len(s) for s in sets], pa.int64()), _binary(sets)], names=["block", "entity", "n", "tokens"])
+    finally:
+        _HASHES.clear()
+        give_back()
 
 
 def block_links(sets: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
