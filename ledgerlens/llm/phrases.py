@@ -9,8 +9,9 @@ column.
 
 1. R(1) holds all words.  Each block counts its distinct ones; a grouped sum
    over blocks gives the frequent groups.
-2. Blocks are semi-joined with the frequent groups among their own (a join of
-   distinct (block, group) rows, then a co-group by block).
+2. Blocks are semi-joined with the frequent groups.  Up to ``BROADCAST_GROUPS``
+   of these go to every task as a sorted array; beyond, distinct (block, group)
+   rows are joined with them and co-grouped with the blocks.
 3. What is left is merge-joined with itself at adjacent positions: the k-gram
    at p and the one at p + 1 make a (k+1)-gram, known by the pair of their
    groups.  Both must be frequent, so nothing infrequent is extended.
@@ -18,8 +19,7 @@ column.
 
 A group that occurs everywhere has one row a block, never one an occurrence;
 sums are combined before the shuffle.  Tasks hold one block (``BLOCK_BYTES`` of
-text, or one longer text).  Frequent groups are broadcast only if there are at
-most ``BROADCAST_ROWS``.
+text, or one longer text).  Only tables of a counted size are broadcast.
 
 Defined cases: a null language is ``und``, a null text empty; phrases never
 cross pieces or texts; overlaps count; repeated rows count each time; of cuts
@@ -35,6 +35,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +44,12 @@ from ledgerlens.llm.words import coded
 
 BLOCK_BYTES = 8 << 20
 BROADCAST_ROWS = 400_000
-SLICE_ROWS = 1_000_000
+#: about 50 MB as arrays
+BROADCAST_GROUPS = 3_000_000
+SLICES, SLICE_ROWS = 16, 1_000_000
 FLAT_ROWS = 100_000
+#: two numbers below this make one 64-bit key
+ONE_KEY = 1 << 31
 #: ends of pieces become line feeds, the two spaces become one
 PIECES = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n\n ")
 
@@ -109,23 +114,65 @@ def _lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield lay(texts)
 
 
+def meet(block: int, sequence: np.ndarray, local: np.ndarray, ids: np.ndarray) -> list[list]:
+    """One block of R(k) and its frequent groups (numbers in the block, ids): the row of R(k + 1)."""
+    new = np.zeros(max(int(sequence.max(initial=0)), int(local.max(initial=0)) + 1) + 1, np.int64)
+    new[local + 1] = np.arange(1, len(local) + 1)
+    sequence = new[sequence]
+    # both sides are sorted by position: a row's only partner is the next one, if no 0 comes between
+    left, right = sequence[:-1], sequence[1:]
+    both = (left > 0) & (right > 0)
+    pairs, number, counts = np.unique((left[both] - 1) << 32 | (right[both] - 1), return_inverse=True, return_counts=True)
+    longer = np.zeros(len(left), np.int64)
+    longer[both] = number + 1
+    return [[x] for x in (block, packed(laid(longer)), packed(pairs >> 32), packed(pairs & 0xffffffff), packed(counts), ids.astype("<i8").tobytes())]
+
+
+NAMES, KINDS = ["block", "sequence", "a", "b", "counts", "ids"], [pa.int64(), *[pa.binary()] * 5]
+
+
 def _meet(relation: pa.Table, frequent: pa.Table) -> pa.Table:
-    """One block of R(k) and its frequent groups (local, id): the block of R(k + 1)."""
-    rows = []
+    rows = [[]] * 6
     if len(relation) and len(frequent):
-        sequence = unpacked(relation["sequence"][0].as_py())
-        local, ids = frequent["local"].to_numpy(), frequent["id"].to_numpy()
-        new = np.zeros(max(int(sequence.max(initial=0)), int(local.max()) + 1) + 1, np.int64)
-        new[local + 1] = np.arange(1, len(local) + 1)
-        sequence = new[sequence]
-        # both sides are sorted by position: a row's only partner is the next one, if no 0 comes between
-        left, right = sequence[:-1], sequence[1:]
-        both = (left > 0) & (right > 0)
-        pairs, number, counts = np.unique((left[both] - 1) << 32 | (right[both] - 1), return_inverse=True, return_counts=True)
-        longer = np.zeros(len(left), np.int64)
-        longer[both] = number + 1
-        rows = [[x] for x in (relation["block"][0].as_py(), packed(laid(longer)), packed(pairs >> 32), packed(pairs & 0xffffffff), packed(counts), ids.astype("<i8").tobytes())]
-    return pa.table([pa.array(x, t) for x, t in zip(rows or [[]] * 6, (pa.int64(), *[pa.binary()] * 5), strict=True)], names=["block", "sequence", "a", "b", "counts", "ids"])
+        rows = meet(relation["block"][0].as_py(), unpacked(relation["sequence"][0].as_py()), frequent["local"].to_numpy(), frequent["id"].to_numpy())
+    return pa.table([pa.array(x, t) for x, t in zip(rows, KINDS, strict=True)], names=NAMES)
+
+
+def _meet_words(shared):
+    """Blocks of R(1) with the frequent words (lang, word, id) of all languages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        own = {lang: table.filter(pc.equal(table["lang"], lang)) for lang in pc.unique(table["lang"]).to_pylist()}
+        for batch in batches:
+            for i in range(len(batch)):
+                block, sequence, langs, owner = (batch.column(c)[i].as_py() for c in ("block", "sequence", "langs", "owner"))
+                words, owner = batch.column("words")[i].values.cast(pa.string()), np.array(owner, np.int64)
+                local, ids = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+                for k, lang in enumerate(langs):
+                    here = np.flatnonzero(owner == k)
+                    if lang in own and len(here):
+                        at = pc.index_in(words.take(pa.array(here)), own[lang]["word"].combine_chunks()).to_numpy(zero_copy_only=False)
+                        found = ~np.isnan(at)
+                        local.append(here[found])
+                        ids.append(own[lang]["id"].to_numpy()[at[found].astype(np.int64)])
+                rows = meet(block, unpacked(sequence), np.concatenate(local), np.concatenate(ids))
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, KINDS, strict=True)], names=NAMES)
+    return run
+
+
+def _meet_pairs(shared):
+    """Blocks of R(k), k > 1, with the frequent pairs (sorted a << 32 | b, id)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, numbers = shared.value
+        for batch in batches:
+            for block, sequence, a, b, ids in zip(*(batch.column(c).to_pylist() for c in ("block", "sequence", "a", "b", "ids")), strict=True):
+                ids = np.frombuffer(ids, "<i8")
+                pair = ids[unpacked(a)] << 32 | ids[unpacked(b)]
+                at = np.minimum(np.searchsorted(keys, pair), max(0, len(keys) - 1))
+                local = np.flatnonzero(keys[at] == pair) if len(keys) else np.empty(0, np.int64)
+                rows = meet(block, unpacked(sequence), local, numbers[at[local]])
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, KINDS, strict=True)], names=NAMES)
+    return run
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,17 +192,36 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def frequent(groups: DataFrame, by: list[str], least: int, name: str) -> DataFrame:
-    """Stored (id, by .., f): groups of (block, local, by .., c) found ``least`` times or more."""
-    sums = groups.groupBy(*by).agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    return stored(sums.withColumn("id", F.monotonically_increasing_id()), name)
-
-
-def extend(relation: DataFrame, groups: DataFrame, by: list[str], found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Stored R(k + 1) of R(k) and its groups, and its groups (block, local, a, b, c)."""
-    semi = groups.join(_small(found.select("id", *by)), by).select(F.col("block").alias("held"), F.col("local").cast("long").alias("local"), "id")
-    both = relation.select("block", "sequence").groupBy("block").cogroup(semi.groupBy("held"))
-    made = stored(both.applyInArrow(_meet, NEXT), name)
+def frequent(groups: DataFrame, by: list[str], least: int, name: str, one_key: bool = False) -> DataFrame:
+    """Stored (id, by .., f): groups of (block, local, by .., c) found ``least``
+    times or more, numbered from 0 without gaps.  ``one_key``: a and b travel as one number."""
+    if one_key:
+        sums = groups.groupBy(F.shiftleft("a", 32).bitwiseOR(F.col("b")).alias("key")).agg(F.sum("c").alias("f"))
+        sums = sums.select(F.shiftright("key", 32).alias("a"), F.col("key").bitwiseAND(F.lit((1 << 32) - 1)).alias("b"), "f")
+    else:
+        sums = groups.groupBy(*by).agg(F.sum("c").alias("f"))
+    rows = stored(sums.where(F.col("f") >= least).withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), name)
+    # one row per partition
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = sizes.select("part", "first", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(before), "part").select((F.col("before") + F.col("at") - F.col("first")).alias("id"), *by, "f")
+
+
+def extend(relation: DataFrame, groups: DataFrame, by: list[str], found: DataFrame, n: int, one_key: bool, name: str) -> tuple[DataFrame, DataFrame]:
+    """Stored R(k + 1) of R(k) and its groups, of which ``n`` are frequent, and its groups (block, local, a, b, c)."""
+    if n <= BROADCAST_GROUPS and (one_key or by == ["lang", "word"]):
+        few = found.select("id", *by).toArrow()
+        if by == ["lang", "word"]:
+            run, columns = _meet_words(found.sparkSession.sparkContext.broadcast(few)), ["block", "sequence", "langs", "owner", "words"]
+        else:
+            keys = few["a"].to_numpy() << 32 | few["b"].to_numpy()
+            order = np.argsort(keys)
+            run = _meet_pairs(found.sparkSession.sparkContext.broadcast((keys[order], few["id"].to_numpy()[order])))
+            columns = ["block", "sequence", "a", "b", "ids"]
+        made = stored(relation.select(*columns).mapInArrow(run, NEXT), name)
+    else:
+        semi = groups.join(found.select("id", *by), by).select(F.col("block").alias("held"), F.col("local").cast("long").alias("local"), "id")
+        made = stored(relation.select("block", "sequence").groupBy("block").cogroup(semi.groupBy("held")).applyInArrow(_meet, NEXT), name)
     return made, made.select("block", "a", "b", "counts", "ids").mapInArrow(_groups, "block long, local int, a long, b long, c long")
 
 
@@ -195,17 +261,19 @@ def mine(docs: DataFrame, least: int = 30, longest: int = 4, top: int = 2000, te
     relation, by = words, ["lang", "word"]
     found = frequent(groups, by, least, "setm-frequent-1")
     names = [found.select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("tail"), F.array("f").alias("pre"), F.array("f").alias("suf"), "f")]
+    one_key = False
     for k in range(2, longest + 1):
-        relation, groups = extend(relation, groups, by, found, f"setm-{k}")
-        by = ["a", "b"]
-        found = frequent(groups, by, least, f"setm-frequent-{k}")
+        n = found.count()
+        relation, groups = extend(relation, groups, by, found, n, one_key, f"setm-{k}")
+        by, one_key = ["a", "b"], n < ONE_KEY
+        found = frequent(groups, by, least, f"setm-frequent-{k}", one_key)
         names.append(named(found, names[-1], f"setm-phrases-{k}"))
     kept = [undominated(own, longer) for own, longer in zip(names[1:], [*names[2:], None], strict=True)]
     scored = [own.select("lang", "phrase", F.col("f").alias("a"), F.expr(CUT).alias("cut")) for own in kept]
     scored = stored(reduce(DataFrame.unionByName, scored).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score"), "setm-scored")
     # the best of each slice of a language, then the best of those
     best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    slices = 1 + scored.count() // SLICE_ROWS
+    slices = SLICES + scored.count() // SLICE_ROWS
     scored = scored.withColumn("slice", F.pmod(F.xxhash64("phrase"), F.lit(slices)))
     scored = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*best))).where(F.col("rank") <= top)
     scored = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best)).cast("long")).where(F.col("rank") <= top)

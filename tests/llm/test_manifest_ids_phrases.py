@@ -237,6 +237,8 @@ def test_phrases_blocks(spark, monkeypatch):
     want = brute_phrases(df.collect(), 5, 20)
     assert len(want) == 60 and mined(df, least=5, top=20) == want
     monkeypatch.setattr(phrases, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(phrases, "BROADCAST_GROUPS", 0)
+    monkeypatch.setattr(phrases, "ONE_KEY", 20)
     monkeypatch.setattr(phrases, "SLICE_ROWS", 50)
     assert mined(df, least=5, top=20) == want
 
