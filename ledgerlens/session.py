@@ -100,3 +100,36 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Spark's own file system for ``path`` (local, HDFS, an object store) and the path in it."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), there
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no such folder."""
+    fs, there = _file_system(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(there)) if fs.exists(there) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of the caller's."""
+    fs, there = _file_system(spark, path)
+    fs.delete(there, True)
+
+
+def scratch_used(spark: SparkSession) -> set[str]:
+    """Names now under the shared checkpoint folder, for ``clear_scratch``."""
+    return set(children(spark, checkpoint_dir(spark)))
+
+
+def clear_scratch(spark: SparkSession, before: set[str]) -> int:
+    """Remove scratch tables made since ``before`` was taken, once nothing
+    reads them any more; how many.  Not while other jobs use the folder."""
+    new = [x for x in children(spark, checkpoint_dir(spark)) if x not in before]
+    for name in new:
+        remove(spark, f"{checkpoint_dir(spark).rstrip('/')}/{name}")
+    return len(new)

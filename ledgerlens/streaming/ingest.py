@@ -5,32 +5,25 @@
   the raw text, casts the document id to string and nests the coordinates
   into a ``location`` struct -- the record transform chain of the index
   loader, as column expressions.
-* :func:`upsert_stream` applies every micro-batch to a keyed target so that
-  replays overwrite and never duplicate.  Each batch is reduced to its latest
-  row per key with a ``max(struct(order..., row...))`` aggregate (partial
-  aggregation: a hot key costs one row per task) and merged only into the
-  hash buckets its keys touch; the merged buckets are written as a *new*
-  version and a manifest commits them, so the plan never overwrites what it
-  reads.  Every version has a number of its own after the newest committed
-  one and records the batch it holds (stream id and epoch): a replayed batch
-  is recognised, and a second load, with a checkpoint of its own, builds on
-  the first.
+* :func:`upsert_stream` applies every micro-batch to a log-structured keyed
+  table (:mod:`ledgerlens.streaming.logstore`), so that replays overwrite and
+  never duplicate and a batch costs what it holds.
+* :func:`split_stream` parts records from broken lines in one pass.
 """
 
 from __future__ import annotations
 
 import json
-import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerlens.streaming import logstore
+
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 JSON_OPTIONS = {"timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_NTZ_FORMAT}
-VERSION_COL = "version"
 CORRUPT = "__corrupt"
 
 
@@ -78,55 +71,6 @@ def transform_records(df: DataFrame, id_col: str | None, lat: str | None, lon: s
     return df
 
 
-def latest_per_key(df: DataFrame, key: str, order) -> DataFrame:
-    """One row per key: the greatest by ``order`` then by every other column
-    (a total order, so the pick is deterministic)."""
-    order = [order] if isinstance(order, str) else list(order)
-    rest = [c for c in df.columns if c != key and c not in order]
-    packed = F.struct(*[F.col(c) for c in order + rest])
-    return df.groupBy(key).agg(F.max(packed).alias("__m")).select(key, "__m.*").select(*df.columns)
-
-
-def _bucket(key: str, buckets: int):
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
-def merge_batch(state: DataFrame | None, batch: DataFrame, key: str, order) -> DataFrame:
-    """New state = previous state with the batch's latest rows applied.
-    Untouched keys pass through an anti join against the batch's keys (no
-    shuffle of the state when the batch keys are small); touched keys are
-    re-reduced together with the batch rows."""
-    latest = latest_per_key(batch, key, order)
-    if state is None:
-        return latest
-    keys = latest.select(key)
-    untouched = state.join(keys, key, "left_anti")
-    touched = state.join(keys, key, "left_semi").unionByName(latest)
-    return untouched.unionByName(latest_per_key(touched, key, order))
-
-
-def _commits(spark: SparkSession, target: str) -> DataFrame | None:
-    """(version, batch, bucket, path) of all committed versions, None before
-    the first; any failure but a missing folder is raised."""
-    try:
-        return spark.read.schema("batch string, bucket int, path string, version long").parquet(f"{target.rstrip('/')}/manifest")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
-def _manifest(spark: SparkSession, target: str):
-    """(version, {bucket: path}) of the newest committed version."""
-    m = _commits(spark, target)
-    v = None if m is None else m.agg(F.max(VERSION_COL)).first()[0]
-    if v is None:
-        return None, {}
-    # one row per bucket: bounded by the bucket count, not by the data
-    rows = m.where(F.col(VERSION_COL) == F.lit(v)).select("bucket", "path").collect()
-    return v, {r.bucket: r.path for r in rows}
-
-
 def _stream_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that the stream keeps in its checkpoint."""
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
@@ -134,55 +78,24 @@ def _stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 def read_current(spark: SparkSession, target: str) -> DataFrame:
     """The newest committed version of an upsert target."""
-    _, paths = _manifest(spark, target)
-    if not paths:
-        raise FileNotFoundError(f"no committed version under {target}")
-    return spark.read.parquet(*sorted(set(paths.values())))
+    return logstore.read(spark, target)
 
 
-def upsert_stream(sdf: DataFrame, target: str, key: str, order, checkpoint: str,
-                  available_now: bool = True, buckets: int = 64) -> None:
+def upsert_stream(sdf: DataFrame, target: str, key: str, order, checkpoint: str, available_now: bool = True,
+                  deleted: Column | None = None, **layout) -> None:
     """Run the stream (``availableNow``) applying each micro-batch as an
-    idempotent keyed upsert into bucketed, versioned Parquet.
-
-    State rows live in ``buckets`` hash buckets of the key.  A micro-batch
-    rewrites only the buckets its keys fall into: it reads those buckets'
-    current files, merges, writes them to a folder of its own, then commits a
-    manifest (bucket -> files) in which untouched buckets keep pointing at
-    their older files.  No plan overwrites what it reads; a batch whose
-    (stream id, epoch) is committed already is passed over, and any other
-    builds on the newest version, whatever checkpoint it comes from; the driver
-    only handles bucket ids and manifest rows (at most ``buckets`` of each).
-    One stream at a time may write to a target."""
+    idempotent keyed upsert into a log-structured table (``logstore``; its
+    ``fanout``, ``buckets`` and ``bucket_rows`` may be given); rows for which
+    ``deleted`` holds remove their key.
+
+    A batch costs what it holds.  One whose (stream id, epoch) the table has
+    already is passed over, and any other builds on the newest version,
+    whatever checkpoint it comes from.  One stream at a time may write to a
+    target."""
     spark = sdf.sparkSession
-    root = target.rstrip("/")
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        name = f"{_stream_id(spark, checkpoint)}:{epoch}"
-        done = _commits(spark, root)
-        if done is not None and done.where(F.col("batch") == name).limit(1).count():
-            return
-        latest = latest_per_key(batch, key, order).withColumn("__bucket", _bucket(key, buckets))
-        latest = latest.persist()
-        try:
-            touched = sorted(r[0] for r in latest.select("__bucket").distinct().collect())
-            if not touched:
-                return
-            newest, prev = _manifest(spark, root)
-            version = 0 if newest is None else newest + 1
-            old = [prev[b] for b in touched if b in prev]
-            state = spark.read.parquet(*old) if old else None
-            merged = merge_batch(state, latest.drop("__bucket"), key, order)
-            out = f"{root}/data/{VERSION_COL}={version:012d}-{uuid.uuid4().hex[:8]}"
-            # rebalance by bucket: few files per bucket, skewed buckets split
-            (merged.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", "bucket")
-                   .write.partitionBy("bucket").parquet(out))
-            new = dict(prev)
-            new.update({b: f"{out}/bucket={b}" for b in touched})
-            man = spark.createDataFrame([(name, b, path) for b, path in sorted(new.items())], "batch string, bucket int, path string")
-            man.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/{VERSION_COL}={version:012d}")
-        finally:
-            latest.unpersist()
+        logstore.upsert(spark, target, batch, key, order, (_stream_id(spark, checkpoint), epoch), deleted, **layout)
 
     w = sdf.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w
@@ -190,6 +103,26 @@ def upsert_stream(sdf: DataFrame, target: str, key: str, order, checkpoint: str,
     q.awaitTermination()
 
 
+def split_stream(spark: SparkSession, src: str, schema: StructType | str, good: str, broken: str, checkpoint: str,
+                 id_col: str | None = None, max_files_per_trigger: int | None = 1000) -> None:
+    """One stream, read once: records to ``good``, broken lines (line) to
+    ``broken``.  A batch's folders bear its epoch and are overwritten by a
+    replay, so nothing is lost or written twice."""
+    parsed = _parsed(_lines(spark, src, max_files_per_trigger), schema)
+
+    def apply(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            whole = F.col(f"__r.{CORRUPT}").isNull()
+            ok = transform_records(batch.where(whole).select("__r.*").drop(CORRUPT), id_col, None, None)
+            ok.write.mode("overwrite").parquet(f"{good.rstrip('/')}/epoch={epoch:012d}")
+            batch.where(~whole).select(F.col(f"__r.{CORRUPT}").alias("line")).write.mode("overwrite").parquet(f"{broken.rstrip('/')}/epoch={epoch:012d}")
+        finally:
+            batch.unpersist()
+
+    parsed.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def append_stream(sdf: DataFrame, path: str, checkpoint: str) -> None:
     """Plain exactly-once append of a stream into Parquet (availableNow)."""
     q = (sdf.writeStream.format("parquet").option("path", path)
