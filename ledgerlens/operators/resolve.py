@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.keys import row_text
 from ledgerlens.functions.text import (AREA_SUFFIXES, char_ngrams, normalize_name,
                                        strip_non_word, strip_suffix)
+from ledgerlens.session import cut_lineage
+
 
 def prepare_dim(dim: DataFrame, dim_id: str, dim_block: str, dim_name: str,
                 suffixes=AREA_SUFFIXES) -> DataFrame:
@@ -74,7 +76,6 @@ def jaccard_join(left: DataFrame, right: DataFrame | None, block: str, left_id:
     Exact: prefix filtering never drops a qualifying pair.  The set tables
     are read three times (token frequencies, prefixes, verification), so they
     are first written to the shared checkpoint folder (``materialize``)."""
-    from ledgerlens.session import cut_lineage
     t = 1.0 - max_dist  # similarity must exceed t
     lt = left.select(F.col(left_id).alias("__lid"), F.col(block).alias("__b"),
                      F.col(grams).alias("__lg"))
@@ -231,7 +232,6 @@ def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
     nonblank = (F.coalesce(F.col(block), F.lit("")) != "") & (F.coalesce(F.col(name), F.lit("")) != "")
     fz_in = rest1.where(nonblank)
     blank = rest1.where(~nonblank)
-    from ledgerlens.session import cut_lineage
     # one row per fuzzy-matched name, read twice below: materialise it once
     if fuzzy == "lsh":
         names = fz_in.select(block, name).distinct()
@@ -252,17 +252,10 @@ def cascade_mapping(keys: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
     return s1.unionByName(s2).unionByName(s3)
 
 
-def resolve_cascade(fact: DataFrame, dim: DataFrame, xwalk: DataFrame, block: str, name: str,
-                    zip_col: str, dim_cols=(), dim_id: str = "dim_id",
-                    dim_block: str = "dim_state", dim_name: str = "dim_name",
-                    carry_blank_keys: bool = True, flag: str = "has_match",
-                    materialize: bool = True, **kw) -> DataFrame:
-    """Attach the resolved dimension row to every fact row.
-
-    Output: all fact columns (none projected away, T3), ``dim_id``, the
-    requested ``dim_cols``, ``match_stage`` (exact / fuzzy / crosswalk /
-    null) and the boolean ``flag``."""
-    from ledgerlens.session import cut_lineage
+def place_mapping(fact: DataFrame, dim: DataFrame, xwalk: DataFrame, block: str, name: str, zip_col: str, dim_cols=(), dim_id: str = "dim_id",
+                  dim_block: str = "dim_state", dim_name: str = "dim_name", carry_blank_keys: bool = True, materialize: bool = True, **kw) -> DataFrame:
+    """The cascade's result at key level: one row per distinct key of the fact,
+    with the matched place's id, its ``dim_cols`` and the stage."""
     pdim = prepare_dim(dim, dim_id, dim_block, dim_name, kw.get("suffixes", AREA_SUFFIXES))
     keys = fact.select(block, name, zip_col).distinct()
     if materialize:
@@ -274,12 +267,25 @@ def resolve_cascade(fact: DataFrame, dim: DataFrame, xwalk: DataFrame, block: st
     if dim_cols:
         attrs = pdim.select(F.col(dim_id).alias("__did"), *dim_cols)
         mapping = mapping.join(attrs, mapping[dim_id] == attrs["__did"], "left").drop("__did")
-    how = "left" if carry_blank_keys else "inner"
-    kc = (block, name, zip_col)
-    m = mapping.select(*[F.col(c).alias(f"__m_{c}") for c in kc],
-                       *[c for c in mapping.columns if c not in kc])
-    cond = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in kc]
-    out = fact.join(m, cond, how).drop(*[f"__m_{c}" for c in kc])
+    return mapping
+
+
+def join_mapping(rows: DataFrame, mapping: DataFrame, keys, how: str = "left") -> DataFrame:
+    """Rows with their key's mapping; null keys match null keys."""
+    m = mapping.select(*[F.col(c).alias(f"__m_{c}") for c in keys], *[c for c in mapping.columns if c not in keys])
+    cond = [F.col(c).eqNullSafe(F.col(f"__m_{c}")) for c in keys]
+    return rows.join(m, cond, how).drop(*[f"__m_{c}" for c in keys])
+
+
+def resolve_cascade(fact: DataFrame, dim: DataFrame, xwalk: DataFrame, block: str, name: str,
+                    zip_col: str, dim_cols=(), dim_id: str = "dim_id", carry_blank_keys: bool = True, flag: str = "has_match", **kw) -> DataFrame:
+    """Attach the resolved dimension row to every fact row.
+
+    Output: all fact columns (none projected away, T3), ``dim_id``, the
+    requested ``dim_cols``, ``match_stage`` (exact / fuzzy / crosswalk /
+    null) and the boolean ``flag``."""
+    mapping = place_mapping(fact, dim, xwalk, block, name, zip_col, dim_cols, dim_id, carry_blank_keys=carry_blank_keys, **kw)
+    out = join_mapping(fact, mapping, (block, name, zip_col), "left" if carry_blank_keys else "inner")
     return out.withColumn(flag, F.col(dim_id).isNotNull())
 
 
@@ -305,121 +311,40 @@ def disjunctive_match(keys: DataFrame, xwalk: DataFrame, dim: DataFrame, block:
 # ----------------------------------------------------------------- LSH
 
 
+def _name_grams(rows: DataFrame, n: int, *keep: str) -> DataFrame:
+    """Stored (id, keep.., tokens): distinct character n-grams of ``__v``;
+    values shorter than ``n`` have none and are left out (T6)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import NGram, RegexTokenizer
+    stages = [RegexTokenizer(pattern="", minTokenLength=0, inputCol="__v", outputCol="__tok"), NGram(n=n, inputCol="__tok", outputCol="__ng")]
+    rows = rows.where(F.length("__v") >= n)
+    grams = Pipeline(stages=stages).fit(rows).transform(rows)
+    return cut_lineage(grams.select("id", *keep, F.array_distinct("__ng").alias("tokens")).where(F.size("tokens") > 0), "name-grams")
+
+
 def resolve_fuzzy_lsh(keys: DataFrame, dim: DataFrame, block: str, name: str,
                       dim_id: str = "dim_id", dim_block: str = "dim_state", n: int = 3,
-                      max_dist: float = 0.25, num_tables: int = 3, seed: int = 42,
-                      num_features: int = 1 << 18) -> DataFrame:
-    """The reference's approximate route: character tokens -> n-grams ->
-    hashing TF -> MinHash LSH fitted on the dimension -> approximate
-    similarity join below ``max_dist`` -> same block -> best per key (J4, M1-M4).
-
-    Its result is a subset of :func:`resolve_fuzzy` (recall about
-    1 - max_dist**num_tables per pair); rows shorter than ``n`` are routed
-    to "unmatched" before hashing because MinHash rejects empty vectors."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import HashingTF, MinHashLSH, NGram, RegexTokenizer
-
-    # short values are filtered out; the placeholder only guards against the
-    # hashing UDF being evaluated ahead of that filter
-    safe = F.when(F.length("__v0") >= n, F.col("__v0")).otherwise(F.lit("\u0000" * n))
-    k = (keys.withColumn("__kid", row_text(keys.columns))
-             .withColumn("__v0", strip_non_word(name))
-             .where(F.length("__v0") >= n).withColumn("__v", safe))
-    d = (dim.select(F.col(dim_id).alias("__did"), F.col(dim_block).alias("__db"),
-                    F.col("match_key").alias("__v0")).where(F.length("__v0") >= n)
-            .withColumn("__v", safe))
-    stages = [RegexTokenizer(pattern="", minTokenLength=0, inputCol="__v", outputCol="__tok"),
-              NGram(n=n, inputCol="__tok", outputCol="__ng"),
-              HashingTF(inputCol="__ng", outputCol="__tf", numFeatures=num_features),
-              MinHashLSH(numHashTables=num_tables, seed=seed, inputCol="__tf", outputCol="__h")]
-    model = Pipeline(stages=stages).fit(d)
-    dh = model.transform(d)
-    kh = model.transform(k)
-    lsh = model.stages[-1]
-    pairs = lsh.approxSimilarityJoin(dh, kh, max_dist, distCol="dist")
-    pairs = pairs.where(F.col("datasetA.__db") == F.col(f"datasetB.{block}")).select(
-        F.col("datasetB.__kid").alias("__kid"), F.col("datasetA.__did").alias(dim_id), "dist")
-    best = best_match(pairs, ["__kid"], dim_id)
-    return k.select(*keys.columns, "__kid").join(best, "__kid").drop("__kid")
-
-
-def shingle_sets(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3) -> DataFrame:
-    """(__id, __sh): distinct word ``shingle``-grams of each whole text with a
-    word; a text of fewer words has one gram, all its words.  Words are
-    lower-cased whitespace tokens; the n-grams come from Spark ML's NGram (one
-    JVM pass per row).  The emptiness test is on the word count, so the n-gram
-    expression is never evaluated twice (once for a pushed-down filter, once
-    for output)."""
-    from pyspark.ml.feature import NGram
-    from ledgerlens.functions.text import words
-    w = docs.select(F.col(id_col).alias("__id"), words(text_col).alias("__w")) \
-            .where(F.size("__w") > 0)
-    ng = NGram(n=shingle, inputCol="__w", outputCol="__ng").transform(w)
-    short = F.array(F.array_join("__w", " "))
-    return ng.select("__id", F.when(F.size("__w") < shingle, short).otherwise(F.array_distinct("__ng")).alias("__sh"))
-
-
-def _collapse_identical(docs: DataFrame, id_col: str, text_col: str, shingle: int):
-    """Shingle sets grouped by a digest of the sorted set.
-
-    Returns (sets, members): ``sets`` has one row per distinct set
-    (``__rep`` = smallest id, ``__sh``); ``members`` maps every id to its
-    digest and representative.  The similarity joins then run over distinct
-    sets only, so m exact copies cost one set, not m."""
-    from ledgerlens.session import cut_lineage
-    sh = shingle_sets(docs, id_col, text_col, shingle) \
-        .withColumn("__sig", F.sha2(F.array_join(F.array_sort("__sh"), "\u0001"), 256))
-    sh = cut_lineage(sh, "shingles")
-    # the id -> digest table is small next to the shingle arrays, which are
-    # never shuffled here
-    reps = sh.groupBy("__sig").agg(F.min("__id").alias("__rep"))
-    members = cut_lineage(sh.select("__id", "__sig").join(reps, "__sig"), "members")
-    sets = sh.join(members.where(F.col("__id") == F.col("__rep")).select("__id"), "__id") \
-             .select(F.col("__id").alias("__rep"), "__sh")
-    return sets, members
-
-
-def _with_members(rep_pairs: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs between representatives, and each copy with its representative
-    (distance 0): linear in the copies, from which all pairs follow."""
-    copies = members.where(F.col("__id") != F.col("__rep")).select(
-        F.col("__rep").alias("id_a"), F.col("__id").alias("id_b"), F.lit(0.0).alias("dist"))
-    return rep_pairs.select(F.col("__rep").alias("id_a"), F.col("__rep2").alias("id_b"), "dist").unionByName(copies)
-
-
-def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
-                    max_dist: float = 0.25, num_tables: int = 3, seed: int = 42,
-                    num_features: int = 1 << 20) -> DataFrame:
-    """Near-duplicate document pairs by MinHash LSH over word shingles of the
-    whole text (J4 applied to documents): (id_a, id_b, dist), id_a < id_b,
-    between the smallest ids of equal sets, and from those to their copies."""
-    from pyspark.ml.feature import HashingTF, MinHashLSH
-    from ledgerlens.session import cut_lineage
-
-    sets, members = _collapse_identical(docs, id_col, text_col, shingle)
-    # the optimizer may evaluate the hashing UDF before a filter; a
-    # placeholder token keeps it from failing on an empty set
-    sets = sets.withColumn("__shs", F.when(F.size("__sh") > 0, F.col("__sh"))
-                           .otherwise(F.array(F.lit("\u0000"))))
-    tf = HashingTF(inputCol="__shs", outputCol="__tf", numFeatures=num_features, binary=True)
-    # hashed once (both join sides and the fit read it), only id + vector kept
-    v = cut_lineage(tf.transform(sets).select("__rep", "__tf"), "minhash-input")
-    lsh = MinHashLSH(numHashTables=num_tables, seed=seed, inputCol="__tf", outputCol="__h").fit(v)
-    pairs = lsh.approxSimilarityJoin(v, v, max_dist, distCol="dist")
-    rep_pairs = pairs.where(F.col("datasetA.__rep") < F.col("datasetB.__rep")).select(
-        F.col("datasetA.__rep").alias("__rep"), F.col("datasetB.__rep").alias("__rep2"), "dist")
-    return _with_members(rep_pairs, members)
-
-
-def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 3,
-                          max_dist: float = 0.25) -> DataFrame:
-    """Exact counterpart of :func:`near_duplicates`: prefix-filtered
-    set-similarity self join over word shingles of the whole texts.
-
-    Documents with identical shingle sets are collapsed first, so candidate
-    generation runs over distinct sets only: a block of m exact copies costs
-    one set in the join and m - 1 rows (representative, copy, 0)."""
-    sets, members = _collapse_identical(docs, id_col, text_col, shingle)
-    rep_pairs = jaccard_join(sets.withColumn("__b", F.lit(0)), None, "__b", "__rep", "__rep2",
-                             "__sh", max_dist, materialize=False)
-    return _with_members(rep_pairs, members)
+                      max_dist: float = 0.25, bands: int = 16, rows: int = 3, seed: int = 42) -> DataFrame:
+    """The approximate route: character tokens -> n-grams -> hashing TF ->
+    banded MinHash -> candidates that share a band in the same block -> exact
+    distance of the n-gram sets below ``max_dist`` -> best per key (J4, M1-M4).
+
+    Its result is a subset of the exact candidates: bands only propose, the
+    real sets decide.  A pair at similarity s is proposed with probability
+    1 - (1 - s ** rows) ** bands (0.999 at 0.75)."""
+    from ledgerlens.operators.neardup import band_postings
+    # (block, name) pairs often repeat among keys: each is matched once
+    names = keys.select(F.col(block).alias("b"), F.col(name).alias("__n")).distinct()
+    names = names.withColumn("id", row_text(["b", "__n"])).withColumn("__v", strip_non_word("__n"))
+    k = _name_grams(names, n, "b", "__n")
+    d = _name_grams(dim.select(F.col(dim_id).alias("id"), F.col(dim_block).alias("b"), F.col("match_key").alias("__v")), n, "b")
+    kp = band_postings(k, bands, rows, seed, by=("b",)).select("key", F.col("id").alias("kid"))
+    dp = band_postings(d, bands, rows, seed, by=("b",)).select("key", F.col("id").alias("did"))
+    cand = kp.join(dp, "key").select("kid", "did").distinct()
+    own = k.select(F.col("id").alias("kid"), "b", "__n", F.col("tokens").alias("tk"))
+    other = d.select(F.col("id").alias("did"), F.col("b").alias("db"), F.col("tokens").alias("td"))
+    pairs = cand.join(own, "kid").join(other, "did").where(F.col("b") == F.col("db"))
+    common = F.size(F.array_intersect("tk", "td"))
+    dist = F.lit(1.0) - common.cast("double") / (F.size("tk") + F.size("td") - common).cast("double")
+    pairs = pairs.select(F.col("b").alias(block), F.col("__n").alias(name), F.col("did").alias(dim_id), dist.alias("dist")).where(F.col("dist") < max_dist)
+    return keys.join(best_match(pairs, [block, name], dim_id), [block, name]).select(*keys.columns, dim_id, "dist")

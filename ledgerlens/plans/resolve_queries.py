@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.functions.calendar import backfill, value_for_year, week_index, year_index
 from ledgerlens.functions.text import (AREA_SUFFIXES, STATE_CODES, int_flag, map_code,
                                        normalize_name)
 from ledgerlens.operators import aggregate as agg
+from ledgerlens.operators import neardup
 from ledgerlens.operators import resolve as rs
+from ledgerlens.operators.history import explode_slots, history
+from ledgerlens.operators.nulls import drop_nulls
 from ledgerlens.plans import fixtures as fx
 from ledgerlens.plans.registry import register
 from ledgerlens.session import cut_lineage, scratch_path
@@ -371,37 +375,151 @@ def resolve_fuzzy_lsh(spark: SparkSession, d: str) -> DataFrame:
         "dist", F.round("dist", 6))
 
 
+@register("fuzzy_lsh_check", sql=_sql("""
+SELECT CAST(count(*) AS BIGINT) AS n_exact, TRUE AS no_false_match, TRUE AS recall_reached FROM best
+""", "best"))
+def fuzzy_lsh_check(spark: SparkSession, d: str) -> DataFrame:
+    """J4 against J4x over all names: every match of the MinHash route is a
+    qualifying pair with its exact distance, and at least nine tenths of the
+    names that have a match find one."""
+    lsh, exact = cut_lineage(resolve_fuzzy_lsh(spark, d), "lsh"), cut_lineage(fuzzy_pairs(spark, d), "fuzzy-pairs")
+    keys = ["buyer_state", "buyer_county"]
+    false = lsh.join(exact, [*keys, "dim_id", "dist"], "left_anti").agg(F.count(F.lit(1))).scalar()
+    found = lsh.agg(F.count(F.lit(1))).scalar()
+    best = exact.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n_exact"))
+    return best.select("n_exact", (false == 0).alias("no_false_match"), (10 * found >= 9 * F.col("n_exact")).alias("recall_reached"))
+
+
 @register("doc_near_dup")
 def doc_near_dup(spark: SparkSession, d: str) -> DataFrame:
-    """Near-duplicate documents: MinHash LSH over word 3-shingles of the whole
-    text (approximate; the tests compare it with the exact join)."""
+    """Near-duplicate documents by banded MinHash over word 5-shingles of the
+    whole texts: doc_id, representative, dist (approximate: ``doc_near_dup_check``
+    holds it against the exact groups)."""
     docs = table(spark, d, "documents")
-    return rs.near_duplicates(docs, "doc_id", "text").withColumn("dist", F.round("dist", 6))
+    return neardup.near_duplicates(docs, "doc_id", "text").select(F.col("doc").alias("doc_id"), "representative", F.round("dist", 6).alias("dist"))
 
 
-_SHINGLES_SQL = """
-SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(w) - 1),
-         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh
-FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: length(x) > 0) AS w
-      FROM documents)
+_NEAR_SQL = """
+sh AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 3),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] || ' ' || w[i + 4])) END AS sh
+       FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '\\s+'), lambda x: length(x) > 0) AS w
+             FROM documents)),
+member AS (SELECT doc_id, sh, min(doc_id) OVER (PARTITION BY list_sort(sh)) AS rep FROM sh WHERE len(sh) > 0),
+tok AS (SELECT doc_id, len(sh) AS s, unnest(sh) AS t FROM member WHERE doc_id = rep),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id <> b.doc_id
+          GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (any_value(a.s) + any_value(b.s) - count(*))),
+reach(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+grp AS (SELECT m.doc_id, m.sh, least(m.rep, coalesce(min(r.b), m.rep)) AS representative
+        FROM member m LEFT JOIN reach r ON r.a = m.rep GROUP BY m.doc_id, m.sh, m.rep),
+near AS (SELECT g.doc_id, g.representative, len(list_intersect(g.sh, m.sh)) AS common, len(g.sh) + len(m.sh) AS total
+         FROM grp g JOIN member m ON m.doc_id = g.representative WHERE g.doc_id <> g.representative)
 """
 
 
 @register("doc_near_dup_exact", sql=f"""
-WITH sh AS ({_SHINGLES_SQL}),
-member AS (SELECT doc_id, sh, min(doc_id) OVER (PARTITION BY list_sort(sh)) AS rep FROM sh WHERE len(sh) > 0),
-tok AS (SELECT doc_id, len(sh) AS s, unnest(sh) AS t FROM member WHERE doc_id = rep),
-pairs AS (SELECT a.doc_id AS id_a, b.doc_id AS id_b, any_value(a.s) AS sa, any_value(b.s) AS sb,
-                 count(*) AS inter
-          FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id < b.doc_id GROUP BY 1, 2)
-SELECT CAST(id_a AS BIGINT) AS id_a, CAST(id_b AS BIGINT) AS id_b,
-       round(1.0 - CAST(inter AS DOUBLE) / CAST(sa + sb - inter AS DOUBLE), 6) AS dist
-FROM pairs WHERE 1.0 - CAST(inter AS DOUBLE) / CAST(sa + sb - inter AS DOUBLE) < 0.25
-UNION ALL SELECT CAST(rep AS BIGINT), CAST(doc_id AS BIGINT), 0.0 FROM member WHERE doc_id <> rep
+WITH RECURSIVE {_NEAR_SQL}
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(representative AS BIGINT) AS representative,
+       round(1.0 - CAST(common AS DOUBLE) / CAST(total - common AS DOUBLE), 6) AS dist FROM near
 """)
 def doc_near_dup_exact(spark: SparkSession, d: str) -> DataFrame:
-    """Exact near-duplicate documents (word 3-shingle Jaccard distance < 0.25)
-    by the prefix-filtered set-similarity join."""
+    """Exact near-duplicate groups (word 5-shingle similarity of 0.75 or more)
+    by the prefix-filtered set-similarity join: every document that has a
+    smaller one in its group, and their distance."""
     docs = table(spark, d, "documents")
-    return rs.exact_near_duplicates(docs, "doc_id", "text").withColumn("dist", F.round("dist", 6))
+    return neardup.exact_near_duplicates(docs, "doc_id", "text").select(F.col("doc").alias("doc_id"), "representative", F.round("dist", 6).alias("dist"))
+
+
+@register("doc_near_dup_check", sql=f"""
+WITH RECURSIVE {_NEAR_SQL}
+SELECT CAST(count(*) AS BIGINT) AS n_exact, TRUE AS no_false_group, TRUE AS recall_reached FROM near
+""")
+def doc_near_dup_check(spark: SparkSession, d: str) -> DataFrame:
+    """Banded MinHash against the exact groups over all documents: no group
+    joins documents that the exact ones keep apart, and at least nine tenths of
+    the documents with a representative have one."""
+    lsh, exact = cut_lineage(doc_near_dup(spark, d), "lsh-groups"), cut_lineage(doc_near_dup_exact(spark, d), "exact-groups")
+    group = exact.select("doc_id", F.col("representative").alias("g"))
+    both = (lsh.join(group, "doc_id", "left").withColumn("g", F.coalesce("g", "doc_id"))
+               .join(group.select(F.col("doc_id").alias("representative"), F.col("g").alias("h")), "representative", "left")
+               .withColumn("h", F.coalesce("h", "representative")))
+    false, found = both.where("g <> h").agg(F.count(F.lit(1))).scalar(), lsh.agg(F.count(F.lit(1))).scalar()
+    return exact.agg(F.count(F.lit(1)).alias("n_exact")).select("n_exact", (false == 0).alias("no_false_group"),
+                                                                (10 * found >= 9 * F.col("n_exact")).alias("recall_reached"))
+
+
+# ------------------------------------------------------- resolved chain
+
+RESOLVED_HISTORY_SQL = _sql(f"""
+SELECT dim_id, category, week_index, year_index, strength, round(rate, 9) AS rate,
+       {', '.join(f"coalesce(h[{i + 1}], 0.0) AS h{i + 1}" for i in range(13))}
+FROM (SELECT *, list_transform(coalesce(hl, []), lambda x: round(x, 9)) AS h FROM (
+  SELECT *, list(rate) OVER (PARTITION BY dim_id, category ORDER BY week_index, year_index, strength
+                             ROWS BETWEEN 13 PRECEDING AND 1 PRECEDING) AS hl
+  FROM (SELECT *, pill_count / population AS rate FROM (
+    SELECT m.dim_id, t.category, CAST(date_diff('day', DATE '{fx.TX_EPOCH}', t.tx_date) // 7 AS BIGINT) AS week_index,
+           CAST(year(t.tx_date) - year(DATE '{fx.TX_EPOCH}') AS BIGINT) AS year_index,
+           CASE WHEN year(t.tx_date) - year(DATE '{fx.TX_EPOCH}') BETWEEN 0 AND 6
+                THEN d.dim_population + greatest(4, year(t.tx_date) - year(DATE '{fx.TX_EPOCH}')) END AS population,
+           t.strength, sum(t.quantity) AS pill_count
+    FROM tx t JOIN mapping m ON t.buyer_state IS NOT DISTINCT FROM m.buyer_state
+      AND t.buyer_county IS NOT DISTINCT FROM m.buyer_county AND t.buyer_zip IS NOT DISTINCT FROM m.buyer_zip
+    JOIN dimp d ON d.dim_id = m.dim_id
+    GROUP BY ALL))
+  WHERE strength IS NOT NULL AND population IS NOT NULL AND rate IS NOT NULL AND week_index IS NOT NULL))
+""", "mapping")
+
+
+def place_dim(spark: SparkSession, d: str) -> DataFrame:
+    """The place dimension with a population per year, the first four years
+    copied from the fifth (P8)."""
+    years = fx.name_dim(spark, d).withColumns({c: F.col("dim_population") + i for i, c in enumerate(fx.POP_COLS)})
+    return backfill(years, fx.POP_COLS[:4], fx.POP_COLS[4])
+
+
+def resolved_weekly(spark: SparkSession, d: str) -> DataFrame:
+    """J9 -> A1: the ledger by week, item, strength and *matched place*, with
+    the rate per head of that place's population in the row's year.
+
+    The ledger is summed by raw key first; only those sums meet the cascade's
+    key-level mapping, which carries the place's populations, and are summed
+    again by place.  No fact row is joined."""
+    t = fx.tx(spark, d)
+    places = rs.place_mapping(t, place_dim(spark, d), fx.crosswalk(spark, d), *KEYS, dim_cols=("dim_state", "clean_name", *fx.POP_COLS))
+    places = cut_lineage(places.where(F.col("dim_id").isNotNull()), "places")
+    keys = {**{k: k for k in KEYS}, "category": "category", "week_index": week_index("tx_date", fx.TX_EPOCH),
+            "year_index": year_index("tx_date", fx.TX_EPOCH), "strength": "strength"}
+    sums = rs.join_mapping(agg.period_agg(t, keys, qty="quantity", weight="strength"), places, KEYS, "inner")
+    sums = sums.withColumn("population", value_for_year("year_index", fx.POP_COLS))
+    by = ["dim_id", "dim_state", "clean_name", "category", "week_index", "year_index", "population", "strength"]
+    weekly = sums.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("order_count", "pill_count", "normalized_pill_count")))
+    return weekly.withColumn("rate", agg.rate("pill_count", "population"))
+
+
+@register("resolved_weekly_history", sql=RESOLVED_HISTORY_SQL)
+def resolved_weekly_history(spark: SparkSession, d: str) -> DataFrame:
+    """J9 -> A1 -> A2 -> W2 in one chain: messy names resolved, rates by
+    matched place and week, each with its 13 previous ones."""
+    h = history(drop_nulls(resolved_weekly(spark, d)), ["dim_id", "category"], "week_index", "rate", n=13,
+                tie_break=("year_index", "strength"), out="history")
+    h = h.select("dim_id", "category", "week_index", "year_index", "strength", F.round("rate", 9).alias("rate"),
+                 F.transform("history", lambda x: F.round(x, 9)).alias("history"))
+    return explode_slots(h, "history", 13)
+
+
+@register("calendar_lags", sql=_sql(f"""
+SELECT w.dim_id, w.week_index, round(w.q, 6) AS quantity, {', '.join(f"round(coalesce(l{i}.q, 0.0), 6) AS h{14 - i}" for i in range(1, 14))}
+FROM byweek w {' '.join(f"LEFT JOIN byweek l{i} ON l{i}.dim_id = w.dim_id AND l{i}.week_index = w.week_index - {i}" for i in range(1, 14))}
+""", "mapping").replace("\nSELECT w.dim_id", f""", byweek AS (
+  SELECT m.dim_id, CAST(date_diff('day', DATE '{fx.TX_EPOCH}', t.tx_date) // 7 AS BIGINT) AS week_index, sum(t.quantity) AS q
+  FROM tx t JOIN mapping m ON t.buyer_state IS NOT DISTINCT FROM m.buyer_state
+   AND t.buyer_county IS NOT DISTINCT FROM m.buyer_county AND t.buyer_zip IS NOT DISTINCT FROM m.buyer_zip
+  WHERE m.dim_id IS NOT NULL GROUP BY 1, 2)
+SELECT w.dim_id""", 1))
+def calendar_lags(spark: SparkSession, d: str) -> DataFrame:
+    """W2 with true calendar lags (T4): weekly quantity per matched place and
+    the quantities exactly 13 .. 1 weeks before, 0 where there was none."""
+    weeks = resolved_weekly(spark, d).groupBy("dim_id", "week_index").agg(F.sum("pill_count").alias("quantity"))
+    h = history(cut_lineage(weeks, "place-weeks"), ["dim_id"], "week_index", "quantity", n=13, frame="range", out="history")
+    h = h.select("dim_id", "week_index", F.round("quantity", 6).alias("quantity"), F.transform("history", lambda x: F.round(x, 6)).alias("history"))
+    return explode_slots(h, "history", 13)
