@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,28 @@ def hash_split(df: DataFrame, key_cols, frac: float = 0.7):
     return df.where(u < F.lit(frac)), df.where(u >= F.lit(frac))
 
 
+def bottom_k(df: DataFrame, key_cols, k: int, out: str | None = None) -> DataFrame:
+    """Exactly ``k`` rows (all if there are fewer): those with the smallest md5
+    of their key, ties by the whole row (K5, O6).
+
+    A uniform sample of exact size that any engine reproduces and that merges:
+    the bottom k of a union is the bottom k of its parts' bottom k.  Only rows
+    below a threshold are ordered.  It is set from the row count so that about
+    ``k`` rows lie below it, and widened in the rare case that fewer do, so the
+    table itself never meets in one task."""
+    n = df.count()
+    rows = df.withColumn("__h", F.md5(key_text(key_cols)))
+    below = min(1.0, (k + 6 * math.sqrt(k) + 10) / max(n, 1))
+    while below < 1:
+        near = rows.where(F.col("__h") < f"{int(below * (1 << 32)):08x}")
+        if near.count() >= k:
+            rows = near
+            break
+        below *= 4
+    rows = rows.orderBy("__h", *df.columns).limit(k)
+    return rows.withColumnRenamed("__h", out) if out else rows.drop("__h")
+
+
 def row_text(cols) -> Column:
     """Injective text form of a row: every value with its length in front,
     null as a mark of its own, so no two different rows have one text."""

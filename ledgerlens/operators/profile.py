@@ -1,18 +1,11 @@
-"""Column profiling (A17, A18, A20, O2, O5): each a single scan."""
+"""Column profiling (A18, A20, O2, O5): each a single scan.  Distinct counts (A17) are in ``sketches``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def profile_distinct(df: DataFrame, cols=None, rsd: float = 0.05) -> DataFrame:
-    """Approximate distinct count of every column in one pass (A17), long
-    form (column_name, approx_distinct).  HyperLogLog++ sketches merge
-    map-side, so this is one small shuffle regardless of table size."""
-    cols = list(cols or df.columns)
-    wide = df.agg(*[F.approx_count_distinct(F.col(c), rsd).alias(c) for c in cols])
-    return _to_long(wide, cols, "approx_distinct")
+from ledgerlens.session import cut_lineage
 
 
 def _to_long(wide: DataFrame, cols, value_name: str) -> DataFrame:
@@ -35,6 +28,18 @@ def ordered_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
+def placed(df: DataFrame, col: str, out: str = "place") -> DataFrame:
+    """Ordered distinct values with their place from 1, by range partitions:
+    a row's place is its place in its partition plus the sizes before."""
+    rows = cut_lineage(df.repartitionByRange(col).sortWithinPartitions(col).withColumn("__p", F.spark_partition_id())
+                         .withColumn("__i", F.monotonically_increasing_id()), "placed")
+    sizes = rows.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"), F.min("__i").alias("__first"))
+    # one row per partition
+    before = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    out_rows = rows.join(before, "__p").withColumn(out, F.col("__before") + F.col("__i") - F.col("__first") + 1)
+    return out_rows.select(out, *df.columns)
+
+
 def describe(df: DataFrame, cols) -> DataFrame:
     """count, mean, sample stddev, min, max per numeric column (A20) as typed
     doubles in long form -- one aggregate, unlike ``describe()``'s strings."""

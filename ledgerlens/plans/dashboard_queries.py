@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.functions.geo import geohash_sql
+from ledgerlens.functions.calendar import week_index
 from ledgerlens.operators import dashboard as db
 from ledgerlens.plans import fixtures as fx
 from ledgerlens.plans.ledger_queries import EPOCH_SQL, _POP_SQL_PICK, tx_with_population
@@ -256,3 +257,52 @@ def choropleth(spark: SparkSession, d: str) -> DataFrame:
         F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
     f = docs(spark, d).where(F.col("category") == "SMALL")
     return db.choropleth(f, regions, "nation_key", "quantity", region_key="n_nationkey")
+
+
+@register("choropleth_totals", sql=_sql("""
+SELECT CAST(n.n_nationkey AS BIGINT) AS n_nationkey, n.n_name,
+       coalesce(a.sum_qty, 0.0) AS sum_qty, coalesce(a.n_rows, 0) AS n_rows
+FROM nation n LEFT JOIN (SELECT nation_key, sum(quantity) AS sum_qty, count(*) AS n_rows FROM docs GROUP BY 1) a
+  ON n.n_nationkey = a.nation_key
+"""))
+def choropleth_totals(spark: SparkSession, d: str) -> DataFrame:
+    """J8 over all documents, whatever their category."""
+    regions = table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("n_nationkey"), "n_name")
+    return db.choropleth(docs(spark, d), regions, "nation_key", "quantity", region_key="n_nationkey")
+
+
+#: every field of an indexed document and its type; nothing else is kept
+FULL_MAPPING = {**{c: "keyword" for c in ("doc_id", "order_key", "line_no", "part_key", "supp_key", "cust_key", "category", "brand", "segment", "nation_key",
+                                          "nation", "region", "state_county", "priority", "status", "return_flag", "buyer_state", "buyer_county",
+                                          "buyer_zip", "month")},
+                "part_name": "text", "tx_date": "date", "quantity": "float", "amount": "float", "strength": "float", "unit_price": "float",
+                "normalized_quantity": "float", "week_index": "bigint", "year_index": "bigint", "population": "bigint", "returned": "boolean",
+                "location": "geo_point"}
+
+
+def full_docs(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with every field of the full mapping."""
+    t = tx_with_population(spark, d).withColumns({
+        "doc_id": F.concat_ws("-", "order_key", "line_no", "part_key", "supp_key"), "state_county": F.concat("region", F.lit("/"), "nation"),
+        "month": F.date_format("tx_date", "yyyy-MM"), "unit_price": F.try_divide("amount", "quantity"),
+        "normalized_quantity": F.col("quantity") * F.coalesce("strength", F.lit(1.0)), "week_index": week_index("tx_date", fx.TX_EPOCH),
+        "returned": F.col("return_flag") == "R"})
+    return db.export_documents(t, fx.geo(spark, d), "cust_key")
+
+
+@register("index_mapping", sql=_sql(f"""
+SELECT concat_ws('-', order_key, line_no, part_key, supp_key) AS doc_id,
+       {', '.join(f'CAST(t.{c} AS VARCHAR) AS {c}' for c in FULL_MAPPING if FULL_MAPPING[c] == 'keyword' and c not in ('doc_id', 'state_county', 'month'))},
+       t.region || '/' || t.nation AS state_county, strftime(t.tx_date, '%Y-%m') AS month, t.part_name, t.tx_date,
+       CAST(t.quantity AS FLOAT) AS quantity, CAST(t.amount AS FLOAT) AS amount, CAST(t.strength AS FLOAT) AS strength,
+       CAST(CASE WHEN t.quantity <> 0 THEN t.amount / t.quantity END AS FLOAT) AS unit_price,
+       CAST(t.quantity * coalesce(t.strength, 1.0) AS FLOAT) AS normalized_quantity,
+       CAST(date_diff('day', {EPOCH_SQL}, t.tx_date) // 7 AS BIGINT) AS week_index, CAST(year(t.tx_date) - year({EPOCH_SQL}) AS BIGINT) AS year_index,
+       {_POP_SQL_PICK.replace('yi', '(year(t.tx_date) - year(' + EPOCH_SQL + '))')} AS population, t.return_flag = 'R' AS returned,
+       CAST(g.lat AS FLOAT) AS location_lat, CAST(g.lon AS FLOAT) AS location_lon
+FROM tx t JOIN pop_wide w ON t.nation_key = w.nation_key JOIN geo g ON t.cust_key = g.cust_key
+"""))
+def index_mapping(spark: SparkSession, d: str) -> DataFrame:
+    """P17 with all 32 mapped fields."""
+    ix = db.to_index_docs(full_docs(spark, d), FULL_MAPPING)
+    return ix.select(*[c for c in ix.columns if c != "location"], F.col("location.lat").alias("location_lat"), F.col("location.lon").alias("location_lon"))

@@ -1,11 +1,12 @@
 """User-level jobs (E1-E9): the operators composed into path-to-path steps.
 
-Each job reads Parquet (or delimited text) from paths, runs one plan and
-writes Parquet/JSON, like the reference's command-line programs, but with
+Each job reads Parquet (``stage1`` and the crosswalk also delimited text) from
+paths, runs one plan and writes Parquet/JSON, like the reference's command-line programs, but with
 column names and thresholds as parameters (``Cols``) instead of constants.
 User-supplied tables (population, coordinates) carry no size guarantee, so
 their joins are left to the optimizer and AQE's runtime broadcast check.
 
+    python -m ledgerlens.plans.jobs stage1   src=... schema=... good=... bad=...
     python -m ledgerlens.plans.jobs resolve  fact=... dim=... xwalk=... out=...
     python -m ledgerlens.plans.jobs agg      resolved=... pop=... out=...
     python -m ledgerlens.plans.jobs window   agg=... out=...
@@ -31,9 +32,12 @@ from ledgerlens.functions.keys import hash_split
 from ledgerlens.operators import aggregate as agg
 from ledgerlens.operators import dashboard as db
 from ledgerlens.operators import ml
+from ledgerlens.operators import profile as pf
 from ledgerlens.operators import resolve as rs
 from ledgerlens.operators.history import history, to_vector
 from ledgerlens.operators.nulls import drop_nulls, fill_nulls
+from ledgerlens.session import cut_lineage
+from ledgerlens.sources.csv import scan_csv, scan_quarantined
 from ledgerlens.sources.sinks import read_split, write_json_gz, write_parquet, write_split
 from ledgerlens.streaming import ingest as ig
 
@@ -61,12 +65,24 @@ class Cols:
     doc_id: str = "doc_id"
 
 
+def stage1(spark: SparkSession, src: str, schema, good: str, bad: str, c: Cols = Cols(), sep: str = "\t", null_token: str = "null",
+           date_format: str = "MMddyyyy", row_id: str = "row_id") -> str:
+    """The delimited ledger (plain, gzip or bzip2) with its types; records
+    that fit are numbered, blank places filled and written to ``good``, all
+    others with file and reason to ``bad``.  ``good`` is what ``resolve`` reads."""
+    scan_quarantined(spark, src, schema, good, bad, sep=sep, null_token=null_token, date_format=date_format, row_id=row_id,
+                     fill={c.state: "", c.county: ""})
+    return good
+
+
 def resolve(spark: SparkSession, fact: str, dim: str, xwalk: str, out: str,
-            c: Cols = Cols(), carry_blank_keys: bool = True, fuzzy: str = "exact") -> str:
+            c: Cols = Cols(), carry_blank_keys: bool = True, fuzzy: str = "exact", xwalk_schema: str = "") -> str:
     """The three-stage cascade, written once split by the match flag
-    (``fuzzy="lsh"`` for the MinHash fuzzy stage)."""
+    (``fuzzy="lsh"`` for the MinHash fuzzy stage).  With ``xwalk_schema`` the
+    crosswalk is header CSV of that schema, scanned strictly, else Parquet."""
+    crosswalk = scan_csv(spark, xwalk, xwalk_schema) if xwalk_schema else spark.read.parquet(xwalk)
     r = rs.resolve_cascade(spark.read.parquet(fact), spark.read.parquet(dim),
-                           spark.read.parquet(xwalk), c.state, c.county, c.zip,
+                           crosswalk, c.state, c.county, c.zip,
                            dim_id=c.dim_id, dim_block=c.dim_state, dim_name=c.dim_name,
                            carry_blank_keys=carry_blank_keys, flag=c.flag,
                            xw_key=c.xw_key, xw_block=c.xw_state, xw_name=c.xw_name,
@@ -132,32 +148,47 @@ def predict(spark: SparkSession, windowed: str, model: str, out: str, c: Cols =
     return write_parquet(p.select(*keep), out)
 
 
-def report(spark: SparkSession, predictions: str, out: str, c: Cols = Cols(), n: int = 100) -> str:
-    """E7 stats + report: RMSE per split, anomalies outside +/- 1 stddev,
-    ranked by count per key."""
+def report(spark: SparkSession, predictions: str, out: str, c: Cols = Cols(), n: int = 100, model: str = "", windowed: str = "") -> str:
+    """E7 stats + report: RMSE per split, the anomalies outside +/- 1 stddev
+    and their ranking by count per key, descriptive statistics of label and
+    prediction; with the saved ``model`` and its ``windowed`` input also the
+    named importances."""
     p = spark.read.parquet(predictions)
     y, yhat = "pill_count_per_capita", "pill_count_per_capita_prediction"
-    a = agg.anomalies(p, y, yhat)
+    a = spark.read.parquet(write_parquet(agg.anomalies(p, y, yhat), out + "/anomalies"))
+    write_parquet(pf.describe(p, [y, yhat]), out + "/describe")
+    if model:
+        m = ml.load_pipeline(model)
+        # one row carries the slots' names
+        row = drop_nulls(spark.read.parquet(windowed)).limit(1).withColumn(c.pop_key, F.col(c.pop_key).cast("string"))
+        forest = next(s for s in m.stages if hasattr(s, "featureImportances"))
+        write_parquet(ml.importances(forest, m.transform(row), "features").coalesce(1), out + "/importances")
     write_parquet(p.groupBy("split").agg(F.sqrt(F.avg(F.pow(F.col(y) - F.col(yhat), 2))).alias("rmse")),
                   out + "/rmse")
     return write_parquet(agg.rank_anomalies(a, c.pop_key, y, yhat, n=n), out + "/ranked")
 
 
 def cluster(spark: SparkSession, resolved: str, pop: str, out: str, ks=(20, 40), c: Cols = Cols(),
-            cats=("segment", "category", "region"), label: str | None = None) -> str:
-    """Clustering prep (project, calendar, population, fill nulls), one
-    encoded matrix, KMeans sweep -> metrics table (k, cost, weighted entropy)."""
+            cats=("segment", "category", "region"), label: str | None = None, prep: str = "", models: str = "") -> str:
+    """Clustering prep (project, calendar, population, fill nulls; kept as
+    a table at ``prep`` if given), one encoded matrix, KMeans sweep -> metrics
+    table (k, cost, weighted entropy); ``models`` keeps a pipeline per k, from
+    raw rows to clusters and decoded categories."""
     r = read_split(spark, resolved, c.flag).where(F.col(c.flag))
     r = r.join(spark.read.parquet(pop), c.pop_key)
     yi = year_index(c.date, c.epoch)
-    prep = r.select(*cats, week_index(c.date, c.epoch).alias("week_index"),
+    rows = r.select(*cats, week_index(c.date, c.epoch).alias("week_index"),
                     value_for_year(yi, c.pop_cols).alias("population"), c.strength, c.qty)
-    prep = fill_nulls(prep, {**{x: "N/A" for x in cats}, c.strength: 0.0, "week_index": 0,
+    rows = fill_nulls(rows, {**{x: "N/A" for x in cats}, c.strength: 0.0, "week_index": 0,
                              "population": 0, c.qty: 0.0})
-    f = ml.feature_pipeline(list(cats), ["week_index", c.strength, "population", c.qty],
-                            scale=True).fit(prep).transform(prep)
-    metrics = ml.kmeans_sweep(f, ks, label=label or c.qty)
-    return write_parquet(metrics, out)
+    rows = spark.read.parquet(write_parquet(rows, prep)) if prep else cut_lineage(rows, "cluster-prep")
+    encoder = ml.feature_pipeline(list(cats), ["week_index", c.strength, "population", c.qty], scale=True).fit(rows)
+
+    def save(k, model):
+        if models:
+            ml.save_model(ml.cluster_model(encoder, model, list(cats)), f"{models}/{k}")
+
+    return write_parquet(ml.kmeans_sweep(encoder.transform(rows), ks, label=label or c.qty, save=save), out)
 
 
 def export(spark: SparkSession, resolved: str, pop: str, coords: str, out: str, c: Cols = Cols(),
@@ -185,7 +216,7 @@ def load(spark: SparkSession, src: str, target: str, checkpoint: str, schema,
     return target
 
 
-JOBS = {"resolve": resolve, "agg": aggregate, "window": window, "train": train,
+JOBS = {"stage1": stage1, "resolve": resolve, "agg": aggregate, "window": window, "train": train,
         "predict": predict, "report": report, "cluster": cluster, "export": export, "load": load}
 
 

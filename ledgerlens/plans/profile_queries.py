@@ -9,14 +9,15 @@ from pyspark.sql import types as T
 from ledgerlens.functions.calendar import week_index
 from ledgerlens.functions.keys import add_surrogate_key, hash_fraction, hash_sample
 from ledgerlens.operators import profile as pf
+from ledgerlens.operators import sketches as sk
 from ledgerlens.operators.nulls import drop_nulls, fill_nulls
 from ledgerlens.plans import fixtures as fx
 from ledgerlens.plans.ledger_queries import (EPOCH_SQL, WEEKLY_RATE_SQL, WEEKLY_SQL,
                                              tx_with_population, weekly)
 from ledgerlens.plans.registry import register
 from ledgerlens.session import scratch_path
-from ledgerlens.sources.csv import scan_csv, write_csv
-from ledgerlens.sources.sinks import write_parquet
+from ledgerlens.sources.csv import scan_csv, scan_quarantined, write_csv
+from ledgerlens.sources.sinks import write_parquet, write_sample_tsv
 from ledgerlens.sources.tables import read_drifted, table
 
 
@@ -27,11 +28,19 @@ def _md5_frac_sql(expr: str) -> str:
 # ---------------------------------------------------------------- profile
 
 
-@register("profile_distinct")
+_LEDGER_COLS = ("order_key", "line_no", "part_key", "supp_key", "cust_key", "tx_date", "quantity", "amount", "category", "brand", "part_name", "strength",
+                "segment", "nation_key", "nation", "region", "priority", "status", "return_flag", "buyer_state", "buyer_county", "buyer_zip")
+
+
+@register("profile_distinct", sql=fx.with_ctes(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS n_rows, count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS exact_distinct, "
+    "TRUE AS within_tolerance, TRUE AS halves_equal_whole FROM tx" for c in _LEDGER_COLS), tx=fx.TX_SQL))
 def profile_distinct(spark: SparkSession, d: str) -> DataFrame:
-    """Approximate distinct count of every orders column, one pass
-    (approximate by design; the tests bound it against exact counts)."""
-    return pf.profile_distinct(table(spark, d, "orders"))
+    """Every ledger column profiled by mergeable sketches, kept per year
+    in two appended halves, against the exact counts."""
+    t = fx.tx(spark, d).withColumn("year", F.year("tx_date"))
+    r = sk.checked_profile(t, scratch_path(spark, "ledger-profile"), "year")
+    return r.where(F.col("column_name") != "year")
 
 
 PROFILE_COLS = ("l_returnflag", "l_linestatus")
@@ -74,6 +83,27 @@ def sample_extract(spark: SparkSession, d: str) -> DataFrame:
     return scan_csv(spark, path, schema, sep="\t")
 
 
+EXTRACT_ROWS = 1000
+
+
+@register("sample_bottom_k", sql=f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT {EXTRACT_ROWS}
+""")
+def sample_bottom_k(spark: SparkSession, d: str) -> DataFrame:
+    """K5: a sample of an exact number of rows as one tab-separated file, read
+    back with a strict schema."""
+    path = scratch_path(spark, "bottom-k")
+    write_sample_tsv(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"), path, ["o_orderkey"], EXTRACT_ROWS)
+    return scan_csv(spark, path, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double", sep="\t")
+
+
+@register("ordered_values", sql="SELECT row_number() OVER (ORDER BY p_type) AS place, p_type FROM (SELECT DISTINCT p_type FROM part)")
+def ordered_values(spark: SparkSession, d: str) -> DataFrame:
+    """O2: the distinct values of a column in order, with their places."""
+    rows = pf.ordered_values(table(spark, d, "part"), "p_type")
+    return pf.placed(rows, "p_type")
+
+
 @register("hash_split", sql=f"""
 SELECT CASE WHEN {_md5_frac_sql('o_orderkey')} < 0.7 THEN 'train' ELSE 'test' END AS side,
        count(*) AS n_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum
@@ -113,23 +143,23 @@ def surrogate_key(spark: SparkSession, d: str) -> DataFrame:
 
 # ------------------------------------------------------------------ nulls
 
-PREP_FILL = {"segment": "N/A", "category": "N/A", "region": "N/A", "strength_label": "N/A",
-             "strength": 0.0, "week_index": 0, "population": 0, "quantity": 0.0}
+#: the categories of a row, and its numbers: the fourteen columns of the clustering table
+PREP_CATS = ("segment", "category", "region", "nation", "brand", "priority", "status", "return_flag", "line", "strength_label")
+PREP_NUMS = ("week_index", "strength", "population", "quantity")
+PREP_FILL = {**{c: "N/A" for c in PREP_CATS}, "strength": 0.0, "week_index": 0, "population": 0, "quantity": 0.0}
 
 
 def clustering_prep(spark: SparkSession, d: str) -> DataFrame:
     """Project the clustering columns, calendar + population, fill nulls."""
     t = tx_with_population(spark, d)
-    p = t.select("segment", "category", "region",
-                 F.col("strength").cast("string").alias("strength_label"),
-                 week_index("tx_date", fx.TX_EPOCH).alias("week_index"),
-                 "strength", "population", "quantity")
-    return fill_nulls(p, PREP_FILL)
+    t = t.withColumns({"line": F.col("line_no").cast("string"), "strength_label": F.col("strength").cast("string"),
+                       "week_index": week_index("tx_date", fx.TX_EPOCH)})
+    return fill_nulls(t.select(*PREP_CATS, *PREP_NUMS), PREP_FILL)
 
 
-@register("null_fill", sql=fx.with_ctes(f"""
-SELECT coalesce(segment, 'N/A') AS segment, coalesce(category, 'N/A') AS category,
-       coalesce(region, 'N/A') AS region,
+PREP_SQL = f"""
+SELECT {', '.join(f"coalesce({c}, 'N/A') AS {c}" for c in PREP_CATS if c not in ('line', 'strength_label'))},
+       coalesce(CAST(line_no AS VARCHAR), 'N/A') AS line,
        coalesce(CAST(strength AS VARCHAR), 'N/A') AS strength_label,
        coalesce(CAST(date_diff('day', {EPOCH_SQL}, tx_date) // 7 AS BIGINT), 0) AS week_index,
        coalesce(strength, 0.0) AS strength,
@@ -138,7 +168,10 @@ SELECT coalesce(segment, 'N/A') AS segment, coalesce(category, 'N/A') AS categor
          [year(tx_date) - year({EPOCH_SQL}) + 1] END, 0) AS population,
        coalesce(quantity, 0.0) AS quantity
 FROM tx t JOIN pop_wide w ON t.nation_key = w.nation_key
-""", tx=fx.TX_SQL, pop_wide=fx.POP_WIDE_SQL))
+"""
+
+
+@register("null_fill", sql=fx.with_ctes(PREP_SQL, tx=fx.TX_SQL, pop_wide=fx.POP_WIDE_SQL))
 def null_fill(spark: SparkSession, d: str) -> DataFrame:
     return clustering_prep(spark, d)
 
@@ -206,3 +239,48 @@ def schema_drift_union(spark: SparkSession, d: str) -> DataFrame:
     write_parquet(o.where(F.col("o_orderkey") % 2 == 0), a)
     write_parquet(o.where(F.col("o_orderkey") % 2 == 1).drop("o_orderpriority"), b)
     return read_drifted(spark, [a, b])
+
+
+# ------------------------------------------------------------- quarantine
+
+_BROKEN = {"amount": 83, "date": 89, "fields": 97}
+_QUARANTINE_SQL = f"""
+SELECT reason, count(*) AS n_rows, count(DISTINCT row_id) AS n_ids, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, sum(n_blank) AS n_blank FROM (
+  SELECT CASE WHEN o_orderkey % {_BROKEN['fields']} = 0 THEN '5 fields of 6'
+              WHEN o_orderkey % {_BROKEN['amount']} = 0 AND o_orderkey % {_BROKEN['date']} = 0 THEN 'unreadable: o_totalprice, o_orderdate'
+              WHEN o_orderkey % {_BROKEN['amount']} = 0 THEN 'unreadable: o_totalprice'
+              WHEN o_orderkey % {_BROKEN['date']} = 0 THEN 'unreadable: o_orderdate' ELSE 'ok' END AS reason,
+         o_orderkey, o_orderkey AS row_id, CAST(o_orderstatus = 'F' AS BIGINT) AS n_blank FROM orders) GROUP BY 1
+"""
+
+
+def write_broken_orders(spark: SparkSession, d: str) -> str:
+    """Orders as bzip2 TSV with null tokens and planted bad records: a number
+    that is none, a date that is none, a line cut by one field."""
+    def text(c):
+        return F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    key = F.col("o_orderkey")
+    o = table(spark, d, "orders")
+    fields = [text("o_orderkey"), text("o_custkey"), F.when(F.col("o_orderstatus") == "F", "null").otherwise(text("o_orderstatus")),
+              F.when(key % _BROKEN["amount"] == 0, "12,5x").otherwise(text("o_totalprice")),
+              F.when(key % _BROKEN["date"] == 0, "31312020").otherwise(F.date_format("o_orderdate", "MMddyyyy"))]
+    cut = F.concat_ws("\t", *fields)
+    whole = F.concat(cut, F.lit("\t"), text("o_orderpriority"))
+    path = scratch_path(spark, "broken-orders")
+    o.select(F.when(key % _BROKEN["fields"] == 0, cut).otherwise(whole).alias("value")).write.option("compression", "bzip2").text(path)
+    return path
+
+
+@register("quarantine_scan", sql=_QUARANTINE_SQL)
+def quarantine_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Typed scan of delimited text; bad records go to a table of their own
+    with file and reason, good ones are numbered and their nulls filled."""
+    good, bad = scratch_path(spark, "orders-good"), scratch_path(spark, "orders-bad")
+    scan_quarantined(spark, write_broken_orders(spark, d), ORDERS_TEXT_SCHEMA, good, bad, sep="\t", null_token="null", date_format="MMddyyyy",
+                     header=False, fill={"o_orderstatus": ""})
+    ok = spark.read.parquet(good).select(F.lit("ok").alias("reason"), "row_id", "o_orderkey", (F.col("o_orderstatus") == "").cast("long").alias("blank"))
+    line = F.split("line", "\t")
+    out = spark.read.parquet(bad).select("reason", F.get(line, 0).cast("long").alias("row_id"), F.get(line, 0).cast("long").alias("o_orderkey"),
+                                         (F.get(line, 2) == "null").cast("long").alias("blank"))
+    return ok.unionByName(out).groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("row_id").alias("n_ids"),
+                                                     F.sum("o_orderkey").alias("key_sum"), F.sum("blank").alias("n_blank"))

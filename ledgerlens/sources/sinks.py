@@ -38,9 +38,9 @@ def append_small_csv(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_sample_tsv(df: DataFrame, path: str, frac: float = 0.001, seed: int = 42,
-                     mode: str = "overwrite") -> str:
-    """Seeded random sample written as tab-separated text with header (K5)."""
-    df.sample(fraction=frac, seed=seed).write.mode(mode).option("sep", "\t") \
-      .option("header", "true").csv(path)
+def write_sample_tsv(df: DataFrame, path: str, key_cols, k: int = 10_000, mode: str = "overwrite") -> str:
+    """A sample of exactly ``k`` rows, by key hash, as one tab-separated file
+    with header (K5).  One task writes the file, but it sees the sample only."""
+    from ledgerlens.functions.keys import bottom_k
+    bottom_k(df, key_cols, k).coalesce(1).write.mode(mode).option("sep", "\t").option("header", "true").csv(path)
     return path
