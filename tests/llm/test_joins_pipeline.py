@@ -189,6 +189,26 @@ def test_pipeline(spark):
     assert P.run(spark, SMALL).count() > 0
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows that share an id, with one text or several, and rows without one:
+    each group keeps its row of the smallest id, and no other text is lost."""
+    import corpus_pipeline as P
+    texts = near_copies(60)
+    rows = [(None if k % 7 == 0 else k // 3, t, "en", "a", len(t), k) for k, t in texts]
+    rows += [(rows[5][0], " ".join(f"other{i}" for i in range(80)), "en", "b", 1, 0), (None, "all alone here", "de", None, 1, 1), rows[8], rows[8]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, row long").repartition(5)
+    kept = P.near_duplicates(spark, df, SMALL).collect()
+    at = df.collect()
+    sets = [shingle_set(r["text"]) for r in at]
+    group = union(len(at), [(i, j) for i in range(len(at)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])])
+    least = {}
+    for r, g in zip(at, group, strict=True):
+        least[g] = min(least.get(g, (True, 0)), (r["doc_id"] is None, r["doc_id"] or 0))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept) == sorted(least.values())
+    by_text = {r["text"]: g for r, g in zip(at, group, strict=True)}
+    assert sorted(by_text[r["text"]] for r in kept) == sorted(least) and df.columns == P.near_duplicates(spark, df, SMALL).columns
+
+
 def test_pipeline_cases(spark, docs, empty):
     import corpus_pipeline as P
     for start in (docs, empty):
