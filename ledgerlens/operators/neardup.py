@@ -20,6 +20,9 @@ component.  Then only pairs of one key that lie in *different* components meet;
 a key with many such ids is dealt into parts and its parts meet two by two, so
 no task holds a hot key.  What it returns connects exactly the components that
 all links would.
+
+Document ids are unique.  Null and empty texts, and texts without words, have
+no set and are in no group.
 """
 
 from __future__ import annotations

@@ -2,7 +2,7 @@
 compaction, buckets that double (K6, ST3).
 
 A batch is reduced to its latest row per key and written as one *delta*
-segment, sorted by key hash, so it costs what the batch holds, however large
+segment, files sorted by key hash, so it costs what the batch holds, however large
 the table is and however widely its keys are spread.  A row wins over another
 of its key by the order columns, then as a tombstone, then by every other
 column; that order is total, so reducing any set of segments in any sequence
@@ -194,7 +194,8 @@ def upsert(spark: SparkSession, target: str, batch: DataFrame, key: str, order,
     dead = F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(False)
     rows = latest(batch.withColumn(HASH, key_hash(key)).withColumn(DELETED, dead), key, order)
     path = f"{target.rstrip('/')}/data/{state.version:012d}-t0-{uuid.uuid4().hex[:8]}"
-    rows.repartitionByRange(HASH).sortWithinPartitions(HASH, key).write.parquet(path)
+    # as the aggregate has dealt them: a range partitioning would run the batch twice, once to sample it
+    rows.sortWithinPartitions(HASH, key).write.parquet(path)
     n = spark.read.schema(rows.schema).parquet(path).count()
     if batch_id:
         state.applied[batch_id[0]] = batch_id[1]
