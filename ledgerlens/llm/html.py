@@ -4,8 +4,8 @@ A page becomes a tree of elements; tags left open are closed as browsers close
 them.  Every paragraph gives points for its length and commas to its ancestors, the
 full points to its parent, half to the next and a third, a quarter ... above;
 an element's points are discounted by its link density and weighed by what its
-name, class and id say.  The best container is kept, with those siblings that
-score near it or read like text.  Parts that no article contains (menus,
+name, class and id say.  The best container is kept, with the whole article it
+lies in and those siblings that score near it or read like text.  Parts that no article contains (menus,
 headers, footers, asides, forms, scripts, notices, adverts, comments of
 readers ...) are left out wherever they stand.
 
@@ -13,11 +13,15 @@ Text comes out as blocks in page order: character references decoded, white
 space made one space, blocks joined by an empty line.
 
 Defined cases: null or empty html, and pages without text, give an empty text;
-repeated rows each give their text; an empty table gives an empty result.
+repeated rows each give their text; containers of equal score: the first in
+page order; very long and deeply nested pages take time in proportion to their
+length; other columns of the table, whatever their names, are not read; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import unescape
 
@@ -36,6 +40,12 @@ BLOCK = frozenset("html body main article section div p h1 h2 h3 h4 h5 h6 ul ol
 #: an opening tag of the key closes an open paragraph or an open one of these
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table div article section main body td th blockquote".split())
+LISTS = ("ul", "ol", "dl", "table")
+CLOSED_BY = {name: ("p", *CLOSES.get(name, ())) for name in BLOCK}
+SCOPES = {name: tuple(SCOPE - {name}) for name in BLOCK}
+RAW_END = {name: regex.compile(f"</{name}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", regex.I) for name in RAW}
+#: ancestors that a paragraph gives points to
+REACH = 32
 #: what names say; whole words of class, id and role
 AGAINST = regex.compile(r"(?<![a-z])(ad|ads|advert\w*|adsense|adbox|banner\w*|sponsor\w*|promo\w*|promotion\w*|outbrain|taboola|comment\w*|disqus|respond|replies|reply|discussion|"
                         r"cookie\w*|consent|gdpr|notice\w*|alert|newsletter|subscribe|subscription|signup|login|paywall|popup|pop-up|modal|overlay|"
@@ -54,10 +64,12 @@ WEIGHTS = {"article": 30.0, "main": 25.0, "section": 3.0, "div": 5.0, "td": 3.0,
 
 
 class Node:
-    __slots__ = ("name", "parent", "children", "hint", "points", "chars", "linked", "out")
+    __slots__ = ("name", "parent", "children", "hint", "points", "chars", "linked", "out", "story")
 
     def __init__(self, name: str, parent: Node | None, hint: str = "", out: bool = False):
         self.name, self.parent, self.hint, self.out = name, parent, hint, out
+        #: it is, or lies in, what holds a story
+        self.story = parent is not None and parent.story or name in ("article", "main") or bool(hint) and bool(STORY.search(hint))
         self.children: list[Node | str] = []
         self.points = 0.0
         self.chars = self.linked = 0
@@ -87,62 +99,77 @@ def _excluded(name: str, hint: str, inside_article: bool) -> bool:
     return bool(AGAINST.search(hint)) and not FOR.search(hint)
 
 
+class _Open:
+    """The open elements, outermost first, with the places of each name: what a
+    tag closes is found without walking up, however deep the page nests."""
+
+    def __init__(self, root: Node):
+        self.nodes, self.places, self.blocks = [root], {}, []
+
+    def last(self, names) -> int:
+        """Place of the innermost open element of these names; 0, the root's, if none is open."""
+        return max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+
+    def first_after(self, names, place: int) -> int:
+        """Place of the outermost open element of these names inside ``place``; 0 if there is none."""
+        found = ((at, bisect_right(at, place)) for n in names if (at := self.places.get(n)))
+        return min((at[i] for at, i in found if i < len(at)), default=0)
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.name, []).append(len(self.nodes))
+        if node.name in BLOCK:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def close(self, place: int) -> None:
+        """Close the element at ``place`` and all inside it; the root stays."""
+        while place and len(self.nodes) > place:
+            node = self.nodes.pop()
+            self.places[node.name].pop()
+            if node.name in BLOCK:
+                self.blocks.pop()
+
+
 def parse(html: str) -> Node:
     """Tree of elements and text; excluded parts are marked ``out``."""
-    root = top = Node("html", None)
+    root = Node("html", None)
+    still = _Open(root)
     at, size = 0, len(html)
     while at < size:
         m = MARKUP.search(html, at)
         text = html[at:m.start() if m else size]
         if text:
-            top.children.append(text)
+            still.nodes[-1].children.append(text)
         if not m:
             break
         at = m.end()
         if m[1] is not None:
-            top.children.append(m[1].replace("&", "&amp;"))
+            still.nodes[-1].children.append(m[1].replace("&", "&amp;"))
         name = (m[3] or "").lower()
         if not name or name in ("html", "body") and not m[2]:
             continue
         if m[2]:
-            node = top
-            while node.parent and node.name != name:
-                # a stray end tag of inline markup does not close a block
-                if node.name in BLOCK and name not in BLOCK:
-                    node = root
-                    break
-                node = node.parent
-            if node.parent and node.name == name:
-                top = node.parent
+            place = still.last((name,))
+            # a stray end tag of inline markup does not close a block
+            if name in BLOCK or not still.blocks or still.blocks[-1] < place:
+                still.close(place)
             continue
         if name in BLOCK:
-            node = top
-            while node.parent and node.name not in SCOPE - {name}:
-                if node.name == "p" or node.name in CLOSES.get(name, ()):
-                    top = node.parent
-                    break
-                node = node.parent
+            place = still.last(CLOSED_BY[name])
+            if place > still.last(SCOPES[name]):
+                still.close(place)
             if name in CLOSES:
-                node = top
-                while node.parent and node.name not in ("ul", "ol", "dl", "table"):
-                    if node.name in CLOSES[name]:
-                        top = node.parent
-                    node = node.parent
+                still.close(still.first_after(CLOSES[name], still.last(LISTS)))
+        top = still.nodes[-1]
         hint, hidden = _attributes(m[4])
-        inside = False
-        if name == "header":
-            node = top
-            while node:
-                inside |= node.name in ("article", "main") or node.name != "body" and bool(STORY.search(node.hint))
-                node = node.parent
-        node = Node(name, top, hint, top.out or hidden or _excluded(name, hint, inside))
+        node = Node(name, top, hint, top.out or hidden or _excluded(name, hint, top.story))
         top.children.append(node)
         if name in RAW and not m[4].endswith("/"):
-            end = regex.compile(f"</{regex.escape(name)}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", regex.I).search(html, at)
+            end = RAW_END[name].search(html, at)
             node.children.append(html[at:end.start() if end else size])
             at = end.end() if end else size
         elif name not in VOID and not m[4].endswith("/"):
-            top = node
+            still.push(node)
     return root
 
 
@@ -173,7 +200,7 @@ def _measure(node: Node, linked: bool) -> None:
             commas = sum(c.count(",") for c in node.children if isinstance(c, str))
             points = (1 + commas + min(node.chars / 100, 3)) * (1 - node.linked / node.chars)
             place, share = node if node.name == "div" else node.parent, 1
-            while place:
+            while place and share <= REACH:
                 place.points += points / share
                 place, share = place.parent, share + 1
 
@@ -185,8 +212,31 @@ def _score(node: Node) -> float:
     return (node.points + (weight if node.points else 0.0)) * (1 - node.linked / node.chars)
 
 
+def _home(best: Node) -> Node:
+    """The element that holds the whole story of the best container: the nearest
+    ``article``, else the nearest ``main``, else the outermost one named as a
+    story; the container itself if there is none.  Beside the way down to the
+    container, parts of a ``main`` or named element that are mostly links are left out."""
+    above, node = [], best
+    while node.parent:
+        above.append(node)
+        node = node.parent
+    home = next((n for n in above if n.name == "article"), None)
+    if home:
+        return home
+    named = [n for n in above if bool(n.hint) and STORY.search(n.hint)]
+    home = next((n for n in above if n.name == "main"), named[-1] if named else best)
+    below = best
+    while below is not home:
+        for c in below.parent.children:
+            if isinstance(c, Node) and c is not below and c.chars and c.linked > 0.5 * c.chars:
+                c.out = True
+        below = below.parent
+    return home
+
+
 def best_parts(root: Node) -> list[Node]:
-    """The best container and the siblings that belong to it, in page order."""
+    """The story around the best container and the siblings that belong to it, in page order."""
     _measure(root, False)
     best, most, stack = root, 0.0, [root]
     while stack:
@@ -196,9 +246,10 @@ def best_parts(root: Node) -> list[Node]:
         if node.name not in ("p", "html") and (score := _score(node)) > most:
             best, most = node, score
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    best = _home(best)
     if best.parent is None:
         return [best]
-    parts = []
+    most, parts = max(most, _score(best)), []
     for c in best.parent.children:
         if not isinstance(c, Node) or c.out:
             continue

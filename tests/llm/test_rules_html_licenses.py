@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -76,6 +77,37 @@ def test_page():
     assert html.main_text(PAGE) == "\n\n".join(TEXT)
 
 
+LONG = "<p>" + "one, two, three four five six seven eight. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize("paragraphs", [1, 12])
+@pytest.mark.parametrize("opening, closing", [("<article>", "</article>"), ("<main id=main>", "</main>"), ("<div class='blog-post'>", "</div>")])
+def test_whole_article_beside_its_best_container(paragraphs, opening, closing):
+    story = f"<header><h1>Head</h1></header><div class=body>{LONG * paragraphs}</div><h3>More</h3><ul><li>i1<li>i2</ul><p>Last.</p><pre>code</pre><table><tr><td>cell</table><aside>ad</aside>"
+    page = f"<body><nav><a href=x>menu</a></nav>{opening}{story}{closing}<footer>foot</footer>"
+    body = " ".join(["one, two, three four five six seven eight."] * 3)
+    assert html.main_text(page).split("\n\n") == ["Head", *[body] * paragraphs, "More", "i1", "i2", "Last.", "code", "cell"]
+
+
+def test_unnamed_menu_inside_main():
+    menu = "<div>" + "".join(f"<a href=/{i}>another page {i}</a> " for i in range(20)) + "</div>"
+    assert html.main_text(f"<main>{menu}<div class=text><p>Kept.</p>{LONG * 5}</div><p>End.</p></main>").split("\n\n")[::6] == ["Kept.", "End."]
+
+
+@pytest.mark.parametrize("tag", ["<div>", "<b>", "<ul><li>", "<div><p>some text, of a paragraph here and more</p>"])
+def test_deep_pages_take_linear_time(tag):
+    took = []
+    for n in (4000, 16000):
+        start = time.process_time()
+        assert html.main_text(tag * n + "<p>the last, of all the paragraphs").endswith("the last, of all the paragraphs")
+        took.append(time.process_time() - start)
+    assert took[1] < 10 * took[0] + 0.5
+
+
+def test_pages_of_nothing(spark):
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 def test_page_cases(spark):
     deep = "<div>" * 3000 + "<p>deep text, with a comma</p>"
     long = "<article>" + "<p>one, two, three four five six seven eight.</p>" * 5000 + "</article>"
