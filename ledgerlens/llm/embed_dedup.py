@@ -1,23 +1,30 @@
 """Near-duplicate embeddings through a pivot-permutation index.
 
 Reference points are a bounded sample of the vectors: ``4 * sqrt(n)``, at most
-``MOST_PIVOTS``, the first by a hash, without those closer than ``APART`` to an
-earlier one (points inside one dense group would be ordered by noise).  Every
-vector is described by its
-``NEAREST`` nearest pivots in order.  The inverted file holds, for each pair of
+``MOST_PIVOTS`` and about ``PIVOT_BYTES``, the first by a hash, without those closer than
+``APART`` to an earlier one (points inside one dense group would be ordered by
+noise).  Every vector is described by its nearest pivots in order, six up to
+``FEW_PIVOTS`` pivots and one more for each doubling: the more pivots, the more
+of them lie between two near vectors.  The inverted file holds, for each pair of
 pivots, the vectors that have both among theirs: vectors that meet there share
 at least two pivots.  Each list verifies its vectors by cosine in double
 precision; a pair that meets in several lists counts in the first of its
 common ones only.  Lists return each vector's number of links and a star for
 each connected part, not pairs.  Lists longer than ``LIST_ROWS`` are cut by hash
-into slices, and every two slices meet in a task of their own.
+into slices, and every two slices meet in a task of their own.  Vectors of a
+length with too few pivots form one list, compared in full the same way; a
+sample of all vectors misses only lengths with few of them.
 
 Equal vectors are one entry with a multiplicity.  Recall against brute force
-is measured in the tests (at least 0.9).
+is measured in the tests (at least 0.9, with pairs at a cosine just above 0.9
+and as many pivots as a million vectors have).
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite
-components link with nothing; vectors of different length do not link; a null id gets a null component and is
-not kept; repeated rows count as vectors of their own; an empty table gives an empty result.
+components link with nothing; vectors of different length do not link; very long
+vectors are compared whole; a null id gets a null component and is
+not kept; repeated rows count as vectors of their own; pivots equally near
+count in the order of their numbers' sort; other columns are not read, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,8 +40,13 @@ from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import components, stored
 
-MOST_PIVOTS = 4096
-NEAREST = 6
+#: beyond them lists grow with the table, and are cut in slices that all meet
+MOST_PIVOTS = 1 << 16
+#: of the broadcast pivots, at average length; no sampled vector is longer than ``LONGER`` averages, so the bound is ``LONGER`` times this
+PIVOT_BYTES, LONGER = 16 << 20, 16
+LEAST_NEAREST, FEW_PIVOTS = 6, 512
+#: similarities held at once while the nearest pivots are sought
+CELLS = 8_000_000
 #: cosine that pivots must stay below among themselves
 APART = 0.7
 LIST_ROWS = 4000
@@ -60,41 +72,82 @@ def _unit(vectors: list[bytes], kind: str) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _separated(points: np.ndarray) -> np.ndarray:
-    kept: list[int] = []
-    for i in range(len(points)):
-        if not kept or (points[kept] @ points[i]).max() < APART:
-            kept.append(i)
-    return points[kept]
+def _separated(points: np.ndarray, block: int = 512) -> np.ndarray:
+    """Points in turn, without those closer than ``APART`` to one that was kept."""
+    kept, n = np.empty_like(points), 0
+    for i in range(0, len(points), block):
+        some = points[i:i + block]
+        if n:
+            some = some[(some @ kept[:n].T).max(axis=1) < APART]
+        near, mine = some @ some.T >= APART, np.zeros(len(some), bool)
+        for j in range(len(some)):
+            mine[j] = not (near[j] & mine).any()
+        kept[n:n + mine.sum()] = some[mine]
+        n += int(mine.sum())
+    return kept[:n].copy()
 
 
-def _post(pivots, kind: str):
-    """Postings: a row for each pair of a vector's nearest pivots, with all its lists."""
-    pairs = np.array(list(combinations(range(NEAREST), 2)))
+def sample_size(n: int) -> int:
+    """Vectors of ``n`` that are drawn as reference points."""
+    return max(32, int(4 * n ** 0.5))
+
+
+def nearest(pivots: int) -> int:
+    """Pivots that describe a vector."""
+    return LEAST_NEAREST + max(0, (max(pivots, 1) - 1).bit_length() - FEW_PIVOTS.bit_length() + 1)
+
+
+def _near(x: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Numbers of each vector's nearest points, ascending."""
+    k, step, found = nearest(len(points)), max(1, CELLS // len(points)), []
+    for i in range(0, len(x), step):
+        far = -(x[i:i + step].astype(points.dtype) @ points.T)
+        found.append(np.sort(np.argpartition(far, k - 1, axis=1)[:, :k], axis=1))
+    return np.concatenate(found).astype("<u4")
+
 
+def _code(size: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Name of the list of two pivots and a vector length in bytes."""
+    return (size << 34) + (p.astype(np.int64) << 17) + q.astype(np.int64)
+
+
+def _post(pivots, kind: str):
+    """Postings: a row for each pair of a vector's nearest pivots, with all of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points = pivots.value
         for batch in batches:
             names, times, vectors = (batch.column(i).to_pylist() for i in range(3))
-            for size in {len(v) for v in vectors}:
-                at = [i for i, v in enumerate(vectors) if len(v) == size]
-                if size not in points:
-                    continue
-                near = np.argsort(-(_unit([vectors[i] for i in at], kind) @ points[size].T), axis=1, kind="stable")[:, :NEAREST]
-                if near.shape[1] < NEAREST:  # fewer pivots than that: fill with marks that all share
-                    near = np.concatenate([near, np.broadcast_to(MOST_PIVOTS + np.arange(NEAREST - near.shape[1]), (len(at), NEAREST - near.shape[1]))], axis=1)
-                near = np.sort(near, axis=1).astype(np.int64)
-                lists = (size << 32) + near[:, pairs[:, 0]] * (2 * MOST_PIVOTS) + near[:, pairs[:, 1]]
-                lists.sort(axis=1)
-                n = lists.shape[1]
-                rows = np.repeat(np.arange(len(at)), n)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists.ravel()), pa.array([names[at[i]] for i in rows], pa.int64()), pa.array([times[at[i]] for i in rows], pa.int64()),
-                     pa.array([vectors[at[i]] for i in rows], pa.binary()), pa.array([lists[i].tobytes() for i in rows], pa.binary())],
-                    names=["list", "name", "times", "vector", "lists"])
+            by_size: dict[int, list[int]] = {}
+            for i, v in enumerate(vectors):
+                by_size.setdefault(len(v), []).append(i)
+            for size, at in by_size.items():
+                here = points.get(size)
+                if here is None or len(here) < nearest(len(here)):  # one list for all of this length
+                    near, pairs = np.broadcast_to(np.arange(2, dtype="<u4"), (len(at), 2)), np.array([[0, 1]])
+                else:
+                    near = _near(_unit([vectors[i] for i in at], kind), here)
+                    pairs = np.array(list(combinations(range(near.shape[1]), 2)))
+                marks = [row.tobytes() for row in near]
+                for first in range(0, len(at), step := max(1, 20_000 // len(pairs))):
+                    part = at[first:first + step]
+                    lists = _code(size, near[first:first + step][:, pairs[:, 0]], near[first:first + step][:, pairs[:, 1]])
+                    rows = np.repeat(np.arange(len(part)), len(pairs))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(lists.ravel()), pa.array([names[part[i]] for i in rows], pa.int64()), pa.array([times[part[i]] for i in rows], pa.int64()),
+                         pa.array([vectors[part[i]] for i in rows], pa.binary()), pa.array([marks[first + i] for i in rows], pa.binary())],
+                        names=["list", "name", "times", "vector", "near"])
     return run
 
 
+def _first_list(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """List of the two smallest pivots that the descriptions, row by row, share."""
+    shared = (a[:, :, None] == b[:, None, :]).any(axis=2)
+    rows = np.arange(len(a))
+    p = shared.argmax(axis=1)
+    shared[rows, p] = False
+    return _code(size, a[rows, p], a[rows, shared.argmax(axis=1)])
+
+
 def _parts(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Smallest member of each entry's connected part."""
     label = np.arange(n)
@@ -114,7 +167,8 @@ def _verify(kind: str, least: float):
         names, times = table["name"].to_numpy(), table["times"].to_numpy()
         mine, other = table["slice"].to_numpy(), table["other"].to_numpy()
         x = _unit(table["vector"].to_pylist(), kind)
-        lists = np.stack([np.frombuffer(v, np.int64) for v in table["lists"].to_pylist()])
+        size = len(table["vector"][0].as_py())
+        near = np.stack([np.frombuffer(v, "<u4") for v in table["near"].to_pylist()])
         counts, a, b = np.zeros(len(names), np.int64), [], []
         step = max(1, 4_000_000 // len(names))
         for i in range(0, len(names), step):
@@ -127,8 +181,7 @@ def _verify(kind: str, least: float):
             b.append(q)
             for j in range(0, len(p), PAIRS_AT_ONCE):
                 u, v = p[j:j + PAIRS_AT_ONCE], q[j:j + PAIRS_AT_ONCE]
-                both = (lists[u][:, :, None] == lists[v][:, None, :]).any(axis=2)
-                first = lists[u, both.argmax(axis=1)] == here
+                first = _first_list(size, near[u], near[v]) == here
                 np.add.at(counts, u[first], times[v[first]])
                 np.add.at(counts, v[first], times[u[first]])
         root = _parts(len(names), np.concatenate(a), np.concatenate(b))
@@ -147,14 +200,13 @@ def near_duplicates(vectors: DataFrame, vector: str = "embedding", key: str = "v
     rows = stored(vectors.select(F.col(key).cast("long").alias("key"), typed.alias("v")).mapInArrow(_describe, "key long, name long, vector binary"), "pivot-rows")
     entries = rows.where("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("times"), F.first("vector").alias("vector"), F.min("key").alias("least"))
     entries = stored(entries, "pivot-entries")
-    wanted = min(MOST_PIVOTS, max(32, int(4 * entries.count() ** 0.5)))
-    sample = entries.orderBy(F.xxhash64("name"), "name").limit(wanted).select("vector").collect()
-    points = {size: _unit([bytes(r[0]) for r in sample if len(r[0]) == size], kind) for size in {len(r[0]) for r in sample}}
-    # lengths that the sample missed get points of their own
-    for size in [r[0] for r in entries.select(F.length("vector").alias("s")).distinct().collect() if r[0] not in points]:
-        points[size] = _unit([bytes(r[0]) for r in entries.where(F.length("vector") == size).orderBy(F.xxhash64("name"), "name").limit(wanted).select("vector").collect()], kind)
-    pivots = spark.sparkContext.broadcast({size: _separated(x) for size, x in points.items()})
-    postings = stored(entries.select("name", "times", "vector").mapInArrow(_post(pivots, kind), "list long, name long, times long, vector binary, lists binary"), "pivot-postings")
+    n, bytes_each = entries.agg(F.count(F.lit(1)), F.avg(F.length("vector"))).first()
+    wanted = min(MOST_PIVOTS, sample_size(n), 1 + int(PIVOT_BYTES / (bytes_each or 1)))
+    sample = entries.where(F.length("vector") <= LONGER * (bytes_each or 1)).orderBy(F.xxhash64("name"), "name").limit(wanted).select("vector").collect()
+    sample = [bytes(r[0]) for r in sample]
+    points = {size: _separated(_unit([v for v in sample if len(v) == size], kind).astype(np.float32)) for size in {len(v) for v in sample}}
+    pivots = spark.sparkContext.broadcast(points)
+    postings = stored(entries.select("name", "times", "vector").mapInArrow(_post(pivots, kind), "list long, name long, times long, vector binary, near binary"), "pivot-postings")
     sizes = postings.groupBy("list").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("list", F.ceil(F.col("k") / list_rows).cast("int").alias("slices"))
     cut = postings.join(sizes, "list").withColumn("slice", F.pmod(F.xxhash64("name"), F.col("slices")).cast("int"))
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))

@@ -132,6 +132,49 @@ def test_vectors(spark, list_rows):
     assert all(bad[k] == (0, k) for k in range(1000, 1006)) and bad[1007][0] == 1
 
 
+def planted(n, dim, seed):
+    """Unit vectors, and for each one another at a cosine from 0.90 to 0.92."""
+    draw = np.random.default_rng(seed)
+    x, y = (v / np.linalg.norm(v, axis=1, keepdims=True) for v in draw.standard_normal((2, n, dim)))
+    y -= (y * x).sum(axis=1, keepdims=True) * x
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    c = draw.uniform(0.901, 0.92, (n, 1))
+    return x, c * x + np.sqrt(1 - c * c) * y
+
+
+@pytest.mark.parametrize("pivots", [128, 900, 4000, 30_000])
+@pytest.mark.parametrize("dim", [32, 128])
+def test_recall_just_above_the_limit_at_any_number_of_pivots(pivots, dim):
+    # 4000 pivots are those of a million vectors, 30,000 of 56 million
+    points = planted(pivots, dim, 1)[0].astype(np.float32)
+    a, b = (embed_dedup._near(v, points) for v in planted(1000, dim, 2))
+    assert ((a[:, :, None] == b[:, None, :]).any(axis=2).sum(axis=1) >= 2).mean() >= 0.93
+
+
+def test_separated_points():
+    points = planted(700, 4, 3)[0]
+    kept = []
+    for x in points:
+        if all(x @ k < embed_dedup.APART for k in kept):
+            kept.append(x)
+    assert (embed_dedup._separated(points, 64) == np.array(kept)).all()
+
+
+def test_vectors_just_above_the_limit(spark, monkeypatch):
+    # near all vectors are pivots, as many as 400,000 vectors would have
+    monkeypatch.setattr(embed_dedup, "APART", 2.0)
+    monkeypatch.setattr(embed_dedup, "MOST_PIVOTS", 2600)
+    x, y = planted(1500, 48, 4)
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([x, y]))] + [(3000, [1.0] * 500), (3001, [1.0] * 499 + [1.5])]
+    links, component = brute_vectors(rows)
+    monkeypatch.setattr(embed_dedup, "sample_size", lambda n: 2600)
+    made = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sum(r["n_links"] for r in made) >= 0.9 * sum(links)
+    want = {k: (n, c) for (k, _), n, c in zip(rows, links, component, strict=True)}
+    assert all(r["n_links"] <= want[r["vec_id"]][0] for r in made)
+    assert [(r["n_links"], r["component_id"]) for r in made if r["vec_id"] >= 3000] == [(1, 3000)] * 2
+
+
 def test_vectors_of_the_table(spark):
     df = table(spark, MEDIUM, "embeddings")
     rows = [(r["vec_id"], r["embedding"]) for r in df.orderBy("vec_id").collect()]
