@@ -2,7 +2,8 @@
 
 Known licence texts and notices are put in a canonical form: lower case,
 equivalent spellings unified, copyright lines dropped, punctuation and runs of
-white space made one space.  The digest of the whole form is the key.  A
+white space made one space.  Known texts are built in, or given as a table, or read
+from a folder with a file a licence (``read_texts``).  The digest of the whole form is the key.  A
 document's whole text, and each of its lines and paragraphs as an entire text of its own, get
 the same treatment and are hash-joined to the known digests.
 
@@ -12,8 +13,10 @@ it again.
 
 Defined cases: null and empty texts match nothing; a text that is only
 punctuation or copyright lines has an empty form and matches nothing; repeated
-rows each get the result of their id; a null id never gets a match; an empty
-table gives an empty result.
+rows each get the result of their own text, also where an id has several; a
+text known under two names takes the smaller; a null id never gets a match;
+very long texts are taken whole; other columns are not read, whatever their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +28,9 @@ from pyspark.sql import functions as F
 SPELLINGS = (("licence", "license"), ("sub-licens", "sublicens"), ("non-commercial", "noncommercial"), ("organis", "organiz"), ("favour", "favor"), ("acknowledgement", "acknowledgment"),
              ("merchantibility", "merchantability"), ("copyright owner", "copyright holder"), ("&", " and "), ("https://", ""), ("http://", ""))
 VERSION = r"(?<![a-z])v(ersion|[.])? *(?=[0-9])"
-COPYRIGHT = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)([^a-z\n]|\(c\)|©)*[0-9]{4}[^\n]*$|^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
+#: a copyright line: a mark and a year, or "copyright" and a holder; what goes on from an earlier line of a licence ("copyright notice ...") is none
+COPYRIGHT = (r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)([^a-z\n]|\(c\)|©)*[0-9]{4}[^\n]*$|^[^a-z0-9\n]*all rights reserved[^a-z0-9\n]*$"
+             r"|^[^a-z0-9\n]*copyright(?![a-z])(?![^a-z0-9\n]*(notice|holder|owner|law|licen[cs]e|statement|interest|disclaimer|act|treat|and|or|in|to|is|as|for|of|the|protect)s?(?![a-z]))[^\n]*$")
 
 #: fixed values: licence notices and short licence texts
 _MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
@@ -67,6 +72,11 @@ def known_texts() -> list[tuple[str, str]]:
     return [(k, t) for k, texts in KNOWN.items() for t in texts] + [(k, f.format(n)) for k, names in NAMES.items() for n in names for f in FORMS]
 
 
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(license, text) of a folder that holds a file a licence, named after it."""
+    return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)([.]txt)?$", 1).alias("license"), F.col("value").alias("text"))
+
+
 def lowered(text: Column) -> Column:
     """Lower case, line ends unified."""
     return F.lower(F.replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")))
@@ -98,15 +108,17 @@ def scan(docs: DataFrame, known: DataFrame | None = None, text: str = "text", ke
     """Per row: key, license (of the whole text, else null), licenses (sorted, of its lines, paragraphs or whole), n_matches."""
     known = digests(docs.sparkSession, known)
     # a column for each step, so that no step is computed again for each use of its result
-    rows = docs.select(F.col(key).alias("key"), lowered(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("low"))
-    rows = rows.select("key", canonical_lines(F.col("low")).alias("body"))
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    rows = docs.select(F.col(key).alias("key"), F.md5(F.encode(body, "UTF-8")).alias("of"), lowered(body).alias("low"))
+    rows = rows.select("key", "of", canonical_lines(F.col("low")).alias("body"))
     rows = rows.withColumn("whole", one_line(F.col("body")))
     paragraphs = F.transform(F.split("body", r"\n *\n"), lambda x: F.trim(F.replace(x, F.lit("\n"), F.lit(" "))))
     paragraphs = F.transform(paragraphs, lambda x: F.regexp_replace(x, " +", " "))
     units = F.array_distinct(F.concat(F.array("whole"), paragraphs, F.transform(F.split("body", "\n"), lambda x: F.trim(x))))
-    units = rows.select("key", "whole", F.explode(F.filter(units, lambda x: F.length(x) > 0)).alias("unit"))
-    units = units.select("key", (F.col("unit") == F.col("whole")).alias("whole"), F.sha2(F.encode("unit", "UTF-8"), 256).alias("digest"))
-    hits = units.join(known, "digest").groupBy("key").agg(F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
+    units = rows.select("key", "of", "whole", F.explode(F.filter(units, lambda x: F.length(x) > 0)).alias("unit"))
+    units = units.select("key", "of", (F.col("unit") == F.col("whole")).alias("whole"), F.sha2(F.encode("unit", "UTF-8"), 256).alias("digest"))
+    # rows of one id and text have the same matches: one of them counts
+    hits = units.join(known, "digest").distinct().groupBy("key", "of").agg(F.max(F.when(F.col("whole"), F.col("license"))).alias("license"),
                                                          F.sort_array(F.collect_set("license")).alias("licenses"), F.count(F.lit(1)).alias("n_matches"))
-    out = docs.select(F.col(key).alias("key")).join(hits, "key", "left")
+    out = docs.select(F.col(key).alias("key"), F.md5(F.encode(body, "UTF-8")).alias("of")).join(hits, ["key", "of"], "left")
     return out.select(F.col("key").alias(key), "license", F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses"), F.coalesce("n_matches", F.lit(0)).cast("long").alias("n_matches"))

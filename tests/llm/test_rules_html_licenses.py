@@ -157,3 +157,18 @@ def test_license_scan(spark, empty):
     own = spark.createDataFrame([("own", "My own Licence!")], "license string, text string")
     assert [r["license"] for r in licenses.scan(spark.createDataFrame([(1, "my own license")], "doc_id long, text string"), own).collect()] == ["own"]
     assert docs.where(F.lit(True)).count() == 200
+
+
+def test_texts_of_an_id_and_copyright_lines(spark, tmp_path):
+    mit, isc = licenses.KNOWN["MIT"][1], licenses.KNOWN["ISC"][0]
+    heads = ["Copyright (c) Jane Doe", "Copyright <YEAR> <HOLDER>", "Copyright Jane Doe, 2020", "(c) 2001-2003 Jane Doe", "© 2020 J. Doe. All rights reserved.", "Copyright J. Doe and others"]
+    wrapped = mit.replace("The above copyright notice", "The above\ncopyright notice")
+    rows = [(1, "plain text"), (1, isc), (1, mit), (1, mit), *((10 + i, h + "\n" + mit) for i, h in enumerate(heads)), (20, wrapped)]
+    made = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r["license"] or "" for r in made if r["doc_id"] == 1) == ["", "ISC", "MIT", "MIT"]
+    assert [r["doc_id"] for r in made if r["doc_id"] >= 10 and r["license"] != "MIT"] == []
+    (tmp_path / "Own-1.0.txt").write_text("Copyright 2020 Me\nDo what you like, but keep this text.\n\nNo warranty.")
+    (tmp_path / "Other-2").write_text("Another text.")
+    known = licenses.read_texts(spark, str(tmp_path))
+    texts = [(1, "Copyright (c) You\ndo what you like but keep this\ntext\nno warranty"), (2, "another TEXT"), (3, "another")]
+    assert {r["doc_id"]: r["license"] for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string"), known).collect()} == {1: "Own-1.0", 2: "Other-2", 3: None}
