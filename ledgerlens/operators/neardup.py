@@ -19,7 +19,9 @@ smallest id meets the others: m copies cost m - 1 candidates and become one
 component.  Then only pairs of one key that lie in *different* components meet;
 a key with many such ids is dealt into parts and its parts meet two by two, so
 no task holds a hot key.  What it returns connects exactly the components that
-all links would.
+all links would.  ``all_links`` verifies every candidate and returns every link.
+Only pairs that share enough keys are verified, so a set travels for links, not
+for chance meetings.
 
 Document ids are unique.  Null and empty texts, and texts without words, have
 no set and are in no group.
@@ -52,28 +54,34 @@ def shingle_hashes(docs: DataFrame, id_col: str, text_col: str, shingle: int = S
 
 
 def collapsed(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored distinct sets (id, tokens), id being the smallest of each, and
-    members (id, rep) of all."""
+    """Distinct sets (id, tokens), id being the smallest of each, and stored
+    members (id, rep) of all.  The sets are written once and never shuffled:
+    which rows stay is decided on ids and digests, and the rest are left out as
+    the sets are read."""
     sets = cut_lineage(sets.withColumn("__d1", F.xxhash64("tokens")).withColumn("__d2", F.xxhash64(F.lit(1), "tokens")), "neardup-sets")
     reps = sets.groupBy("__d1", "__d2").agg(F.min("id").alias("rep"))
     members = cut_lineage(sets.select("id", "__d1", "__d2").join(reps, ["__d1", "__d2"]).select("id", "rep"), "neardup-members")
-    copies = members.where("id <> rep").select("id")
-    distinct = sets.select("id", "tokens").join(copies, "id", "left_anti").dropDuplicates(["id"])
-    return cut_lineage(distinct, "neardup-distinct"), members
+    copies = cut_lineage(members.where("id <> rep").select("id"), "neardup-copies")
+    kept = sets.select("id", "tokens").join(copies, "id", "left_anti")
+    # an id that comes twice stays once, and a null one
+    twice = cut_lineage(members.groupBy("id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(F.col("id").alias("__twice")), "neardup-twice")
+    same = F.col("id").eqNullSafe(F.col("__twice"))
+    once = cut_lineage(kept.join(twice, same, "left_semi").dropDuplicates(["id"]), "neardup-once")
+    return kept.join(twice, same, "left_anti").unionByName(once), members
 
 
 def band_postings(sets: DataFrame, bands: int = 12, rows: int = 4, seed: int = 42, tokens: str = "tokens", by: tuple = ()) -> DataFrame:
-    """(key, id, n) from (id, tokens): a key per band of the MinHash signature;
-    ``by``: further columns that must agree."""
+    """(key, id, n, rest) from (id, tokens): a key per band of the MinHash
+    signature; ``by``: further columns that must agree."""
     from pyspark.ml.feature import HashingTF, MinHashLSH
     # as wide as the hash family's prime allows: a width is no source of links, as candidates are verified
     tf = HashingTF(inputCol="__t", outputCol="__tf", numFeatures=1 << 30, binary=True)
     hashed = tf.transform(sets.select("id", *by, F.size(tokens).alias("n"), F.col(tokens).cast("array<string>").alias("__t"))).drop("__t")
     if not hashed.limit(1).count():
-        return hashed.select(F.lit(0).cast("long").alias("key"), "id", "n")
+        return hashed.select(F.lit(0).cast("long").alias("key"), "id", "n", F.col("n").alias("rest"))
     model = MinHashLSH(numHashTables=bands * rows, seed=seed, inputCol="__tf", outputCol="__h").fit(hashed)
     keys = F.array(*(F.xxhash64(F.lit(i), *by, F.slice("__h", i * rows + 1, rows)) for i in range(bands)))
-    return model.transform(hashed).select("id", "n", F.explode(keys).alias("key"))
+    return model.transform(hashed).select("id", "n", F.col("n").alias("rest"), F.explode(keys).alias("key"))
 
 
 def prefix_length(n, percent: int = PERCENT):
@@ -88,15 +96,22 @@ def frequent_tokens(sets: DataFrame, count: int = FREQUENT) -> list[int]:
 
 
 def prefix_postings(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(key, id, n) from stored (id, tokens): the prefix of each set."""
+    """(key, id, n, rest) from stored (id, tokens): the prefix of each set and
+    the number of tokens after it."""
     often = F.array(*map(F.lit, frequent_tokens(sets))).cast("array<bigint>")
     ordered = F.concat(F.array_except("tokens", often), F.array_intersect("tokens", often))
     n = F.size("tokens")
-    return sets.select("id", n.alias("n"), F.explode(F.slice(ordered, F.lit(1), prefix_length(n, percent))).alias("key"))
+    return sets.select("id", n.alias("n"), (n - prefix_length(n, percent)).alias("rest"),
+                       F.explode(F.slice(ordered, F.lit(1), prefix_length(n, percent))).alias("key"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, dist) of the pairs whose sets are at least ``percent`` alike (0: all pairs)."""
+    """(a, b, dist) of the pairs whose sets are at least ``percent`` alike (0:
+    all pairs).  The pairs are stored first, so that only sets that are in one
+    are dealt out to meet."""
+    pairs = cut_lineage(pairs, "neardup-pairs")
+    ids = cut_lineage(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), "neardup-ids")
+    sets = cut_lineage(sets.join(ids, "id", "left_semi"), "neardup-met")
     own = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     other = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
     both = pairs.join(own, "a").join(other, "b").withColumn("common", F.size(F.array_intersect("ta", "tb")))
@@ -105,28 +120,52 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
     return near.select("a", "b", (F.lit(1.0) - F.col("common") / union).alias("dist"))
 
 
+def sized(percent: int = PERCENT):
+    """Whether two sets of ``na`` and ``nb`` tokens can be ``percent`` alike."""
+    return 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+
+
+def candidates(rows: DataFrame, apart, percent: int = PERCENT, part_ids: int = PART_IDS) -> DataFrame:
+    """(a, b) of rows (key, id, n, rest, component, k) that share a key, a < b,
+    for which ``apart`` holds and whose keys leave room for enough common
+    tokens.  Of two prefixes the one that ends first holds every common token up
+    to there, so two sets have at most as many as they share keys and the
+    larger ``rest`` together (bands have all their tokens as rest).  ``k``: the
+    rows of the key; a key of many is dealt into parts that meet two by two."""
+    rows = rows.withColumn("parts", F.ceil(F.col("k") / part_ids).cast("int"))
+    part, every = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    left = rows.select("key", part.alias("p"), every.alias("q"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("rest").alias("ra"), F.col("component").alias("ga"))
+    right = rows.select("key", every.alias("p"), part.alias("q"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("rest").alias("rb"), F.col("component").alias("gb"))
+    met = left.join(right, ["key", "p", "q"]).where(F.expr("a < b") & apart).where(sized(percent))
+    shared = met.groupBy("a", "b").agg(F.count(F.lit(1)).alias("keys"), F.max(F.greatest("ra", "rb")).alias("rest"), F.max(F.col("na") + F.col("nb")).alias("total"))
+    return shared.where((F.col("keys") + F.col("rest")) * (100 + percent) >= percent * F.col("total")).select("a", "b")
+
+
 def linked(postings: DataFrame, sets: DataFrame, percent: int = PERCENT, part_ids: int = PART_IDS) -> DataFrame:
     """Stored links (a, b, dist) among candidates that share a key, enough to
     connect every component of all of them."""
-    postings = cut_lineage(postings.select("key", "id", "n"), "neardup-postings")
-    sized = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    postings = cut_lineage(postings.select("key", "id", "n", "rest"), "neardup-postings")
     keys = postings.groupBy("key").agg(F.min(F.struct("id", "n")).alias("c"), F.count(F.lit(1)).alias("k")).where("k > 1")
     keys = cut_lineage(keys.select("key", F.col("c.id").alias("a"), F.col("c.n").alias("na")), "neardup-keys")
     shared = cut_lineage(postings.join(keys, "key").withColumnRenamed("id", "b").withColumnRenamed("n", "nb"), "neardup-shared")
-    stars = shared.where("a <> b").where(sized).select("a", "b").distinct()
+    stars = shared.where("a <> b").where(sized(percent)).select("a", "b").distinct()
     first = cut_lineage(verified(stars, sets, percent), "neardup-links")
     group = components(first).select(F.col("node").alias("id"), "component")
-    rest = shared.select("key", F.col("b").alias("id"), F.col("nb").alias("n")).join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    rest = shared.select("key", F.col("b").alias("id"), F.col("nb").alias("n"), "rest").join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
     rest = cut_lineage(rest, "neardup-rest")
     mixed = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("k")).where("lo < hi")
-    rest = rest.join(mixed.select("key", F.ceil(F.col("k") / part_ids).cast("int").alias("parts")), "key")
-    part, every = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = rest.select("key", part.alias("p"), every.alias("q"), F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ga"))
-    right = rest.select("key", every.alias("p"), part.alias("q"), F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("gb"))
-    pairs = left.join(right, ["key", "p", "q"]).where("a < b and ga <> gb").where(sized).select("a", "b").distinct()
+    pairs = candidates(rest.join(mixed.select("key", "k"), "key"), F.expr("ga <> gb"), percent, part_ids)
     return cut_lineage(first.unionByName(verified(pairs, sets, percent)), "neardup-links")
 
 
+def all_links(postings: DataFrame, sets: DataFrame, percent: int = PERCENT, part_ids: int = PART_IDS) -> DataFrame:
+    """Stored links (a, b, dist), a < b: every one among candidates that share a key."""
+    postings = cut_lineage(postings.select("key", "id", "n", "rest"), "neardup-postings")
+    keys = postings.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    shared = cut_lineage(postings.join(keys, "key").withColumn("component", F.col("id")), "neardup-shared")
+    return cut_lineage(verified(candidates(shared, F.lit(True), percent, part_ids), sets, percent), "neardup-links")
+
+
 def groups(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
     """(doc, representative, dist) of every document that has one: the smallest
     id of its component, and the distance of the two sets."""
@@ -148,3 +187,21 @@ def exact_near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle:
     """The same groups, none missed."""
     sets, members = collapsed(shingle_hashes(docs, id_col, text_col, shingle))
     return groups(members, sets, linked(prefix_postings(sets, percent), sets, percent))
+
+
+def exact_links(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """(doc, representative, dist, n_links) of every document: the smallest id
+    that links reach, the distance of the two sets, and how many other documents
+    it links with directly, copies included.  Every pair of different sets that
+    links is found and verified; copies count by their number."""
+    sets, members = collapsed(shingle_hashes(docs, id_col, text_col, shingle))
+    links = all_links(prefix_postings(sets, percent), sets, percent)
+    size = cut_lineage(members.groupBy("rep").agg(F.count(F.lit(1)).alias("size")), "neardup-sizes")
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    other = both.join(size.select(F.col("rep").alias("b"), "size"), "b").groupBy(F.col("a").alias("rep")).agg(F.sum("size").alias("others"))
+    n_links = size.join(other, "rep", "left").select("rep", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    near = groups(members, sets, links).withColumnRenamed("doc", "id").dropDuplicates(["id", "representative"])
+    with_words = members.join(n_links, "rep").join(near, "id", "left").select(
+        F.col("id").alias("doc"), F.coalesce("representative", "id").alias("representative"), F.coalesce("dist", F.lit(0.0)).alias("dist"), "n_links")
+    none = docs.select(F.col(id_col).alias("doc"), F.coalesce(F.size(words(text_col)), F.lit(0)).alias("w")).where("w <= 0")
+    return with_words.unionByName(none.select("doc", F.col("doc").alias("representative"), F.lit(0.0).alias("dist"), F.lit(0).cast("long").alias("n_links")))
