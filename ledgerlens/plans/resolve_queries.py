@@ -393,10 +393,13 @@ def fuzzy_lsh_check(spark: SparkSession, d: str) -> DataFrame:
 @register("doc_near_dup")
 def doc_near_dup(spark: SparkSession, d: str) -> DataFrame:
     """Near-duplicate documents by banded MinHash over word 5-shingles of the
-    whole texts: doc_id, representative, dist (approximate: ``doc_near_dup_check``
-    holds it against the exact groups)."""
+    whole texts: per document its class, named by the smallest id, and their
+    distance (approximate: ``doc_near_dup_check`` holds it against the exact
+    groups)."""
     docs = table(spark, d, "documents")
-    return neardup.near_duplicates(docs, "doc_id", "text").select(F.col("doc").alias("doc_id"), "representative", F.round("dist", 6).alias("dist"))
+    near = neardup.near_duplicates(docs, "doc_id", "text").withColumnRenamed("doc", "doc_id").dropDuplicates(["doc_id", "representative"])
+    return docs.select("doc_id").join(near, "doc_id", "left").select(
+        "doc_id", F.coalesce("representative", "doc_id").alias("representative"), F.round(F.coalesce("dist", F.lit(0.0)), 6).alias("dist"))
 
 
 _NEAR_SQL = """
@@ -417,17 +420,34 @@ near AS (SELECT g.doc_id, g.representative, len(list_intersect(g.sh, m.sh)) AS c
 """
 
 
-@register("doc_near_dup_exact", sql=f"""
-WITH RECURSIVE {_NEAR_SQL}
-SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(representative AS BIGINT) AS representative,
-       round(1.0 - CAST(common AS DOUBLE) / CAST(total - common AS DOUBLE), 6) AS dist FROM near
+@register("doc_near_dup_exact", sql="""
+WITH RECURSIVE sh AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1),
+         lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS sh
+       FROM (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '\\s+'), lambda x: length(x) > 0) AS w
+             FROM documents)),
+member AS (SELECT doc_id, sh, CASE WHEN len(sh) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY list_sort(sh)) END AS rep FROM sh),
+class AS (SELECT rep, count(*) AS size FROM member GROUP BY 1),
+tok AS (SELECT doc_id, len(sh) AS s, unnest(sh) AS t FROM member WHERE doc_id = rep),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b FROM tok a JOIN tok b ON a.t = b.t AND a.doc_id <> b.doc_id
+          GROUP BY 1, 2 HAVING 100 * count(*) >= 75 * (any_value(a.s) + any_value(b.s) - count(*))),
+others AS (SELECT p.a AS rep, sum(c.size) AS n FROM pairs p JOIN class c ON c.rep = p.b GROUP BY 1),
+reach(a, b) AS (SELECT a, b FROM pairs UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+least_of AS (SELECT a AS rep, min(b) AS b FROM reach GROUP BY 1),
+grp AS (SELECT m.doc_id, m.sh, least(m.rep, coalesce(l.b, m.rep)) AS representative, c.size - 1 + coalesce(o.n, 0) AS n_links
+        FROM member m JOIN class c USING (rep) LEFT JOIN others o USING (rep) LEFT JOIN least_of l USING (rep))
+SELECT CAST(g.doc_id AS BIGINT) AS doc_id, CAST(g.representative AS BIGINT) AS representative,
+       CASE WHEN len(g.sh) = 0 THEN 0.0 ELSE round(1.0 - CAST(len(list_intersect(g.sh, m.sh)) AS DOUBLE)
+            / CAST(len(g.sh) + len(m.sh) - len(list_intersect(g.sh, m.sh)) AS DOUBLE), 6) END AS dist,
+       CAST(g.n_links AS BIGINT) AS n_links
+FROM grp g JOIN member m ON m.doc_id = g.representative
 """)
 def doc_near_dup_exact(spark: SparkSession, d: str) -> DataFrame:
-    """Exact near-duplicate groups (word 5-shingle similarity of 0.75 or more)
-    by the prefix-filtered set-similarity join: every document that has a
-    smaller one in its group, and their distance."""
+    """Every link between documents by word 3-shingle similarity of 0.75 or more,
+    by the prefix-filtered set-similarity join: per document its class (the
+    smallest id that links reach), their distance, and its number of links."""
     docs = table(spark, d, "documents")
-    return neardup.exact_near_duplicates(docs, "doc_id", "text").select(F.col("doc").alias("doc_id"), "representative", F.round("dist", 6).alias("dist"))
+    return neardup.exact_links(docs, "doc_id", "text", shingle=3).select(F.col("doc").alias("doc_id"), "representative", F.round("dist", 6).alias("dist"), "n_links")
 
 
 @register("doc_near_dup_check", sql=f"""
@@ -438,7 +458,9 @@ def doc_near_dup_check(spark: SparkSession, d: str) -> DataFrame:
     """Banded MinHash against the exact groups over all documents: no group
     joins documents that the exact ones keep apart, and at least nine tenths of
     the documents with a representative have one."""
-    lsh, exact = cut_lineage(doc_near_dup(spark, d), "lsh-groups"), cut_lineage(doc_near_dup_exact(spark, d), "exact-groups")
+    docs = table(spark, d, "documents")
+    whole = neardup.exact_near_duplicates(docs, "doc_id", "text").select(F.col("doc").alias("doc_id"), "representative")
+    lsh, exact = cut_lineage(doc_near_dup(spark, d).where("doc_id <> representative"), "lsh-groups"), cut_lineage(whole, "exact-groups")
     group = exact.select("doc_id", F.col("representative").alias("g"))
     both = (lsh.join(group, "doc_id", "left").withColumn("g", F.coalesce("g", "doc_id"))
                .join(group.select(F.col("doc_id").alias("representative"), F.col("g").alias("h")), "representative", "left")
