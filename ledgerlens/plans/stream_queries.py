@@ -15,6 +15,9 @@ from ledgerlens.streaming import logstore
 #: document ids repeat: event_id mod nine tenths of the events, so the ids grow with the table
 ID_SPACE_SQL = "(SELECT greatest(1, 9 * count(*) // 10) FROM events)"
 ROWS_PER_FILE = 1_000_000
+#: batches of the removing streams, and the rows of a file of theirs: a gzip
+#: file is read by one task, so a batch of more rows is more files
+BATCHES, BATCH_FILE_ROWS = 9, 100_000
 
 EVENT_DOC_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("doc_id", T.LongType()),
@@ -140,9 +143,15 @@ SELECT * EXCLUDE (rn) FROM (
 """
 
 
-def _removing_stream(spark: SparkSession, src: str, target: str, **layout) -> None:
-    """One load of the event files, a file a batch, with removals."""
-    s = ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon", max_files_per_trigger=1)
+def _batched_events(spark: SparkSession, d: str) -> tuple[str, int]:
+    """Event files for the removing streams, and how many make one of their batches."""
+    each = max(1, -(-table(spark, d, "events").count() // (BATCHES * BATCH_FILE_ROWS)))
+    return write_event_json(spark, d, least_files=BATCHES * each), each
+
+
+def _removing_stream(spark: SparkSession, src: str, target: str, files: int, **layout) -> None:
+    """One load of the event files, ``files`` a batch, with removals."""
+    s = ig.ingest_json(spark, src, EVENT_DOC_SCHEMA, id_col="doc_id", lat="lat", lon="lon", max_files_per_trigger=files)
     ig.upsert_stream(s, target, "doc_id", ["ts", "value", "event_id"], scratch_path(spark, "log-ckpt"), deleted=F.col("event_type") == REMOVES, **layout)
 
 
@@ -151,8 +160,8 @@ def stream_compacted(spark: SparkSession, d: str) -> DataFrame:
     """K6 + ST3 with removals, compaction and growing buckets: nine batches,
     two segments a tier, so merges of several tiers run and tombstones live on
     in them until a merge of all segments."""
-    src, target = write_event_json(spark, d, least_files=9), scratch_path(spark, "log")
-    _removing_stream(spark, src, target, fanout=2, buckets=1, bucket_rows=500)
+    (src, files), target = _batched_events(spark, d), scratch_path(spark, "log")
+    _removing_stream(spark, src, target, files, fanout=2, buckets=1, bucket_rows=500)
     return _flat(logstore.read(spark, target))
 
 
@@ -166,8 +175,8 @@ def stream_log_costs(spark: SparkSession, d: str) -> DataFrame:
     final rows: a delta holds at most its batch; a row is merged at most once a
     tier; buckets double; full compaction, a replayed load and vacuum change no
     row; point look-ups agree."""
-    src, target = write_event_json(spark, d, least_files=9), scratch_path(spark, "log-costs")
-    _removing_stream(spark, src, target, fanout=2, buckets=1, bucket_rows=500)
+    (src, files), target = _batched_events(spark, d), scratch_path(spark, "log-costs")
+    _removing_stream(spark, src, target, files, fanout=2, buckets=1, bucket_rows=500)
     n = table(spark, d, "events").count()
     log = logstore.manifests(spark, target).agg(F.sum("appended").alias("appended"), F.sum("merged").alias("merged"), F.max("version").alias("last")).first()
     tiers = logstore.segments(spark, target).agg(F.max("tier").alias("t"), F.max("buckets").alias("b")).first()
@@ -177,7 +186,7 @@ def stream_log_costs(spark: SparkSession, d: str) -> DataFrame:
         return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("event_id").alias("event_sum"), F.sum(F.xxhash64(*rows.columns).cast("decimal(20,0)")).alias("hash")).first()
 
     before = digest()
-    _removing_stream(spark, src, target, fanout=2, buckets=1, bucket_rows=500)
+    _removing_stream(spark, src, target, files, fanout=2, buckets=1, bucket_rows=500)
     replayed = digest()
     logstore.compact(spark, target, F.lit(True), bucket_rows=500)
     compacted = digest()

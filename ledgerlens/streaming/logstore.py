@@ -18,7 +18,9 @@ caller says no late row can precede (those before a watermark, say).
 Merged segments are laid out in hash buckets, ``2 ** k`` of them.  A bucket is
 a range of the key hash, so doubling cuts every bucket in two and leaves older
 segments readable beside newer ones; the count grows with the rows and is
-stored with each segment.
+stored with each segment.  A file holds whole buckets, in order, and as many as
+make a file of fair size, so files do not multiply with buckets; a look-up
+skips by the bounds of bucket and hash that files keep per row group and page.
 
 A version is committed by its manifest: one row with the live segments, the
 key, the order and, per stream, the last epoch it holds.  A replayed epoch is
@@ -168,7 +170,7 @@ def _merge(spark: SparkSession, target: str, state: State, own: list[Segment], t
     buckets = _grown(max([buckets, *(s.buckets for s in state.segments)]), sum(s.rows for s in own), bucket_rows)
     path = f"{target.rstrip('/')}/data/{state.version:012d}-t{tier}-{uuid.uuid4().hex[:8]}"
     laid = rows.withColumn(BUCKET, bucket_of(buckets)).repartition(BUCKET).sortWithinPartitions(BUCKET, HASH, state.key)
-    laid.write.partitionBy(BUCKET).parquet(path)
+    laid.write.parquet(path)
     n = spark.read.schema(laid.schema).parquet(path).count()
     left = tuple(s for s in state.segments if s not in own)
     made = (Segment(path, tier, n, buckets),) if n else ()

@@ -64,3 +64,22 @@ def test_only_sets_that_may_link_are_verified(spark, monkeypatch):
     assert neardup.all_links(neardup.prefix_postings(sets), sets).count() == 0
     assert [n for name, n in met if name == "neardup-shared"][0] > 0
     assert [n for name, n in met if name == "neardup-met"] == [0]
+
+
+def test_files_of_a_segment_do_not_multiply_with_its_buckets(spark):
+    from ledgerlens.streaming import logstore
+    target = scratch_path(spark, "log-files")
+    layout = {"fanout": 2, "buckets": 1, "bucket_rows": 5}
+    for i in range(2):
+        rows = spark.range(i * 400, i * 400 + 500).select(F.col("id").cast("string").alias("k"), F.lit(i).cast("long").alias("t"), F.col("id").alias("v"))
+        logstore.upsert(spark, target, rows, "k", ["t"], ("s", i), **layout)
+    (only,) = logstore.newest(spark, target).segments
+    assert only.buckets >= 128 and only.rows == 900
+    files = [x for x in children(spark, only.path) if x.endswith(".parquet")]
+    assert 1 <= len(files) <= 16 and not [x for x in children(spark, only.path) if x.startswith(logstore.BUCKET)]
+    # a file holds whole buckets, in order
+    for f in files:
+        rows = spark.read.parquet(f"{only.path}/{f}").select(logstore.BUCKET, logstore.HASH).collect()
+        assert [r[1] for r in rows] == sorted(r[1] for r in rows) and all(r[1] * only.buckets >> logstore.HASH_BITS == r[0] for r in rows)
+    assert {(r.k, r.t) for r in logstore.lookup(spark, target, ["3", "450", "899", "none"]).collect()} == {("3", 0), ("450", 1), ("899", 1)}
+    assert logstore.read(spark, target).count() == 900
