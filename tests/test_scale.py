@@ -83,3 +83,24 @@ def test_files_of_a_segment_do_not_multiply_with_its_buckets(spark):
         assert [r[1] for r in rows] == sorted(r[1] for r in rows) and all(r[1] * only.buckets >> logstore.HASH_BITS == r[0] for r in rows)
     assert {(r.k, r.t) for r in logstore.lookup(spark, target, ["3", "450", "899", "none"]).collect()} == {("3", 0), ("450", 1), ("899", 1)}
     assert logstore.read(spark, target).count() == 900
+
+
+def test_stored_rows_are_read_in_bounded_parts(spark, monkeypatch):
+    from ledgerlens.operators import ml
+    from ledgerlens.session import cut_lineage
+    name = "spark.sql.files.minPartitionNum"
+    monkeypatch.setattr(ml, "PART_ROWS", 1000)
+    old, cost = spark.conf.get(name, None), spark.conf.get("spark.sql.files.openCostInBytes")
+    t = cut_lineage(spark.range(30000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).coalesce(1), "fine", **{"parquet.block.size": "65536"})
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        with ml.fine_splits(spark, 30000):
+            again = spark.read.parquet(t.inputFiles()[0])
+            sizes = [r["count"] for r in again.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+            assert ml.partitions(again) >= 30
+        assert max(sizes) < 6000 and sum(sizes) == 30000
+        with ml.fine_splits(spark, 500):
+            assert spark.conf.get(name, None) == old
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+    assert spark.conf.get(name, None) == old
