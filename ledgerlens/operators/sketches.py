@@ -11,9 +11,11 @@ nothing is read twice.  ``compact`` folds the appended rows into one per
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType
+from pyspark.sql.types import BinaryType, DateType, IntegerType, LongType, StringType
 
 from ledgerlens.operators.profile import _to_long
 from ledgerlens.session import cut_lineage
@@ -64,11 +66,17 @@ def compact_profile(spark: SparkSession, path: str, out: str) -> None:
 
 
 def exact_distinct(df: DataFrame, cols=None) -> DataFrame:
-    """(column_name, exact_distinct): every column's values unpivoted and
-    grouped once; what the sketches are held against."""
-    cols = list(cols or df.columns)
-    values = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols))).alias("kv")).select("kv.*")
-    return values.where("value is not null").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("exact_distinct"))
+    """(column_name, exact_distinct): what the sketches are held against.  Each
+    column is grouped by itself, read alone from a stored table, and whole
+    numbers, dates and texts as they are; columns without a value have no row."""
+    out = []
+    for c in list(cols or df.columns):
+        value = F.col(f"`{c}`")
+        if not isinstance(df.schema[c].dataType, (IntegerType, LongType, StringType, DateType)):
+            value = value.cast("string")
+        own = df.select(value.alias("value")).where("value is not null").distinct()
+        out.append(own.agg(F.count(F.lit(1)).alias("exact_distinct")).select(F.lit(c).alias("column_name"), "exact_distinct").where("exact_distinct > 0"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def profile_distinct(df: DataFrame, cols=None) -> DataFrame:

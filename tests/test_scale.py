@@ -104,3 +104,11 @@ def test_stored_rows_are_read_in_bounded_parts(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", cost)
     assert spark.conf.get(name, None) == old
+
+
+def test_exact_distinct_reads_columns_apart(spark):
+    from ledgerlens.operators import sketches as sk
+    df = spark.createDataFrame([(1, "a", 0.0, None), (1, None, -0.0, None), (2, "b", 0.0, None)], "i long, s string, x double, none string")
+    out = sk.exact_distinct(df)
+    assert {r.column_name: r.exact_distinct for r in out.collect()} == {"i": 2, "s": 2, "x": 2}
+    assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
