@@ -60,7 +60,7 @@ def tx(spark: SparkSession, d: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, data_signature(spark, d))
     if key not in _LEDGERS:
         path = scratch_path(spark, "ledger")
-        tx_plan(spark, d).write.parquet(path)
+        tx_plan(spark, d).write.option("compression", "zstd").parquet(path)
         _LEDGERS[key] = path
     return spark.read.parquet(_LEDGERS[key])
 

@@ -10,7 +10,7 @@ def write_split(df: DataFrame, flag_col: str, path: str, mode: str = "overwrite"
     """One computed table, one write, split into ``flag=true``/``flag=false``
     directories (K1).  Readers filtering on the flag prune whole directories;
     the table is computed once, so no cache is needed."""
-    df.write.mode(mode).partitionBy(flag_col).parquet(path)
+    df.write.mode(mode).option("compression", "zstd").partitionBy(flag_col).parquet(path)
     return path
 
 

@@ -112,3 +112,11 @@ def test_exact_distinct_reads_columns_apart(spark):
     out = sk.exact_distinct(df)
     assert {r.column_name: r.exact_distinct for r in out.collect()} == {"i": 2, "s": 2, "x": 2}
     assert "Generate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_files_are_compressed_well(spark):
+    from ledgerlens.sources.sinks import read_split, write_split
+    df = spark.range(1000).select("id", (F.col("id") % 2 == 0).alias("even"))
+    path = write_split(df, "even", scratch_path(spark, "split"))
+    assert all(f.endswith(".zstd.parquet") or ".zstd." in f for f in read_split(spark, path, "even").inputFiles())
+    assert read_split(spark, path, "even").where("even").count() == 500
