@@ -46,6 +46,8 @@ CENTRES = 16
 BITS, FAN = 1024, 8
 MOST_WORDS = 400_000
 BROADCAST_ROWS = 1_000_000
+#: bytes of a group after which its worker gives memory back
+LARGE_GROUP = 4 << 20
 
 
 class _Hashes(dict):
@@ -83,6 +85,19 @@ def entity(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
+def _returning(run):
+    """Of a group's function: after a large group the worker gives back what it
+    took, for the stages that follow."""
+    def group(table: pa.Table) -> pa.Table:
+        large = table.nbytes > LARGE_GROUP
+        try:
+            return run(table)
+        finally:
+            if large:
+                give_back()
+    return group
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     try:
         for batch in batches:
@@ -93,6 +108,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     names.append(entity(s) if len(s) else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(names, pa.int64())], names=["key", "n", "entity"])
     finally:
+        _HASHES.clear()
         give_back()
 
 
@@ -288,19 +304,19 @@ def block_links(sets: DataFrame, part_tokens: int = PART_TOKENS) -> DataFrame:
     placed = sets.withColumn("part", F.pmod(F.xxhash64("entity"), F.col("parts")))
     large = sized.where("parts > 1")
     if not large.limit(1).count():
-        return stored(placed.groupBy("block", "part").applyInArrow(_join_part, links), "join-links")
+        return stored(placed.groupBy("block", "part").applyInArrow(_returning(_join_part), links), "join-links")
     by_hash = Window.partitionBy("block").orderBy(F.xxhash64("entity"))
     centre = sets.where("parts > 1").select("block", "entity").withColumn("k", F.row_number().over(by_hash)).where(f"k <= {CENTRES}").select("block", "entity")
     everywhere = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1))
     centres = sets.join(centre, ["block", "entity"], "left_semi").withColumn("part", everywhere)
-    first = stored(placed.unionByName(centres).groupBy("block", "part").applyInArrow(_join_part, links), "join-links")
+    first = stored(placed.unionByName(centres).groupBy("block", "part").applyInArrow(_returning(_join_part), links), "join-links")
     found = components(first).select(F.col("node").alias("entity"), F.col("component").alias("found"))
     again = stored(sets.where("parts > 1").join(found, "entity", "left").withColumn("label", F.coalesce("found", "entity")).drop("found"), "join-again")
     main = again.groupBy("block", "label").agg(F.count(F.lit(1)).alias("k")).groupBy("block").agg(F.max(F.struct("k", "label")).alias("x"), F.count(F.lit(1)).alias("left"))
     again = again.join(main.where("left > 1").select("block", F.col("x.label").alias("main")), "block")
     spread = again.where("label <> main").withColumn("part", everywhere).unionByName(
         again.where("label = main").withColumn("part", F.pmod(F.xxhash64("entity"), F.col("parts"))))
-    second = spread.groupBy("block", "part").applyInArrow(_join_part, links)
+    second = spread.groupBy("block", "part").applyInArrow(_returning(_join_part), links)
     return stored(first.unionByName(second), "join-links")
 
 
@@ -312,8 +328,8 @@ def join(docs: DataFrame, text: str = "text", key: str = "doc_id", part_tokens:
     tokens = sets.agg(F.sum("n")).first()[0] or 0
     parts = 1 + tokens // TASK_TOKENS
     packed = rows.select("text").mapInArrow(_deal(parts), "part int, entities binary, sizes binary, many binary, low binary")
-    shared = packed.groupBy("part").applyInArrow(_shared(parts), "bucket int, part int, entities binary, sizes binary, many binary, low binary, grade binary")
-    prefixes = stored(shared.groupBy("bucket").applyInArrow(_prefixes, "token long, entity long"), "join-prefixes")
+    shared = packed.groupBy("part").applyInArrow(_returning(_shared(parts)), "bucket int, part int, entities binary, sizes binary, many binary, low binary, grade binary")
+    prefixes = stored(shared.groupBy("bucket").applyInArrow(_returning(_prefixes), "token long, entity long"), "join-prefixes")
     least = prefixes.groupBy("token").agg(F.min("entity").alias("first"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     edges = prefixes.join(least, "token").where("entity <> first").select(F.col("entity").alias("a"), F.col("first").alias("b"))
     blocks = stored(components(edges).select(F.col("node").alias("entity"), F.col("component").alias("block")), "join-members")

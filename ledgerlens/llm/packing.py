@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import numbered, stored
+from ledgerlens.llm.common import give_back, numbered, stored
 
 MOST_WORDS, LASTING = 400_000, 200_000
 #: a run of letters that lower-casing and composition leave a run of letters, then ASCII punctuation without apostrophe:
@@ -85,6 +85,8 @@ _WORDS: dict[str, WordIds] = {}
 
 def _pieces(path: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the worker may hold what an earlier stage has freed
+        give_back()
         known = _WORDS.get(path) or _WORDS.setdefault(path, WordIds(path))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:

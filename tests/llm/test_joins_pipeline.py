@@ -260,3 +260,23 @@ def test_pipeline_cases(spark, docs, empty):
             at = stage(spark, at, SMALL).cache()
             assert at.columns == start.columns
         P.STAGES[-1][1](spark, at, SMALL).collect()
+
+
+def test_workers_give_memory_back_between_stages(monkeypatch):
+    """Pipeline: packing starts with what the join's workers have freed, and large groups of the join give back theirs."""
+    import pyarrow as pa
+    from ledgerlens.llm import ngram_join, packing
+    from ledgerlens.llm.queries import tokenizer_path
+    given = []
+    monkeypatch.setattr(packing, "give_back", lambda: given.append("packing"))
+    monkeypatch.setattr(ngram_join, "give_back", lambda: given.append("join"))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["one two"])], names=["key", "text"])
+
+    def batches():
+        assert given == ["packing"]  # before the first rows are read
+        yield batch
+    assert next(packing._pieces(tokenizer_path("word_bpe_49k.json"), 1, 4096)(batches())).num_rows == 1
+    same = ngram_join._returning(lambda table: table)
+    small, large = pa.table({"x": [1]}), pa.table({"x": range(ngram_join.LARGE_GROUP // 8 + 1)})
+    assert same(small) is small and given == ["packing"]
+    assert same(large) is large and given == ["packing", "join"]
