@@ -32,11 +32,12 @@ DOC_COLS = ["doc_id", "order_key", "line_no", "part_key", "cust_key", "tx_date",
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    """The exported document table: ledger + population + coordinates."""
-    t = tx_with_population(spark, d)
-    t = t.withColumn("doc_id", F.concat_ws("-", "order_key", "line_no", "part_key", "supp_key")) \
+    """The exported document table: ledger + population + coordinates.  The
+    texts put together from other columns come after the joins: large tables
+    shuffle there."""
+    e = db.export_documents(tx_with_population(spark, d), fx.geo(spark, d), "cust_key")
+    e = e.withColumn("doc_id", F.concat_ws("-", "order_key", "line_no", "part_key", "supp_key")) \
          .withColumn("state_county", F.concat("region", F.lit("/"), "nation"))
-    e = db.export_documents(t, fx.geo(spark, d), "cust_key")
     return e.select(*DOC_COLS)
 
 

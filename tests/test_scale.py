@@ -1,7 +1,10 @@
 """Steps that must stay bounded as tables grow, and whole results of the joins
 on pairs; every test builds its own rows."""
 
+import gzip
 import random
+import zlib
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -120,3 +123,91 @@ def test_split_files_are_compressed_well(spark):
     path = write_split(df, "even", scratch_path(spark, "split"))
     assert all(f.endswith(".zstd.parquet") or ".zstd." in f for f in read_split(spark, path, "even").inputFiles())
     assert read_split(spark, path, "even").where("even").count() == 500
+
+
+@pytest.fixture
+def ledger_tables(spark, tmp_path):
+    """Small ledger tables with null keys and texts, repeated keys, and rows that meet none."""
+    rows = {
+        "region": ("r_regionkey int, r_name string", [(0, "R0"), (1, "R1")]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(0, "N0", 0), (1, "N1", 1), (2, "N2", 7)]),
+        "customer": ("c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+                     [(i, f"c{i}", i % 3, 1.0 * i, "S\"é\\" if i % 2 else None) for i in range(9)] + [(1, "again", 0, 0.0, "T"), (None, "x", 1, 0.0, "S")]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+                 [(i, f"red  ink {i}", f"b{i % 2}", None if i == 4 else f"t{i}", i * 2, 1.5) for i in range(6)] + [(2, "twice", "b9", "t9", None, 2.0)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+                   [(i, None if i == 5 else i % 11, "O", 2.0, None, "1") for i in range(14)] + [(3, 1, "F", 2.0, None, "2")]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                     "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+                     [(None if i == 7 else i % 16, i % 7, None if i % 5 == 0 else i, i % 4, None if i == 8 else i / 3, 1e10 / (i + 1), 0.0, 0.0, "N", "O",
+                       None if i == 9 else datetime(1994 + i % 10, 1 + i % 12, 28)) for i in range(60)] * 2),
+    }
+    for name, (schema, data) in rows.items():
+        spark.createDataFrame(data, schema).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """As for tables too large to be broadcast."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {n: spark.conf.get(n, None) for n in names}
+    for n in names:
+        spark.conf.set(n, "-1")
+    yield
+    for n, v in old.items():
+        spark.conf.set(n, v) if v else spark.conf.unset(n)
+
+
+def _under(df, what):
+    """The parts of the plan that feed an operator whose line has ``what``."""
+    lines = [(len(x) - len(x.lstrip(" :+-")), x) for x in df._jdf.queryExecution().executedPlan().toString().splitlines()]
+    for i, (depth, line) in enumerate(lines):
+        if what in line:
+            below = next((j for j in range(i + 1, len(lines)) if lines[j][0] <= depth), len(lines))
+            yield "\n".join(x for _, x in lines[i + 1:below])
+
+
+def test_exported_documents_are_whole_without_broadcasts(spark, ledger_tables, no_broadcast):
+    import duckdb
+
+    import __spark_entry__ as E
+    from oracle_check import rows_of
+    con = duckdb.connect()
+    for t in ("region", "nation", "customer", "part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{ledger_tables}/{t}.parquet/*.parquet')")
+    for name in ("export_json_roundtrip", "export_documents"):
+        want = con.execute(E.oracle_sql()[name])
+        cols = [c[0] for c in want.description]
+        got = E.queries()[name](spark, ledger_tables).select(*cols).collect()
+        want = want.fetchall()
+        assert len(got) == len(want) > 40 and rows_of(cols, got) == rows_of(cols, want)
+
+
+def test_lines_are_not_shuffled_by_customer_for_the_ledger(spark, ledger_tables, no_broadcast):
+    from ledgerlens.plans import fixtures as fx
+    plan = fx.tx_plan(spark, ledger_tables)
+    by_part, = _under(plan, "Exchange hashpartitioning(l_partkey")
+    assert "l_quantity" in by_part and "n_name" not in by_part and "r_name" not in by_part
+    by_customer = list(_under(plan, "Exchange hashpartitioning(o_custkey"))
+    assert by_customer and not any("l_quantity" in x for x in by_customer)
+
+
+def test_texts_of_documents_are_made_after_their_shuffle(spark, ledger_tables, no_broadcast):
+    from ledgerlens.plans.dashboard_queries import docs
+    plan = docs(spark, ledger_tables)
+    by_customer = list(_under(plan, "Exchange hashpartitioning(cust_key"))
+    assert any("quantity" in x for x in by_customer) and not any("concat" in x for x in by_customer)
+    assert "concat_ws" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_gzip_json_files_are_bounded_and_fast(spark):
+    from ledgerlens.sources.sinks import write_json_gz
+    df = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"), F.lit("the same words again and again").alias("y")).coalesce(1)
+    path = write_json_gz(df, scratch_path(spark, "json-gz"), rows_per_file=2000)
+    files = [f"{path}/{x}" for x in children(spark, path) if x.endswith(".json.gz")]
+    raw = [open(f, "rb").read() for f in files]
+    assert sorted(gzip.decompress(x).count(b"\n") for x in raw) == [1000, 2000, 2000]
+    # the fastest level packs less than the usual one
+    assert all(len(x) > 1.02 * len(zlib.compress(gzip.decompress(x), 6)) for x in raw)
+    assert spark.read.schema(df.schema).json(path).exceptAll(df).count() == 0 and spark.read.json(path).count() == 5000
