@@ -31,11 +31,11 @@ DOC_COLS = ["doc_id", "order_key", "line_no", "part_key", "cust_key", "tx_date",
             "state_county", "population", "longitude", "latitude"]
 
 
-def docs(spark: SparkSession, d: str) -> DataFrame:
+def docs(spark: SparkSession, d: str, ledger=fx.tx) -> DataFrame:
     """The exported document table: ledger + population + coordinates.  The
     texts put together from other columns come after the joins: large tables
     shuffle there."""
-    e = db.export_documents(tx_with_population(spark, d), fx.geo(spark, d), "cust_key")
+    e = db.export_documents(tx_with_population(spark, d, ledger), fx.geo(spark, d), "cust_key")
     e = e.withColumn("doc_id", F.concat_ws("-", "order_key", "line_no", "part_key", "supp_key")) \
          .withColumn("state_county", F.concat("region", F.lit("/"), "nation"))
     return e.select(*DOC_COLS)
@@ -80,7 +80,7 @@ DOC_SCHEMA = T.StructType([
 def export_json_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """K3: documents written as gzip line JSON, read back with the schema."""
     path = scratch_path(spark, "export-json")
-    write_json_gz(docs(spark, d), path)
+    write_json_gz(docs(spark, d, ledger=fx.tx_once), path)
     return spark.read.schema(DOC_SCHEMA).json(path)
 
 

@@ -201,6 +201,21 @@ def test_texts_of_documents_are_made_after_their_shuffle(spark, ledger_tables, n
     assert "concat_ws" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_export_goes_through_the_ledger_once(spark, ledger_tables):
+    """No table of all the ledger's columns is written for it; one that is there is read."""
+    import __spark_entry__ as E
+    from ledgerlens.plans import fixtures as fx
+    from oracle_check import rows_of
+    export, before = E.queries()["export_json_roundtrip"], dict(fx._LEDGERS)
+    first = export(spark, ledger_tables).collect()
+    assert fx._LEDGERS == before
+    rows = fx.tx(spark, ledger_tables)
+    assert fx.tx_once(spark, ledger_tables).inputFiles() == rows.inputFiles()
+    assert rows_of(rows.columns, rows.collect()) == rows_of(rows.columns, fx.tx_plan(spark, ledger_tables).collect())
+    again = export(spark, ledger_tables)
+    assert rows_of(again.columns, first) == rows_of(again.columns, again.collect())
+
+
 def test_gzip_json_files_are_bounded_and_fast(spark):
     from ledgerlens.sources.sinks import write_json_gz
     df = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"), F.lit("the same words again and again").alias("y")).coalesce(1)
