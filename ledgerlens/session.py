@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -100,7 +101,44 @@ def cut_lineage(df: DataFrame, name: str = "stage", **options) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").options(**options).parquet(path)
-    return spark.read.parquet(path)
+    if _PASSING:
+        _PASSING[-1].append(path)
+    out = spark.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+#: paths of the tables that ``cut_lineage`` writes within each ``passing_tables``
+_PASSING: list[list[str]] = []
+#: Spark's switch for dropping a job's shuffle files once the job has ended
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def passing_tables(spark: SparkSession):
+    """Tables that ``cut_lineage`` writes within are removed at the end, but for
+    those given to the yielded function (they pass to the context around, if
+    there is one), and each job drops its shuffle files when it has ended: its
+    result is stored.  Frames made within must not be read afterwards, unless
+    they read kept tables only."""
+    old, kept = spark.conf.get(DROP_SHUFFLES, None), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df._stored_at)
+        return df
+
+    spark.conf.set(DROP_SHUFFLES, "true")
+    _PASSING.append([])
+    try:
+        yield keep
+    finally:
+        mine = _PASSING.pop()
+        if _PASSING:
+            _PASSING[-1] += [x for x in mine if x in kept]
+        for path in mine:
+            if path not in kept:
+                remove(spark, path)
+        spark.conf.unset(DROP_SHUFFLES) if old is None else spark.conf.set(DROP_SHUFFLES, old)
 
 
 def _file_system(spark: SparkSession, path: str):
